@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import id_number
-from nestloom.operators import orphans, snapshots
-from nestloom.runtime import table
+from nestloom.operators import hierarchy, orphans, snapshots
+from nestloom.runtime import table, union_all
 
 _BLANKS = " \t\n\r 　"
 
@@ -23,13 +25,20 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("snapshot").alias("snapshot_date"), F.col("key").alias("work_id"), "change_kind")
 
 
+def _numbers(name: str, letter: str) -> Column:
+    return F.transform(name, lambda x: id_number(x, letter))
+
+
+def _other_than(own: Column) -> Callable[[Column], Column]:
+    return lambda x: x.isNotNull() & (x != own)
+
+
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     works, authors, dead = (table(spark, sf_dir, t) for t in ("works", "authors", "deleted_ids"))
-    numbers = lambda name, letter: F.transform(name, lambda x: id_number(x, letter))
     fields = {
-        "referenced_works": ("works", numbers("referenced_works", "w")),
-        "related_works": ("works", numbers("related_works", "w")),
-        "corresponding_author_ids": ("authors", numbers("corresponding_author_ids", "a")),
+        "referenced_works": ("works", _numbers("referenced_works", "w")),
+        "related_works": ("works", _numbers("related_works", "w")),
+        "corresponding_author_ids": ("authors", _numbers("corresponding_author_ids", "a")),
     }
     facts = [
         orphans.key_facts(kind, df, id_number(F.col("id"), letter), F.col("loaded_at"), dead.where(F.col("entity") == kind).select(id_number(F.col("id"), letter).alias("key"), "deleted_at"))
@@ -49,7 +58,42 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans.orphan_report(_orphans(spark, sf_dir))
 
 
-QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p6_found": p6_found}
+def _parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    concepts, publishers, institutions = (table(spark, sf_dir, t) for t in ("concepts", "publishers", "institutions"))
+    node = {"concepts": id_number(F.col("id"), "c"), "publishers": id_number(F.col("id"), "p"), "institutions": id_number(F.col("id"), "i")}
+    above = F.array_compact(F.transform(F.col("ancestors")["id"], lambda x: id_number(x, "c")))
+    stated = [concepts.select(F.lit("concepts").alias("tree"), node["concepts"].alias("node"), F.get(above, 0).alias("parent"))]
+    for name, letter, df in (("publishers", "p", publishers), ("institutions", "i", institutions)):
+        own = node[name]
+        others = F.filter(_numbers("lineage", letter), _other_than(own))
+        stated.append(df.select(F.lit(name).alias("tree"), own.alias("node"), F.get(others, 0).alias("parent")))
+    related = institutions.select(node["institutions"].alias("own"), F.explode("associated_institutions").alias("r"))
+    related = related.select("own", id_number(F.col("r.id"), "i").alias("other"), F.lower(F.btrim("r.relationship", F.lit(_BLANKS))).alias("relation")).where("own != other")
+    stated.append(related.where("relation = 'parent'").select(F.lit("institutions").alias("tree"), F.col("own").alias("node"), F.col("other").alias("parent")))
+    stated.append(related.where("relation = 'child'").select(F.lit("institutions").alias("tree"), F.col("other").alias("node"), F.col("own").alias("parent")))
+    nodes = [df.select(F.lit(name).alias("tree"), node[name].alias("node")) for name, df in (("concepts", concepts), ("publishers", publishers), ("institutions", institutions))]
+    return hierarchy.single_parents(union_all(nodes), union_all(stated))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root and depth of every concept, publisher and institution; those caught in loops have depth -1."""
+    found = hierarchy.hierarchy(_parents(spark, sf_dir), with_path=False)
+    return found.select(F.col("tree").alias("entity"), F.col("node").alias("node_id"), F.col("root").alias("root_id"), F.col("depth").alias("node_depth"))
+
+
+def p4_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full path of every node, from its root; null for nodes caught in loops."""
+    found = hierarchy.hierarchy(_parents(spark, sf_dir))
+    return found.select(F.col("tree").alias("entity"), F.col("node").alias("node_id"), F.array_join(F.col("path").cast("array<string>"), "/").alias("node_path"))
+
+
+def p4_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a node and a node below it, with their distance."""
+    found = hierarchy.descendants(hierarchy.hierarchy(_parents(spark, sf_dir)))
+    return found.select(F.col("tree").alias("entity"), F.col("ancestor").alias("ancestor_id"), F.col("node").alias("node_id"), "distance")
+
+
+QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p6_found": p6_found}
 
 _NUM = r"""try_cast(regexp_extract({0}, '(?:^|[^A-Za-z0-9])[{1}]([0-9]+)', 1) AS BIGINT)"""
 
@@ -72,7 +116,28 @@ cases AS (SELECT f AS field_name, strftime(src.a, '%Y-%m') AS load_period, refs.
   FROM refs JOIN arrived src ON src.e = 'works' AND src.k = refs.k LEFT JOIN arrived tgt ON tgt.e = refs.e AND tgt.k = refs.t LEFT JOIN dead ON dead.e = refs.e AND dead.k = refs.t)
 """
 
+_P4 = f"""
+WITH RECURSIVE nodes AS (SELECT DISTINCT * FROM (SELECT 'concepts' AS e, {_num("id", "cC")} AS n FROM concepts UNION ALL SELECT 'publishers', {_num("id", "pP")} FROM publishers
+  UNION ALL SELECT 'institutions', {_num("id", "iI")} FROM institutions) WHERE n IS NOT NULL),
+related AS (SELECT {_num("id", "iI")} AS own, {_num("r.id", "iI")} AS other, lower(trim(r.relationship, '{_BLANKS}')) AS relation FROM (SELECT id, unnest(associated_institutions) AS r FROM institutions)),
+stated AS (SELECT 'concepts' AS e, {_num("id", "cC")} AS n, list_filter([{_num("x.id", "cC")} FOR x IN ancestors], lambda y: y IS NOT NULL)[1] AS p FROM concepts
+  UNION ALL SELECT 'publishers', {_num("id", "pP")}, list_filter([{_num("x", "pP")} FOR x IN lineage], lambda y: y IS NOT NULL AND y != {_num("id", "pP")})[1] FROM publishers
+  UNION ALL SELECT 'institutions', {_num("id", "iI")}, list_filter([{_num("x", "iI")} FOR x IN lineage], lambda y: y IS NOT NULL AND y != {_num("id", "iI")})[1] FROM institutions
+  UNION ALL SELECT 'institutions', own, other FROM related WHERE relation = 'parent' AND own != other
+  UNION ALL SELECT 'institutions', other, own FROM related WHERE relation = 'child' AND own != other),
+up AS (SELECT s.e, s.n, min(s.p) AS p FROM stated s JOIN nodes x ON x.e = s.e AND x.n = s.p WHERE s.n IS NOT NULL GROUP BY ALL),
+links AS (SELECT nodes.e, nodes.n, up.p FROM nodes LEFT JOIN up ON up.e = nodes.e AND up.n = nodes.n),
+walk AS (SELECT e, n AS start, n AS cur, p AS next, [n] AS seen, false AS looped FROM links
+  UNION ALL SELECT w.e, w.start, l.n, l.p, list_append(w.seen, l.n), list_contains(w.seen, l.n) FROM walk w JOIN links l ON l.e = w.e AND l.n = w.next WHERE NOT w.looped),
+ends AS (SELECT * FROM walk WHERE next IS NULL OR looped),
+tree AS (SELECT e AS entity, start AS node_id, CASE WHEN looped THEN list_min(list_slice(seen, list_position(seen, cur), len(seen))) ELSE cur END AS root_id, CASE WHEN looped THEN -1 ELSE len(seen) - 1 END AS node_depth, seen, looped FROM ends)
+"""
+
 ORACLE = {
+    "p4_found": _P4 + "SELECT entity, node_id, root_id, CAST(node_depth AS INTEGER) AS node_depth FROM tree",
+    "p4_paths": _P4 + "SELECT entity, node_id, CASE WHEN NOT looped THEN array_to_string(list_reverse(seen), '/') END AS node_path FROM tree",
+    "p4_descendants": _P4 + """SELECT entity, seen[i + 1] AS ancestor_id, node_id, CAST(i AS INTEGER) AS distance
+FROM (SELECT *, unnest(range(1, len(seen))) AS i FROM tree WHERE NOT looped)""",
     "p1_found": _P1_CASES + "SELECT * FROM cases WHERE orphan_kind IS NOT NULL",
     "p1_report": _P1_CASES + "SELECT field_name, load_period, orphan_kind, count(*) AS n_references, count(DISTINCT target_id) AS n_targets FROM cases WHERE orphan_kind IS NOT NULL GROUP BY ALL",
     "p6_found": f"""
