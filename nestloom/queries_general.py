@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import id_number
-from nestloom.operators import hierarchy, orphans, snapshots
+from nestloom.operators import drift, hierarchy, orphans, snapshots, unnest
 from nestloom.runtime import table, union_all
 
 _BLANKS = " \t\n\r 　"
@@ -93,7 +93,58 @@ def p4_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("tree").alias("entity"), F.col("ancestor").alias("ancestor_id"), F.col("node").alias("node_id"), "distance")
 
 
-QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p6_found": p6_found}
+DRIFTING = {"works": ["ids", "counts_by_year"], "institutions": ["topic_share"]}
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields added, removed, renamed and retyped from file to file of each stream."""
+    matched = drift.match_streams(drift.file_schemas(table(spark, sf_dir, "raw_records"), DRIFTING))
+    return drift.schema_changes(matched).drop("similarity")
+
+
+def _unified(entity: str, top: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = table(spark, sf_dir, "raw_records")
+        return drift.unify(lines, drift.read_drifting(lines, DRIFTING), entity, DRIFTING[entity], top)
+
+    query.__doc__ = f"All files' {top} of {entity} in one table, under each field's first name and widest type."
+    return query
+
+
+_PARTS = [
+    unnest.Child("authorships", "author", (("author_position", "string"), ("raw_author_name", "string")), (unnest.Child("institutions", ""),)),
+    unnest.Child("locations", "source", (("is_oa", "boolean"), ("license", "string"))),
+    unnest.Child("topics", "", (("score", "double"), ("display_name", "string"))),
+    unnest.Child("grants", "funder", (("award_id", "string"),)),
+]
+
+
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "raw_records").where("entity = 'works'").select("record_id", F.try_parse_json("line_text").alias("record"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item of the nested lists of works lines, tied to its record and parent."""
+    return unnest.supertype(_nested(spark, sf_dir), F.col("record_id"), F.col("record"), _PARTS).drop("variant")
+
+
+def p7_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each structural variant occurs in each child table."""
+    found = unnest.supertype(_nested(spark, sf_dir), F.col("record_id"), F.col("record"), _PARTS)
+    return found.groupBy("child_table", "variant").agg(F.count("*").alias("n_items"))
+
+
+def p7_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same child rows from the typed columns of works; the record is the work's number and arrival."""
+    works = table(spark, sf_dir, "works").withColumn("_record", unnest.from_rows(None, [c.name for c in _PARTS]))
+    return unnest.supertype(works, F.col("id"), F.col("_record"), _PARTS).withColumnRenamed("record_id", "id").drop("variant")
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_report": p1_report, "p3_found": p3_found, "p3_ids": _unified("works", "ids"), "p3_counts_by_year": _unified("works", "counts_by_year"),
+    "p3_topic_share": _unified("institutions", "topic_share"), "p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p6_found": p6_found,
+    "p7_found": p7_found, "p7_variants": p7_variants, "p7_typed": p7_typed,
+}
 
 _NUM = r"""try_cast(regexp_extract({0}, '(?:^|[^A-Za-z0-9])[{1}]([0-9]+)', 1) AS BIGINT)"""
 
