@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import id_number, short_id, slug
-from nestloom.llm import cooccurrence
+from nestloom.llm import contamination, cooccurrence
 from nestloom.runtime import table
 
 
@@ -19,11 +19,22 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("field_name", "item_a", "item_b")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that give away an evaluation item: half of its words lie in shared passages."""
+    found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.where(F.col("shared_words") * 2 >= F.col("item_words")).select("doc_id", "item_id")
+
+
+def p9_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All overlaps of documents and evaluation items, exact and substitution-tolerant."""
+    return contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 def _num(col: str, letters: str) -> str:
     return f"try_cast(regexp_extract({col}, '(?:^|[^A-Za-z0-9])[{letters}]([0-9]+)', 1) AS BIGINT)"
 
 
-QUERIES = {"p2_found": p2_found}
+QUERIES = {"p2_found": p2_found, "p9_found": p9_found, "p9_overlaps": p9_overlaps}
 
 ORACLE = {
     "p2_found": f"""
