@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import id_number, short_id, slug
-from nestloom.llm import contamination, cooccurrence
+from nestloom.llm import contamination, cooccurrence, sentences
 from nestloom.runtime import table
 
 
@@ -30,11 +30,16 @@ def p9_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of every document with its place."""
+    return sentences.sentences(table(spark, sf_dir, "documents"))
+
+
 def _num(col: str, letters: str) -> str:
     return f"try_cast(regexp_extract({col}, '(?:^|[^A-Za-z0-9])[{letters}]([0-9]+)', 1) AS BIGINT)"
 
 
-QUERIES = {"p2_found": p2_found, "p9_found": p9_found, "p9_overlaps": p9_overlaps}
+QUERIES = {"p2_found": p2_found, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
 
 ORACLE = {
     "p2_found": f"""
