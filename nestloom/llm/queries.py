@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import id_number, short_id, slug
-from nestloom.llm import contamination, cooccurrence, sentences
+from nestloom.llm import contamination, cooccurrence, names, sentences
 from nestloom.runtime import table
 
 
@@ -19,6 +19,22 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("field_name", "item_a", "item_b")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The author rows of one person, and the author behind each authorship that lacks an author id."""
+    authors, works = table(spark, sf_dir, "authors"), table(spark, sf_dir, "works")
+    people = authors.select(id_number(F.col("id"), "a").alias("id"), F.col("display_name").alias("name"), F.explode(F.col("last_known_institutions")["id"]).alias("i"))
+    people = people.select("id", "name", id_number(F.col("i"), "i").alias("g"))
+    held = works.select(id_number(F.col("id"), "w").alias("k1"), F.posexplode("authorships").alias("k2", "a"))
+    held = held.where(id_number(F.col("a.author.id")).isNull())
+    name = F.coalesce(F.nullif(F.trim("a.raw_author_name"), F.lit("")), F.col("a.author.display_name"))
+    mentions = held.select("k1", "k2", name.alias("name"), F.explode(F.col("a.institutions")["id"]).alias("i")).select("k1", "k2", "name", id_number(F.col("i"), "i").alias("g"))
+    persons, attached = names.link_names(people, mentions)
+    short = lambda c: F.concat(F.lit("A"), F.col(c).cast("string"))
+    pairs = persons.select(F.lit("author").alias("match_kind"), short("id_a").alias("key_a"), short("id_b").alias("key_b"))
+    place = F.concat(F.lit("W"), F.col("k1").cast("string"), F.lit(":"), F.col("k2").cast("string"))
+    return pairs.unionByName(attached.select(F.lit("authorship").alias("match_kind"), place.alias("key_a"), short("id").alias("key_b")))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that give away an evaluation item: half of its words lie in shared passages."""
     found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
@@ -39,7 +55,7 @@ def _num(col: str, letters: str) -> str:
     return f"try_cast(regexp_extract({col}, '(?:^|[^A-Za-z0-9])[{letters}]([0-9]+)', 1) AS BIGINT)"
 
 
-QUERIES = {"p2_found": p2_found, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p5_found": p5_found, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
 
 ORACLE = {
     "p2_found": f"""
