@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import id_number, short_id, slug
-from nestloom.llm import contamination, cooccurrence, names, sentences
+from nestloom.llm import contamination, cooccurrence, names, packing, sentences
 from nestloom.runtime import table
 
 
@@ -35,6 +35,16 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.unionByName(attached.select(F.lit("authorship").alias("match_kind"), place.alias("key_a"), short("id").alias("key_b")))
 
 
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in a container of 2,048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of the containers' room is used."""
+    return packing.packing_report(packing.packed(table(spark, sf_dir, "documents")))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that give away an evaluation item: half of its words lie in shared passages."""
     found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
@@ -55,7 +65,7 @@ def _num(col: str, letters: str) -> str:
     return f"try_cast(regexp_extract({col}, '(?:^|[^A-Za-z0-9])[{letters}]([0-9]+)', 1) AS BIGINT)"
 
 
-QUERIES = {"p2_found": p2_found, "p5_found": p5_found, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p5_found": p5_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
 
 ORACLE = {
     "p2_found": f"""
