@@ -29,19 +29,15 @@ def spark_type(name: str) -> T.DataType:
     return T.ArrayType(spark_type(name[5:-1])) if name.startswith("list<") else _SPARK[name]
 
 
+# fixed values: the first words of schema_of_variant texts
+TEXT, OBJECT, LIST, BOOL, INT, ABSENT = "STRING", "OBJECT", "ARRAY", "BOOLEAN", "BIGINT", "VOID"
+FLOATS = ("DECIMAL", "DOUBLE", "FLOAT")
+NUMBERS = (INT, *FLOATS)
+
+
 def kind(v: Column) -> Column:
-    """What a variant holds: absent, text, object, list, int, float, bool or other."""
-    shape = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull() | F.is_variant_null(v), "absent")
-        .when(shape == "STRING", "text")
-        .when(shape.startswith("OBJECT"), "object")
-        .when(shape.startswith("ARRAY"), "list")
-        .when(shape == "BOOLEAN", "bool")
-        .when(shape.rlike("^(BIGINT|INT|SMALLINT|TINYINT)$"), "int")
-        .when(shape.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float")
-        .otherwise("other")
-    )
+    """What a variant holds: the first word of its schema; VOID for null and missing values."""
+    return F.coalesce(F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0), F.lit(ABSENT))
 
 
 def number_text(d: Column) -> Column:
@@ -52,7 +48,7 @@ def number_text(d: Column) -> Column:
     plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
     sign = F.when(exponent < 0, "-").otherwise("+")
-    science = F.concat(mantissa, F.lit("e"), sign, F.lpad(F.abs(exponent).cast("string"), 2, "0"))
+    science = F.concat(mantissa, F.lit("e"), sign, F.when(F.abs(exponent) < 10, "0").otherwise(""), F.abs(exponent).cast("string"))
     special = F.when(F.isnan(d), "nan").when(d == float("inf"), "inf").when(d == float("-inf"), "-inf")
     return F.coalesce(special, F.when(exponent.isNull(), text).when((exponent >= -4) & (exponent < 16), plain).otherwise(science))
 
@@ -61,10 +57,9 @@ def scalar_text(v: Column) -> Column:
     """The text of a variant scalar: True and False, integers as they are, doubles by ``number_text``; null for lists and objects."""
     k = kind(v)
     return (
-        F.when(k == "text", F.try_variant_get(v, "$", "string"))
-        .when(k == "bool", F.initcap(F.try_variant_get(v, "$", "string")))
-        .when(k == "int", F.try_variant_get(v, "$", "string"))
-        .when(k == "float", number_text(F.try_variant_get(v, "$", "double")))
+        F.when(k.isin(TEXT, INT), F.try_variant_get(v, "$", "string"))
+        .when(k == BOOL, F.initcap(F.try_variant_get(v, "$", "string")))
+        .when(k.isin(*FLOATS), number_text(F.try_variant_get(v, "$", "double")))
     )
 
 
@@ -74,12 +69,12 @@ def cast_cell(v: Column, to: str) -> Column:
         return F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: cast_cell(x, to[5:-1]))
     if to == "str":
         return scalar_text(v)
-    number = F.when(kind(v).isin("int", "float", "bool"), F.try_variant_get(v, "$", "double"))
+    number = F.when(kind(v).isin(*NUMBERS, BOOL), F.try_variant_get(v, "$", "double"))
     if to == "int":
-        return F.when(kind(v).isin("int", "bool"), F.try_variant_get(v, "$", "bigint")).when(kind(v) == "float", number.try_cast("bigint"))
+        return F.when(kind(v).isin(INT, BOOL), F.try_variant_get(v, "$", "bigint")).when(kind(v).isin(*FLOATS), number.try_cast("bigint"))
     if to == "float":
         return number
-    return F.when(kind(v) == "bool", F.try_variant_get(v, "$", "boolean"))
+    return F.when(kind(v) == BOOL, F.try_variant_get(v, "$", "boolean"))
 
 
 def coerce(column: Column, source: str, to: str) -> Column:

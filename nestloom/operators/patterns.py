@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import trailing_number
-from nestloom.functions.lattice import kind, scalar_text
+from nestloom.functions.lattice import ABSENT, BOOL, FLOATS, INT, OBJECT, TEXT, kind, scalar_text
 from nestloom.functions.naming import target_column
 from nestloom.plans.schema import Field
 
@@ -31,17 +31,17 @@ def at(v: Column, path: str) -> Column:
 
 
 def text(v: Column) -> Column:
-    return F.when(kind(v) == "text", F.try_variant_get(v, "$", "string"))
+    return F.when(kind(v) == TEXT, F.try_variant_get(v, "$", "string"))
 
 
 def filled(v: Column) -> Column:
     """A variant that is neither missing nor null, else null."""
-    return F.when(kind(v) != "absent", v)
+    return F.when(kind(v) != ABSENT, v)
 
 
 def numeric_id(v: Column) -> Column:
     """The number that ends an id; integers are ids themselves."""
-    return F.when(kind(v).isin("int", "bool"), F.try_variant_get(v, "$", "bigint")).otherwise(trailing_number(text(v)))
+    return F.when(kind(v).isin(INT, BOOL), F.try_variant_get(v, "$", "bigint")).otherwise(trailing_number(text(v)))
 
 
 def own_id(v: Column) -> Column:
@@ -53,7 +53,7 @@ def own_id(v: Column) -> Column:
 def items(parents: DataFrame, id_column: str, objects: bool = True) -> DataFrame:
     """One row an item of lists; with ``objects`` only those that are objects."""
     rows = parents.select("source_key", id_column, F.explode(F.try_variant_get("value", "$", "array<variant>")).alias("item"))
-    return rows.where(kind(F.col("item")) == "object") if objects else rows
+    return rows.where(kind(F.col("item")) == OBJECT) if objects else rows
 
 
 def _rows(df: DataFrame, id_column: str, **columns: Column) -> DataFrame:
@@ -94,7 +94,7 @@ def slug_ref(parents: DataFrame, f: Field, id_column: str) -> Tables:
 def count(v: Column) -> Column:
     """A count: doubles truncate, and what is missing or no number is 0."""
     k = kind(v)
-    number = F.when(k.isin("int", "bool"), F.try_variant_get(v, "$", "bigint")).when(k == "float", F.try_variant_get(v, "$", "double").try_cast("bigint"))
+    number = F.when(k.isin(INT, BOOL), F.try_variant_get(v, "$", "bigint")).when(k.isin(*FLOATS), F.try_variant_get(v, "$", "double").try_cast("bigint"))
     return F.coalesce(number, F.lit(0).cast("bigint"))
 
 
@@ -108,7 +108,7 @@ def external_ids(parents: DataFrame, f: Field, id_column: str) -> Tables:
     """One row a name in the object; falsy values, lists and objects are left out."""
     cells = parents.select("source_key", id_column, F.explode(F.try_variant_get("value", "$", "map<string,variant>")).alias("source", "cell"))
     value = scalar_text(F.col("cell"))
-    truthy = F.when(kind(F.col("cell")) == "text", value != "").otherwise(~value.isin("0", "0.0", "-0.0", "False"))
+    truthy = F.when(kind(F.col("cell")) == TEXT, value != "").otherwise(~value.isin("0", "0.0", "-0.0", "False"))
     return {f.table: _rows(cells.where(truthy), id_column, source=F.col("source"), value=value)}
 
 
@@ -173,7 +173,7 @@ def mesh(parents: DataFrame, f: Field, id_column: str) -> Tables:
 
 def investigators(parents: DataFrame, f: Field, id_column: str) -> Tables:
     """People with their affiliation, an object or plain text, and a table of the affiliation's ids."""
-    rows = parents.withColumn("item", F.col("value")).where(kind(F.col("item")) == "object") if f.single else items(parents, id_column)
+    rows = parents.withColumn("item", F.col("value")).where(kind(F.col("item")) == OBJECT) if f.single else items(parents, id_column)
     place = at(F.col("item"), "affiliation")
     flags = dict(f.flags)
     names = {n: text(at(F.col("item"), n)) for n in ("given_name", "family_name", "orcid")}
@@ -184,7 +184,7 @@ def investigators(parents: DataFrame, f: Field, id_column: str) -> Tables:
     out = {f.table: person}
     for n in f.nested:
         named = rows.select("source_key", id_column, names["orcid"].alias("investigator_orcid"), names["family_name"].alias("investigator_family_name"), F.explode(F.try_variant_get(at(F.col("item"), "affiliation.ids"), "$", "array<variant>")).alias("item"))
-        named = named.where(kind(F.col("item")) == "object")
+        named = named.where(kind(F.col("item")) == OBJECT)
         out[n.table] = named.select("source_key", id_column, "investigator_orcid", "investigator_family_name", _part("id").alias("affiliation_id"), _part("type").alias("affiliation_type"), _part("asserted_by").alias("asserted_by"))
     return out
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import short_id
+from nestloom.functions.lattice import ABSENT, LIST, OBJECT, TEXT, kind
 from nestloom.runtime import union_all
 
 
@@ -27,22 +28,19 @@ class Child:
     children: tuple[Child, ...] = field(default=())
 
 
-def kind(v: Column) -> Column:
-    """The state of a leaf: absent, text, object, list or scalar."""
-    shape = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull() | F.is_variant_null(v), "absent")
-        .when(shape.startswith("OBJECT"), "object")
-        .when(shape.startswith("ARRAY"), "list")
-        .when(shape == "STRING", "text")
-        .otherwise("scalar")
-    )
+_STATES = {OBJECT: "object", LIST: "list", TEXT: "text", ABSENT: "absent"}
+
+
+def state(v: Column) -> Column:
+    """The state of a node: absent, text, object, list or scalar."""
+    names = F.create_map(*[F.lit(x) for pair in _STATES.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, kind(v)), F.lit("scalar"))
 
 
 def resolved(v: Column) -> Column:
     """The value itself, or what a string with JSON text holds."""
     text = F.try_variant_get(v, "$", "string")
-    looks = (kind(v) == "text") & text.rlike(r'^\s*([\[{"]|null\s*$)')
+    looks = (kind(v) == TEXT) & text.rlike(r'^\s*([\[{"]|null\s*$)')
     return F.when(looks, F.coalesce(F.try_parse_json(text), v)).otherwise(v)
 
 
@@ -52,13 +50,13 @@ def part(v: Column, name: str) -> Column:
 
 def items(v: Column) -> Column:
     """The items of a list; one object or one id in place of a list is a list of one; else null."""
-    alone = (kind(v) == "object") | ((kind(v) == "text") & short_id(F.try_variant_get(v, "$", "string")).isNotNull())
-    return F.when(kind(v) == "list", F.try_variant_get(v, "$", "array<variant>")).when(alone, F.array(v))
+    alone = (kind(v) == OBJECT) | ((kind(v) == TEXT) & short_id(F.try_variant_get(v, "$", "string")).isNotNull())
+    return F.when(kind(v) == LIST, F.try_variant_get(v, "$", "array<variant>")).when(alone, F.array(v))
 
 
 def key_of(node: Column) -> Column:
     """The short id of a node that is an object with an id or a bare id; '' if there is none."""
-    text = F.when(kind(node) == "text", F.try_variant_get(node, "$", "string")).when(kind(node) == "object", F.try_variant_get(node, "$.id", "string"))
+    text = F.when(kind(node) == TEXT, F.try_variant_get(node, "$", "string")).when(kind(node) == OBJECT, F.try_variant_get(node, "$.id", "string"))
     return F.coalesce(short_id(text), F.lit(""))
 
 
@@ -69,14 +67,14 @@ def explode_child(parents: DataFrame, child: Child) -> DataFrame:
     """
     held = parents.select("record_id", "parent_pos", resolved(part(F.col("holder"), child.name)).alias("held"))
     rows = held.select("record_id", "parent_pos", F.posexplode(items(F.col("held"))).alias("item_pos", "raw"))
-    rows = rows.select("record_id", "parent_pos", "item_pos", resolved(F.col("raw")).alias("item")).where(kind(F.col("item")) != "absent")
-    bare = kind(F.col("item")) == "text"
+    rows = rows.select("record_id", "parent_pos", "item_pos", resolved(F.col("raw")).alias("item")).where(kind(F.col("item")) != ABSENT)
+    bare = kind(F.col("item")) == TEXT
     node = F.when(bare, F.col("item")).otherwise(resolved(part(F.col("item"), child.key)))
     rows = rows.select("*", node.alias("node"))
-    states = [F.concat(F.lit(f"{child.key}="), kind(F.col("node")))] if child.key else []
-    states += [F.concat(F.lit(f"{c.name}="), kind(part(F.col("item"), c.name))) for c in child.children]
+    states = [F.concat(F.lit(f"{child.key}="), state(F.col("node")))] if child.key else []
+    states += [F.concat(F.lit(f"{c.name}="), state(part(F.col("item"), c.name))) for c in child.children]
     inner = F.concat(F.lit("("), F.concat_ws(",", *states), F.lit(")")) if states else F.lit("")
-    variant = F.when(kind(F.col("item")) == "object", F.concat(F.lit("object"), inner)).otherwise(kind(F.col("item")))
+    variant = F.when(kind(F.col("item")) == OBJECT, F.concat(F.lit("object"), inner)).otherwise(state(F.col("item")))
     return rows.select("record_id", "parent_pos", "item_pos", "item", key_of(F.col("node")).alias("item_key"), variant.alias("variant"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestloom.functions.lattice import cast_cell, coerce, kind, spark_type
+from nestloom.functions.lattice import LIST, OBJECT, cast_cell, coerce, kind, spark_type
 from nestloom.operators.patterns import PATTERNS, at, filled, own_id
 from nestloom.plans.schema import Schema
 from nestloom.runtime import union_all
@@ -41,7 +41,7 @@ def raw_tables(records: DataFrame, schema: Schema, wanted: Iterable[str] | None
         if f.pattern == "scalar" or not keep & {f.table, *(n.table for n in f.nested)}:
             continue
         value = filled(at(F.col("record"), f.key))
-        parents = base.select("source_key", schema.id_column, value.alias("value")).where(kind(F.col("value")) == ("object" if f.single else "list"))
+        parents = base.select("source_key", schema.id_column, value.alias("value")).where(kind(F.col("value")) == (OBJECT if f.single else LIST))
         for table, df in PATTERNS[f.pattern](parents, f, schema.id_column).items():
             if table in keep:
                 parts.setdefault(table, []).append(df)
