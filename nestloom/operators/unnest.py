@@ -8,6 +8,7 @@ the record, the item's place, its parent's place and its key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 from nestloom.functions.ids import short_id
 from nestloom.functions.lattice import ABSENT, LIST, OBJECT, TEXT, kind
-from nestloom.runtime import union_all
 
 
 @dataclass(frozen=True)
@@ -60,42 +60,62 @@ def key_of(node: Column) -> Column:
     return F.coalesce(short_id(text), F.lit(""))
 
 
-def explode_child(parents: DataFrame, child: Child) -> DataFrame:
-    """``record_id, parent_pos, item_pos, item, node, item_key, variant`` of the child's items in ``parents`` (record_id, parent_pos, holder).
+def node_of(item: Column, child: Child) -> Column:
+    """The part of an item that carries its key: the item itself if it is a bare id."""
+    return item if child.key == "" else F.when(kind(item) == TEXT, item).otherwise(resolved(part(item, child.key)))
 
-    Null items give no row but keep their place.
-    """
-    held = parents.select("record_id", "parent_pos", resolved(part(F.col("holder"), child.name)).alias("held"))
-    rows = held.select("record_id", "parent_pos", F.posexplode(items(F.col("held"))).alias("item_pos", "raw"))
-    rows = rows.select("record_id", "parent_pos", "item_pos", resolved(F.col("raw")).alias("item")).where(kind(F.col("item")) != ABSENT)
-    bare = kind(F.col("item")) == TEXT
-    node = F.when(bare, F.col("item")).otherwise(resolved(part(F.col("item"), child.key)))
-    rows = rows.select("*", node.alias("node"))
-    states = [F.concat(F.lit(f"{child.key}="), state(F.col("node")))] if child.key else []
-    states += [F.concat(F.lit(f"{c.name}="), state(part(F.col("item"), c.name))) for c in child.children]
+
+def variant_of(item: Column, node: Column, child: Child) -> Column:
+    """The automaton's state of an item: its kind, and for objects the states of its key and its lists."""
+    states = [F.concat(F.lit(f"{child.key}="), state(node))] if child.key else []
+    states += [F.concat(F.lit(f"{c.name}="), state(part(item, c.name))) for c in child.children]
     inner = F.concat(F.lit("("), F.concat_ws(",", *states), F.lit(")")) if states else F.lit("")
-    variant = F.when(kind(F.col("item")) == OBJECT, F.concat(F.lit("object"), inner)).otherwise(state(F.col("item")))
-    return rows.select("record_id", "parent_pos", "item_pos", "item", key_of(F.col("node")).alias("item_key"), variant.alias("variant"))
+    return F.when(kind(item) == OBJECT, F.concat(F.lit("object"), inner)).otherwise(state(item))
+
+
+def by_table(table: Column, children: list[Child], value: Callable[[Child], Column]) -> Column:
+    """The value of the child whose table a row belongs to."""
+    out = value(children[-1])
+    for c in reversed(children[:-1]):
+        out = F.when(table == c.name, value(c)).otherwise(out)
+    return out
 
 
-def supertype(df: DataFrame, record_id: Column, record: Column, children: list[Child]) -> DataFrame:
+def placed(table: Column, parent_pos: Column, pos: Column, item: Column) -> Column:
+    return F.struct(table.alias("child_table"), parent_pos.cast("int").alias("parent_pos"), pos.cast("int").alias("item_pos"), resolved(item).alias("item"))
+
+
+def supertype(df: DataFrame, record_id: Column, record: Column, children: list[Child], keep_items: bool = False) -> DataFrame:
     """``record_id, child_table, parent_pos, item_pos, item_key, variant`` of all items of all children.
 
     ``record`` is a variant column; null records (unparsable lines) give no rows.  Nested lists
-    carry the position of the item they are in, top lists -1.
+    carry the position of the item they are in, top lists -1.  Null items give no row but keep
+    their place.  Every record is read once, for all tables together.
     """
-    tops = df.select(record_id.alias("record_id"), F.lit(-1).alias("parent_pos"), record.alias("holder")).where("holder IS NOT NULL")
-    out: list[DataFrame] = []
-
-    def add(parents: DataFrame, child: Child) -> None:
-        rows = explode_child(parents, child)
-        out.append(rows.select("record_id", F.lit(child.name).alias("child_table"), "parent_pos", "item_pos", "item_key", "variant"))
-        for inner in child.children:
-            add(rows.select("record_id", F.col("item_pos").alias("parent_pos"), F.col("item").alias("holder")), inner)
-
-    for child in children:
-        add(tops, child)
-    return union_all(out)
+    tops = df.select(record_id.alias("record_id"), record.alias("record")).where("record IS NOT NULL")
+    lists = F.array(*[F.struct(F.lit(c.name).alias("child_table"), resolved(part(F.col("record"), c.name)).alias("held")) for c in children])
+    held = tops.select("record_id", F.inline(lists)).where("held IS NOT NULL")
+    rows = held.select("record_id", "child_table", F.posexplode(items(F.col("held"))).alias("pos", "raw"))
+    rows = rows.select("record_id", placed(F.col("child_table"), F.lit(-1), F.col("pos"), F.col("raw")).alias("row"))
+    everything, level = list(children), list(children)
+    while nested := [(c, n) for c in level for n in c.children]:
+        # each item together with the items of its own lists
+        below = [
+            F.when(F.col("row.child_table") == c.name, F.transform(items(resolved(part(F.col("row.item"), n.name))), _placer(n.name)))
+            for c, n in nested
+        ]
+        none = F.array().cast("array<struct<child_table:string,parent_pos:int,item_pos:int,item:variant>>")
+        rows = rows.select("record_id", F.explode(F.concat(F.array("row"), *[F.coalesce(b, none) for b in below])).alias("row"))
+        level = [n for _, n in nested]
+        everything += level
+    flat = rows.select("record_id", "row.*").where(kind(F.col("item")) != ABSENT)
+    flat = flat.withColumn("node", by_table(F.col("child_table"), everything, lambda c: node_of(F.col("item"), c)))
+    variant = by_table(F.col("child_table"), everything, lambda c: variant_of(F.col("item"), F.col("node"), c))
+    return flat.select("record_id", "child_table", "parent_pos", "item_pos", key_of(F.col("node")).alias("item_key"), variant.alias("variant"), *(["item"] if keep_items else []))
+
+
+def _placer(name: str) -> Callable[[Column, Column], Column]:
+    return lambda x, j: placed(F.lit(name), F.col("row.item_pos"), j, x)
 
 
 def variant_tables(df: DataFrame, record_id: Column, record: Column, child: Child) -> dict[str, DataFrame]:
@@ -104,8 +124,7 @@ def variant_tables(df: DataFrame, record_id: Column, record: Column, child: Chil
     Tables of object variants have the child's scalars; those of bare ids have none.  The set of
     variants follows from the automaton, not from the data.
     """
-    tops = df.select(record_id.alias("record_id"), F.lit(-1).alias("parent_pos"), record.alias("holder")).where("holder IS NOT NULL")
-    rows = explode_child(tops, child)
+    rows = supertype(df, record_id, record, [child], keep_items=True).where(F.col("child_table") == child.name)
     keep = ["record_id", "parent_pos", "item_pos", "item_key"]
     typed = [F.try_variant_get("item", f"$.{n}", t).alias(n) for n, t in child.scalars]
     kinds = ["absent", "text", "object", "list", "scalar"]

@@ -82,10 +82,10 @@ SMOKE = {
 
 def test_all_tables_of_a_record(spark):
     schema, found = build(spark, [SMOKE])
-    assert found["work_authorships"] == [(5, 7, "first")] or found["work_authorships"] == [(5, "7", "first")]
+    assert found["work_authorships"] == [(5, "7", "first")]
     assert found["work_authorships_institutions"] == [(5, "7", 2)]
     assert found["work_referenced_works"] == [(5, 1), (5, 4)]
-    assert found["work_topics"] == [(5, "1", 0.5, 2)] or found["work_topics"][0][2:] == (0.5, 2)
+    assert found["work_topics"] == [(5, "1", 0.5, 2)]
     assert found["work_keywords"] == [(5, "covid-19", 0.25)]
     assert found["work_funders"] == [(5, 3, "z")]
     assert found["work_locations"] == [(5, 4, True, None), (5, None, None, "by")]
@@ -110,7 +110,7 @@ def test_people(spark):
     schema, found = build(
         spark, [{"id": "G1", "lead_investigator": {**person, "affiliation": {"name": "n", "country": "c", "ids": [{"id": "i", "type": "t", "asserted_by": "b"}]}}, "co_lead_investigator": {**person, "affiliation": "plain"}, "investigators": [{**person, "affiliation": None}]}], "awards"
     )
-    assert sorted(r[4:6] + r[7:] for r in found["award_investigators"]) == sorted([("n", "c", True, False), ("plain", None, False, True), (None, None, False, False)], key=str) or len(found["award_investigators"]) == 3
+    assert {r[4:6] + r[7:] for r in found["award_investigators"]} == {("n", "c", True, False), ("plain", None, False, True), (None, None, False, False)}
     assert found["award_investigator_affiliations"] == [(1, None, "f", "i", "t", "b")]
 
 
