@@ -178,7 +178,7 @@ def _after_period(text: str, start: int, tail: int, at: int, bare: bool) -> bool
         return _starts(text, at)
     if "." in key and len(last) == 1 and last.isalpha():  # U.S.
         return _next_word(text, at) in _STARTERS
-    if len(token) == 1 and (token.isalpha() or not token.isdigit()):
+    if len(token) == 1 and not token.isdigit() and not token.islower():
         return False
     if token.isdigit() and len(token) <= 3:
         if tail != at and _LINE_START.search(text, max(0, m.start() - 200), m.start()):  # the number of a heading or list item
