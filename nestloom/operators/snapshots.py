@@ -50,8 +50,10 @@ def differing_leaves(rows: DataFrame, bits: int) -> DataFrame:
     )
     levels = [leaves]
     for _ in range(bits // FANOUT_BITS):
-        up = levels[-1].groupBy("snapshot", F.shiftright("leaf", FANOUT_BITS).alias("leaf"))
-        levels.append(up.agg(F.bit_xor(F.xxhash64("leaf", "d", "n")).alias("d"), F.sum("n").alias("n")))
+        children = levels[-1].select("snapshot", F.shiftright("leaf", FANOUT_BITS).alias("up"), "leaf", "d", "n")
+        up = children.groupBy("snapshot", F.col("up").alias("leaf"))
+        # written, as each level is read for itself and for the one above it
+        levels.append(materialize(up.agg(F.bit_xor(F.xxhash64(children["leaf"], "d", "n")).alias("d"), F.sum("n").alias("n")), "merkle-level"))
     follows = rows.select("snapshot", "previous").distinct().where("previous IS NOT NULL")
     open_nodes = None
     for level in reversed(levels):
