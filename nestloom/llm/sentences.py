@@ -77,7 +77,7 @@ _YEAR = re.compile(r"(?:19|20)\d\d\b")
 _MARKS = "\xad\u0300-\u036f\u0900-\u097f\u0e31-\u0e4e\u064b-\u065f"
 _TOKEN = re.compile(rf"(?:\w[\w{_MARKS}*]{{0,2}}\.)*[\w{_MARKS}*'’-]*[\w{_MARKS}*]$")
 _WORD = re.compile(rf"[\w{_MARKS}'’-]+")
-_LINE_START = re.compile(r"(?:^|\n\s*)$")
+_UNIT_START = re.compile(r"(?:^\s*|\n[^\S\n]*\n\s*)$")
 _KANA_NEXT = frozenset("とはがのをもにで")
 
 
@@ -181,7 +181,7 @@ def _after_period(text: str, start: int, tail: int, at: int, bare: bool) -> bool
     if len(token) == 1 and not token.isdigit() and not token.islower():
         return False
     if token.isdigit() and len(token) <= 3:
-        if tail != at and _LINE_START.search(text, max(0, m.start() - 200), m.start()):  # the number of a heading or list item
+        if tail != at and _UNIT_START.search(text, max(0, m.start() - 200), m.start()):  # the number of a heading or list item
             return False
         word = _next_word(text, at)
         if word.casefold().replace("\xad", "") in _MONTHS:
