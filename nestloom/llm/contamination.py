@@ -111,9 +111,11 @@ class SeedIndex:
         return out
 
 
-def leaks(docs: DataFrame, items: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.0, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, item_id, item_words, shared_words, tolerant_words`` of every document and item with a seed hit.
 
+    Only pairs that share at least ``least_share`` of the item's words are returned.
+
     docs has doc_id and text; items has item_id, lang and text.  ``shared_words`` counts the
     item's words in windows that also occur in the document, each once; ``tolerant_words`` those
     in windows that agree where a mask looks.  Null and empty texts hold nothing; repeated rows
@@ -127,13 +129,13 @@ def leaks(docs: DataFrame, items: DataFrame, block_chars: int = BLOCK_CHARS) ->
     for block in range(blocks):
         rows = items.where(spread_key(blocks, F.col("item_id")) == block) if blocks > 1 else items
         index = spark.sparkContext.broadcast(SeedIndex([tuple(r) for r in rows.orderBy("item_id").collect()]))
-        out.append(_scan(docs, index))
+        out.append(_scan(docs, index, least_share))
     found = union_all(out)
     best = [F.max(c).alias(c) for c in ("item_words", "shared_words", "tolerant_words")]
     return found.groupBy("doc_id", "item_id").agg(*best)
 
 
-def _scan(docs: DataFrame, index: object) -> DataFrame:
+def _scan(docs: DataFrame, index: object, least_share: float) -> DataFrame:
     def scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
         idx = index.value
@@ -147,18 +149,18 @@ def _scan(docs: DataFrame, index: object) -> DataFrame:
                     parts.append(hasher(found))
                     held += len(found)
                 if held > 500_000:
-                    out += _found(idx, ids, parts)
+                    out += _found(idx, ids, parts, least_share)
                     ids, parts, held = [], [], 0
-            out += _found(idx, ids, parts)
+            out += _found(idx, ids, parts, least_share)
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "item_words", "shared_words", "tolerant_words"])
 
     schema = "doc_id long, item_id long, item_words int, shared_words int, tolerant_words int"
     return docs.select("doc_id", "text").where(F.length("text") > 0).mapInPandas(scan, schema)
 
 
-def _found(idx: SeedIndex, ids: list, parts: list[np.ndarray]) -> list[tuple]:
+def _found(idx: SeedIndex, ids: list, parts: list[np.ndarray], least_share: float) -> list[tuple]:
     if not parts:
         return []
     doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     hits = idx.scan(np.concatenate(parts), doc)
-    return [(ids[d], idx.ids[i], idx.lengths[i], *n) for (d, i), n in hits.items()]
+    return [(ids[d], idx.ids[i], idx.lengths[i], *n) for (d, i), n in hits.items() if n[0] >= least_share * idx.lengths[i]]

@@ -10,13 +10,21 @@ from nestloom.llm import contamination, cooccurrence, names, packing, sentences
 from nestloom.runtime import table
 
 
-def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of topics, concepts and keywords in five works or more, three times as often as by chance."""
+def _cooccurring(spark: SparkSession, sf_dir: str, min_lift: float) -> DataFrame:
     works = table(spark, sf_dir, "works")
     fields = {f: F.transform(F.col(f)["id"], lambda x: F.lower(short_id(x))) for f in ("topics", "concepts")}
     fields["keywords"] = F.transform(F.col("keywords")["id"], slug)
-    found = cooccurrence.cooccurring(works, id_number(F.col("id"), "w"), fields, min_count=5, min_lift=3)
-    return found.select("field_name", "item_a", "item_b")
+    return cooccurrence.cooccurring(works, id_number(F.col("id"), "w"), fields, min_count=5, min_lift=min_lift)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of topics, concepts and keywords in five works or more, three times as often as by chance."""
+    return _cooccurring(spark, sf_dir, 3).select("field_name", "item_a", "item_b")
+
+
+def p2_surprise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs in five works or more with their expected count, tail and q-value."""
+    return _cooccurring(spark, sf_dir, 0)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,8 +55,8 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that give away an evaluation item: half of its words lie in shared passages."""
-    found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
-    return found.where(F.col("shared_words") * 2 >= F.col("item_words")).select("doc_id", "item_id")
+    found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), least_share=0.5)
+    return found.select("doc_id", "item_id")
 
 
 def p9_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +73,7 @@ def _num(col: str, letters: str) -> str:
     return f"try_cast(regexp_extract({col}, '(?:^|[^A-Za-z0-9])[{letters}]([0-9]+)', 1) AS BIGINT)"
 
 
-QUERIES = {"p2_found": p2_found, "p5_found": p5_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p2_surprise": p2_surprise, "p5_found": p5_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
 
 ORACLE = {
     "p2_found": f"""

@@ -21,14 +21,23 @@ CJK_WORD = re.compile(rf"[{_CJK}]")
 _SPLIT_MARKS = "゙゚"
 
 
+class _Folding(dict):
+    """What each character becomes, found when it first occurs."""
+
+    def __missing__(self, code: int) -> str:
+        out = unicodedata.normalize("NFKD", chr(code).casefold()).translate(_BASE)
+        out = "".join(c for c in out if c in _SPLIT_MARKS or unicodedata.category(c) not in ("Mn", "Mc", "Me", "Cf"))
+        self[code] = out = unicodedata.normalize("NFC", out) if len(out) > 1 else out
+        return out
+
+
+_FOLDED = _Folding(_MARKUP)
+
+
 def folded(text: str) -> str:
     """The text without case, accents, ligatures, markup signs and format characters."""
-    if text.isascii():
-        return (_TAG.sub("", text) if "<" in text else text).translate(_MARKUP).lower()
-    text = _TAG.sub("", text) if "<" in text else text
-    text = unicodedata.normalize("NFKD", text.translate(_MARKUP).casefold()).translate(_BASE)
-    kept = [c for c in text if c.isascii() or c in _SPLIT_MARKS or unicodedata.category(c) not in ("Mn", "Mc", "Me", "Cf")]
-    return unicodedata.normalize("NFC", "".join(kept))
+    out = (_TAG.sub("", text) if "<" in text else text).translate(_FOLDED)
+    return unicodedata.normalize("NFC", out) if any(m in out for m in _SPLIT_MARKS) else out
 
 
 def words(text: str | None) -> list[str]:
