@@ -40,10 +40,10 @@ def leaf_bits(rows: int, rows_per_leaf: int) -> int:
     return max(FANOUT_BITS, FANOUT_BITS * math.ceil(math.log2(max(2, rows / rows_per_leaf)) / FANOUT_BITS))
 
 
-def differing_leaves(rows: DataFrame, bits: int) -> DataFrame:
+def differing_leaves(rows: DataFrame, follows: DataFrame, bits: int) -> DataFrame:
     """(snapshot, leaf) whose digests differ from the preceding snapshot, found from the root down.
 
-    ``rows`` has snapshot, previous, leaf, row_hash; ``previous`` is null in the first snapshot.
+    ``rows`` has snapshot, leaf, row_hash; ``follows`` has snapshot and previous, null for the first.
     """
     leaves = materialize(
         rows.groupBy("snapshot", "leaf").agg(F.bit_xor("row_hash").alias("d"), F.count("*").alias("n")), "merkle-leaves"
@@ -54,7 +54,7 @@ def differing_leaves(rows: DataFrame, bits: int) -> DataFrame:
         up = children.groupBy("snapshot", F.col("up").alias("leaf"))
         # written, as each level is read for itself and for the one above it
         levels.append(materialize(up.agg(F.bit_xor(F.xxhash64(children["leaf"], "d", "n")).alias("d"), F.sum("n").alias("n")), "merkle-level"))
-    follows = rows.select("snapshot", "previous").distinct().where("previous IS NOT NULL")
+    follows = follows.where("previous IS NOT NULL")
     open_nodes = None
     for level in reversed(levels):
         # each node once for its own snapshot and once for the snapshot that follows it
@@ -69,7 +69,7 @@ def differing_leaves(rows: DataFrame, bits: int) -> DataFrame:
         sides = both.groupBy("snapshot", "leaf").agg(
             F.max(F.when(F.col("side") == 1, node)).alias("now"), F.max(F.when(F.col("side") == 0, node)).alias("before")
         )
-        open_nodes = sides.where(~F.col("now").eqNullSafe(F.col("before"))).select("snapshot", "leaf")
+        open_nodes = materialize(sides.where(~F.col("now").eqNullSafe(F.col("before"))).select("snapshot", "leaf"), "merkle-open")
     return open_nodes
 
 
@@ -85,12 +85,12 @@ def snapshot_changes(df: DataFrame, key: Column, snapshot: Column, version: Colu
     found = dates.agg(F.max("count")).first()[0]
     bits = leaf_bits(found or 0, rows_per_leaf)
     # one row per snapshot, so the window's single task is as small as the calendar
-    follows = dates.select("snapshot", F.lag("snapshot").over(Window.orderBy("snapshot")).alias("previous"))
+    follows = materialize(dates.select("snapshot", F.lag("snapshot").over(Window.orderBy("snapshot")).alias("previous")), "snapshots")
     rows = states.join(F.broadcast(follows), "snapshot").select(
         "snapshot", "previous", "key", "row_digest", F.xxhash64("key", "row_digest").alias("row_hash"),
         F.shiftrightunsigned(F.xxhash64("key"), 64 - bits).alias("leaf"),
     )
-    changed = materialize(differing_leaves(rows, bits), "merkle-changed")
+    changed = differing_leaves(rows, follows, bits)
     after = follows.where("previous IS NOT NULL").select(F.col("previous").alias("snapshot"), F.col("snapshot").alias("next"))
     now = rows.where("previous IS NOT NULL").select("snapshot", "leaf", "key", F.col("row_digest").alias("now"), F.lit(None).cast("long").alias("before"))
     before = rows.join(F.broadcast(after), "snapshot").select(F.col("next").alias("snapshot"), "leaf", "key", F.lit(None).cast("long").alias("now"), F.col("row_digest").alias("before"))
