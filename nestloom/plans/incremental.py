@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestloom.functions.naming import local_name
@@ -91,3 +91,30 @@ def shard_status(sources: DataFrame, tables: DataFrame, expected: int | None = N
     both = sources.select("source_key", F.lit(True).alias("_source")).distinct().join(known, "source_key", "full_outer")
     status = F.when(F.col("_source").isNull(), "orphan").when(F.col("n").isNull(), "missing").when(F.col("n") < F.col("_most"), "incomplete").otherwise("complete")
     return both.select("source_key", status.alias("status"))
+
+
+def completed_paths(paths: DataFrame, path: str = "path") -> DataFrame:
+    """``table_name, source_key`` of the shards in a listing of ``<entity>/<table>/source_key=<key>/<file>`` paths, each once."""
+    shape = r"([^/]+/[^/]+)/source_key=([^/]+)/[^/]+$"
+    parts = paths.select(F.regexp_extract(path, shape, 1).alias("table_name"), F.regexp_extract(path, shape, 2).alias("source_key"))
+    return parts.where("source_key != ''").distinct()
+
+
+def stale(local: DataFrame, remote: DataFrame, key: str = "path") -> DataFrame:
+    """Local files whose object is gone, once object keys have local names; plain ``.gz`` copies count as their object."""
+    kept = remote.select(local_name(F.col(key)).alias("_name")).union(remote.select(key)).distinct()
+    return local.select(key).distinct().join(kept, F.col(key) == F.col("_name"), "left_anti")
+
+
+def file_hashes(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """``path, length, content_hash`` of files: the first 16 digits of their SHA-256."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select("path", "length", F.substring(F.sha2("content", 256), 1, 16).alias("content_hash"))
+
+
+def provenance(rows: DataFrame, table: str, schema_json: str, version: str) -> DataFrame:
+    """One row on a written table: its rows, files, columns' fingerprint, the code's version and the time in UTC."""
+    return rows.agg(F.count("*").alias("n_rows"), F.countDistinct("source_key").alias("n_files")).select(
+        F.lit(table).alias("table_name"), "n_rows", "n_files", F.substring(F.sha2(F.lit(schema_json), 256), 1, 16).alias("schema_fingerprint"), F.lit(version).alias("version"),
+        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("written_at"),
+    )

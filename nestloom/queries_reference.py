@@ -386,6 +386,32 @@ _add("fingerprint", lambda spark, sf_dir: graph.fingerprint(table(spark, sf_dir,
      "SELECT substr(sha256(string_agg(f, chr(10) ORDER BY f)), 1, 16) AS fingerprint FROM (SELECT DISTINCT source_file AS f FROM raw_records)")
 
 
+def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "raw_records").select(naming.source_key_column(F.col("source_file")).alias("k"), "entity")
+    return files.select(F.concat(F.lit("data/"), "entity", F.lit("/topics/source_key="), "k", F.lit("/part-0.parquet")).alias("path"))
+
+
+_add("completed_paths", lambda spark, sf_dir: incremental.completed_paths(_shards(spark, sf_dir)), """
+SELECT DISTINCT entity || '/topics' AS table_name, replace(regexp_replace(source_file, '(\\.jsonl\\.gz|\\.jsonl|\\.gz)$', ''), '/', '__') AS source_key FROM raw_records""")
+
+
+def stale_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "raw_records").select(F.col("source_file").alias("path")).distinct()
+    return incremental.stale(files, files.where("path LIKE 'works%'").select(F.regexp_replace("path", r"\.jsonl\.gz$", ".gz").alias("path")))
+
+
+_add("stale_files", stale_files, "SELECT DISTINCT source_file AS path FROM raw_records WHERE source_file NOT LIKE 'works%'")
+
+
+def row_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all source files, from the average of each entity's files."""
+    counts = table(spark, sf_dir, "raw_records").groupBy("entity", "source_file").agg(F.count("*").alias("n"))
+    return counts.groupBy("entity").agg(F.round(F.avg("n") * F.count("*")).cast("bigint").alias("n_rows"), F.count("*").alias("n_files"))
+
+
+_add("row_estimate", row_estimate, "SELECT entity, CAST(round(avg(n) * count(*)) AS BIGINT) AS n_rows, count(*) AS n_files FROM (SELECT entity, source_file, count(*) AS n FROM raw_records GROUP BY ALL) GROUP BY 1")
+
+
 def bin_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source files spread over four jobs by their number of lines; the listing of files is what comes to the driver."""
     files = table(spark, sf_dir, "raw_records").groupBy("source_file").count().collect()
