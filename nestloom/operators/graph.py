@@ -91,6 +91,8 @@ def build(links: DataFrame) -> dict[str, DataFrame]:
 
     Without edges all three are empty, even if there are ids.
     """
+    # read twice, for the edges and for the nodes
+    links = materialize(links, "graph-links")
     edges = materialize(edges_of(links), "graph-edges")
     if not edges.head(1):
         none = links.select(F.col("src_space").alias("space"), F.col("src").alias("id"), F.col("src").alias("idx")).limit(0)

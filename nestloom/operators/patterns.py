@@ -147,9 +147,9 @@ def roles(parents: DataFrame, f: Field, id_column: str) -> Tables:
 
 
 def topic_share(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    """A missing value is 0.0; an explicit null stays null."""
+    """A missing value, and a null one, is 0.0."""
     value = at(F.col("item"), "value")
-    share = F.when(value.isNull(), 0.0).otherwise(F.try_variant_get(value, "$", "double"))
+    share = F.when(kind(value) == ABSENT, 0.0).otherwise(F.try_variant_get(value, "$", "double"))
     out = _rows(items(parents, id_column), id_column, topic_id=numeric_id(at(F.col("item"), "id")), value=share)
     return {f.table: out.where("topic_id IS NOT NULL")}
 

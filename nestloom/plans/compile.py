@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestloom.functions.lattice import LIST, OBJECT, cast_cell, coerce, kind, spark_type
 from nestloom.operators.patterns import PATTERNS, at, filled, own_id
@@ -19,9 +20,40 @@ class UnexpectedColumns(ValueError):
     """Data holds columns that the canonical schema of their table doesn't have."""
 
 
+def part_of(records: DataFrame, path: str) -> Column:
+    """The part of the records at a dotted path, as a variant; of typed records only that part is read."""
+    kind = records.schema["record"].dataType
+    if isinstance(kind, T.VariantType):
+        return at(F.col("record"), path)
+    column, kind = typed_part(records, path)
+    if kind is None:
+        return F.lit(None).cast("variant")
+    return F.to_variant_object(column) if isinstance(kind, T.StructType | T.ArrayType | T.MapType) else column.cast("variant")
+
+
+def typed_part(records: DataFrame, path: str) -> tuple[Column, T.DataType | None]:
+    column, kind = F.col("record"), records.schema["record"].dataType
+    for step in path.split("."):
+        if not isinstance(kind, T.StructType) or step not in kind.names:
+            return F.lit(None), None
+        column, kind = column[step], kind[step].dataType
+    return column, kind
+
+
+def scalar_part(records: DataFrame, path: str, to: str) -> Column:
+    """The scalar at a path in a lattice type."""
+    if isinstance(records.schema["record"].dataType, T.VariantType):
+        return cast_cell(at(F.col("record"), path), to)
+    column, kind = typed_part(records, path)
+    if kind is None:
+        return F.lit(None).cast(spark_type(to))
+    source = "bool" if isinstance(kind, T.BooleanType) else "int" if isinstance(kind, T.IntegralType) else "float" if isinstance(kind, T.FractionalType) else "str"
+    return coerce(column.cast(spark_type(source)), source, to)
+
+
 def identified(records: DataFrame, schema: Schema) -> DataFrame:
     """``source_key, <id>, record`` of the records that have an id, in the entity's one id type."""
-    eid = own_id(at(F.col("record"), schema.id_path)).try_cast(spark_type(schema.id_type))
+    eid = own_id(part_of(records, schema.id_path)).try_cast(spark_type(schema.id_type))
     return records.where("record IS NOT NULL").select("source_key", eid.alias(schema.id_column), "record").where(F.col(schema.id_column).isNotNull())
 
 
@@ -35,12 +67,12 @@ def raw_tables(records: DataFrame, schema: Schema, wanted: Iterable[str] | None
     parts: dict[str, list[DataFrame]] = {}
     main = [c for f in schema.fields if f.pattern == "scalar" for c in f.columns]
     if main and schema.main in keep:
-        cells = [cast_cell(at(F.col("record"), path), type_).alias(column) for column, path, type_ in main]
+        cells = [scalar_part(base, path, type_).alias(column) for column, path, type_ in main]
         parts[schema.main] = [base.select("source_key", schema.id_column, *cells)]
     for f in schema.fields:
         if f.pattern == "scalar" or not keep & {f.table, *(n.table for n in f.nested)}:
             continue
-        value = filled(at(F.col("record"), f.key))
+        value = filled(part_of(base, f.key))
         parents = base.select("source_key", schema.id_column, value.alias("value")).where(kind(F.col("value")) == (OBJECT if f.single else LIST))
         for table, df in PATTERNS[f.pattern](parents, f, schema.id_column).items():
             if table in keep:

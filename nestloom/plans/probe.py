@@ -13,11 +13,12 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestloom.functions.lattice import type_of, widen, widen_names
-from nestloom.functions.naming import singular
+from nestloom.functions.naming import singular, target_column
 from nestloom.plans.schema import Field, Schema, load, merge, store
 from nestloom.sources import jsonl
 
@@ -33,11 +34,16 @@ URL_MARKS = ("https://", "http://")
 
 # ---- shapes -----------------------------------------------------------------------------------
 # A shape is {"t": [scalar types], "o": {part: shape} or None, "l": item shape or None, "u": a URL
-# was among the first strings of a list, "k": an id names a keyword}.
+# was among the first strings of a list, "k": an id names a keyword, "s": a string that doesn't
+# end in a number}.
+
+
+def blank() -> dict:
+    return {"t": [], "o": None, "l": None, "u": False, "k": False, "s": False}
 
 
 def shape_of(value: object) -> dict:
-    out: dict = {"t": [], "o": None, "l": None, "u": False, "k": False}
+    out = blank()
     if isinstance(value, dict):
         out["o"] = {k: shape_of(v) for k, v in value.items()}
         out["k"] = isinstance(value.get("id"), str) and "/keywords/" in value["id"]
@@ -51,6 +57,7 @@ def shape_of(value: object) -> dict:
         out["u"] = any(x.startswith(URL_MARKS) for x in texts)
     elif value is not None:
         out["t"] = [type_of(value)]
+        out["s"] = isinstance(value, str) and value != "" and not value[-1].isdigit()
     return out
 
 
@@ -64,7 +71,7 @@ def united(a: dict | None, b: dict | None) -> dict:
     for o in objects:
         parts = o if parts is None else {k: united(parts.get(k), o.get(k)) for k in [*parts, *(x for x in o if x not in parts)]}
     inner = None if not lists else lists[0] if len(lists) == 1 else united(lists[0], lists[1])
-    return {"t": sorted({*a["t"], *b["t"]}), "o": parts, "l": inner, "u": a["u"] or b["u"], "k": a["k"] or b["k"]}
+    return {"t": sorted({*a["t"], *b["t"]}), "o": parts, "l": inner, "u": a["u"] or b["u"], "k": a["k"] or b["k"], "s": a["s"] or b["s"]}
 
 
 def observe(records: DataFrame) -> dict[str, dict]:
@@ -94,6 +101,95 @@ def observe(records: DataFrame) -> dict[str, dict]:
     return {r["field"]: json.loads(r["shape"]) for r in sorted(rows, key=lambda r: r["field"])}
 
 
+def typed_shape(kind: T.DataType) -> dict:
+    """The shape that a column's type tells, without looking at data."""
+    out = blank()
+    if isinstance(kind, T.StructType):
+        out["o"] = {f.name: typed_shape(f.dataType) for f in kind.fields}
+    elif isinstance(kind, T.ArrayType):
+        out["l"] = typed_shape(kind.elementType)
+    elif isinstance(kind, T.MapType):
+        out["o"] = {"": typed_shape(kind.valueType)}
+    else:
+        integral = isinstance(kind, T.IntegralType)
+        out["t"] = ["bool" if isinstance(kind, T.BooleanType) else "int" if integral else "float" if isinstance(kind, T.FractionalType) else "str"]
+    return out
+
+
+def _texts(shape: dict, column: Column) -> Iterator[tuple[dict, Callable[[Callable[[Column], Column]], Column]]]:
+    """Every string in a typed column, as its shape and a function that tells whether any of its values passes a test."""
+    if shape["o"] is not None:
+        for name, part in shape["o"].items():
+            if name:
+                yield from _texts(part, column[name])
+    elif shape["l"] is not None:
+        inner = shape["l"]
+        if inner["o"] is None and inner["l"] is None:
+            if inner["t"] == ["str"]:
+                yield inner, lambda test: F.exists(column, test)
+            return
+        for path, part in _paths(inner):
+            yield part, _any_item(column, path)
+    elif shape["t"] == ["str"]:
+        yield shape, lambda test: test(column)
+
+
+def _paths(shape: dict, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], dict]]:
+    """(path, shape) of the strings in a list's items; "[]" stands for the items of an inner list."""
+    if shape["o"] is not None:
+        for name, part in shape["o"].items():
+            yield from _paths(part, (*path, name))
+    elif shape["l"] is not None:
+        yield from _paths(shape["l"], (*path, "[]"))
+    elif shape["t"] == ["str"]:
+        yield path, shape
+
+
+def _any_item(column: Column, path: tuple[str, ...]) -> Callable[[Callable[[Column], Column]], Column]:
+    def passes(test: Callable[[Column], Column]) -> Column:
+        return F.exists(column, lambda x: _passes(x, path, test))
+
+    return passes
+
+
+def _passes(x: Column, path: tuple[str, ...], test: Callable[[Column], Column]) -> Column:
+    for n, step in enumerate(path):
+        if step == "[]":
+            return F.exists(x, _inner(path[n + 1 :], test))
+        x = x[step]
+    return test(x)
+
+
+def _inner(rest: tuple[str, ...], test: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda y: _passes(y, rest, test)
+
+
+def observe_table(df: DataFrame, column: str = "record") -> dict[str, dict]:
+    """The shapes of a typed table's columns: from their types, and one aggregate that tells which are
+    empty, hold URLs, name keywords or have ids without numbers."""
+    shapes = {f.name: typed_shape(f.dataType) for f in df.schema[column].dataType.fields}
+    tests: dict[str, tuple[dict, str, Column]] = {}
+    for name, shape in shapes.items():
+        whole = F.col(column)[name]
+        held = F.size(whole) > 0 if shape["l"] is not None else whole.isNotNull()
+        tests[f"c{len(tests)}"] = (shape, "held", held)
+        if shape["l"] is not None and shape["l"]["t"] == ["str"]:
+            tests[f"c{len(tests)}"] = (shape, "u", F.exists(F.slice(whole, 1, URL_LOOK), lambda x: F.rlike(x, F.lit("^https?://"))))
+        if shape["l"] is not None and shape["l"]["o"] and "id" in shape["l"]["o"]:
+            tests[f"c{len(tests)}"] = (shape["l"], "k", F.exists(whole, lambda x: x["id"].contains("/keywords/")))
+        for part, any_of in _texts(shape, whole):
+            tests[f"c{len(tests)}"] = (part, "s", any_of(lambda x: (x != "") & ~x.rlike("[0-9]$")))
+    row = df.agg(*[F.max(F.coalesce(c, F.lit(False))).alias(k) for k, (_, _, c) in tests.items()]).first()
+    empty = []
+    for k, (shape, flag, _) in tests.items():
+        if flag == "held":
+            if not row[k]:
+                empty.append(id(shape))
+        else:
+            shape[flag] = bool(row[k])
+    return {n: (blank() if id(x) in empty else x) for n, x in shapes.items()}
+
+
 # ---- rules ------------------------------------------------------------------------------------
 
 
@@ -238,37 +334,64 @@ def classify(entity: str, shapes: dict[str, dict], prefer_own_id: bool = True) -
     return Schema(entity, tuple(fields))
 
 
-def id_type(records: DataFrame, id_path: str = "id") -> str:
-    """int if every record's id ends in a number, else str."""
-    from nestloom.operators.patterns import at, numeric_id, own_id
-
-    v = at(F.col("record"), id_path)
-    row = records.where("record IS NOT NULL").agg(F.count_if(own_id(v).isNotNull() & numeric_id(v).isNull()).alias("n")).first()
-    return "str" if row["n"] else "int"
+def _kind(s: dict | None) -> str:
+    """The column type of values of a shape."""
+    if not s:
+        return "str"
+    if s["l"] is not None:
+        return f"list<{widen((s['l'] or blank())['t'])}>"
+    return widen(s["t"])
+
+
+def _id_kind(s: dict | None) -> str:
+    """int for ids that are or end in numbers, else str."""
+    return "str" if not s or s["s"] or set(s["t"]) - {"str", "int", "bool"} else "int"
+
+
+def _walk(parts: dict, path: str) -> dict | None:
+    return _at(parts, path.split("."))
+
+
+def _cells(f: Field, shapes: dict[str, dict]) -> dict[tuple[str, str], str]:
+    """(table, column) -> type of the columns of a field whose type follows from the data."""
+    holder = _walk(shapes, f.key) or blank()
+    parts = holder["o"] if f.single and holder["o"] is not None else items_of(holder)
+    out = {(f.table, dict(f.renames).get(e, e)): _kind(parts.get(e)) for e in f.extras if f.pattern not in ("time_series",)}
+    out |= {(f.table, c): _kind(_walk(parts, p)) for c, p, _ in f.columns if f.pattern == "generic_list"}
+    if f.pattern in ("id_ref", "nested_id_ref"):
+        target = f.target or target_column(f.key, f.id_path)
+        kind = _id_kind(_walk(parts, f.id_path))
+        out[f.table, target] = kind
+        for n in f.nested:
+            out[n.table, target] = kind
+            out |= {(n.table, e): _kind(items_of(parts.get(n.key)).get(e)) for e in n.extras}
+    elif f.pattern == "generic_list":
+        for n in f.nested:
+            out |= {(n.table, c): _kind(_walk(items_of(parts.get(n.key)), p)) for c, p, _ in n.columns}
+    return out
 
 
 def probe(records: DataFrame, entity: str, seed: Schema | None = None, prefer_own_id: bool = True, wanted: Iterable[str] | None = None) -> Schema:
-    """The schema of records (line, record), completed by a seed, with the types of the wanted tables' columns (by default of all)."""
+    """The schema of records, completed by a seed, with the types of the wanted tables' columns (by default of all).
+
+    Lines are read once; for typed records one aggregate is enough.
+    """
     from nestloom.plans.compile import raw_tables
 
-    schema = classify(entity, observe(records), prefer_own_id)
-    schema = replace(schema, id_type=id_type(records) if seed is None else widen([seed.id_type, id_type(records)]))
-    schema = merge(seed, schema)
-    tables = {}
-    for name, df in raw_tables(records, schema, wanted).items():
-        cells = [c for c, t in df.dtypes if t == "variant"]
-        held = df.agg(*[F.collect_set(F.schema_of_variant(c)).alias(c) for c in cells]).first().asDict() if cells else {}
-        declared = {"bigint": "int", "string": "str", "double": "float", "boolean": "bool", "array<bigint>": "list<int>", "array<string>": "list<str>"}
-        tables[name] = tuple((c, widen_names(map(_known, held[c])) if c in held else declared[t]) for c, t in df.dtypes if c != "source_key")
+    typed = isinstance(records.schema["record"].dataType, T.StructType)
+    shapes = observe_table(records) if typed else observe(records)
+    schema = classify(entity, shapes, prefer_own_id)
+    kind = _id_kind(shapes.get("id"))
+    schema = merge(seed, replace(schema, id_type=kind if seed is None else widen([seed.id_type, kind])))
+    declared = {"bigint": "int", "string": "str", "double": "float", "boolean": "bool", "array<bigint>": "list<int>", "array<string>": "list<str>"}
+    cells: dict[tuple[str, str], str] = {}
+    for f in schema.fields:
+        for k, t in _cells(f, shapes).items():
+            cells[k] = widen_names([t, cells.get(k)])
+    tables = {name: tuple((c, cells.get((name, c), declared.get(t, "str"))) for c, t in df.dtypes if c != "source_key") for name, df in raw_tables(records, schema, wanted).items()}
     return merge(seed, replace(schema, tables=tables))
 
 
-def _known(text: str) -> str | None:
-    from nestloom.functions.lattice import name_of
-
-    return name_of(text)
-
-
 def fingerprint(paths: Iterable[str]) -> str:
     """SHA-256 of the sorted names, each with a line end."""
     return hashlib.sha256("".join(f"{p}\n" for p in sorted(paths)).encode()).hexdigest()

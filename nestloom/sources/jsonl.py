@@ -57,9 +57,8 @@ def read(spark: SparkSession, paths: list[str] | str, root: str = "") -> DataFra
 
 
 def read_table(df: DataFrame, key: Column | None = None) -> DataFrame:
-    """Rows of a typed table as records, so that they go the same way as files."""
-    text = F.to_json(F.struct(*df.columns))
-    return df.select((key if key is not None else F.lit("table")).alias("source_key"), text.alias("line")).select("source_key", "line", parse(F.col("line")).alias("record"))
+    """Rows of a typed table as records, so that they go the same way as files; only the parts that a plan needs are read."""
+    return df.select((key if key is not None else F.lit("table")).alias("source_key"), F.struct(*df.columns).alias("record"))
 
 
 def losses(records: DataFrame) -> DataFrame:
