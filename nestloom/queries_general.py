@@ -184,7 +184,18 @@ ends AS (SELECT * FROM walk WHERE next IS NULL OR looped),
 tree AS (SELECT e AS entity, start AS node_id, CASE WHEN looped THEN list_min(list_slice(seen, list_position(seen, cur), len(seen))) ELSE cur END AS root_id, CASE WHEN looped THEN -1 ELSE len(seen) - 1 END AS node_depth, seen, looped FROM ends)
 """
 
+_SHORT = "upper(regexp_extract({0}, '(?:^|[^A-Za-z0-9])([A-Za-z])([0-9]+)', 1)) || CAST(try_cast(regexp_extract({0}, '(?:^|[^A-Za-z0-9])([A-Za-z])([0-9]+)', 2) AS BIGINT) AS VARCHAR)"
+
+
+def _p7_part(name: str, key: str) -> str:
+    return f"""SELECT id, '{name}' AS child_table, -1 AS parent_pos, pos AS item_pos, coalesce({_SHORT.format(key)}, '') AS item_key
+FROM (SELECT id, unnest({name}) AS x, CAST(generate_subscripts({name}, 1) - 1 AS INTEGER) AS pos FROM works) WHERE x IS NOT NULL"""
+
+
 ORACLE = {
+    "p7_typed": " UNION ALL ".join(_p7_part(n, k) for n, k in (("authorships", "x.author.id"), ("locations", "x.source.id"), ("topics", "x.id"), ("grants", "x.funder"))) + f"""
+UNION ALL SELECT id, 'institutions', pos, ipos, coalesce({_SHORT.format("y.id")}, '') FROM (SELECT id, pos, unnest(x.institutions) AS y, CAST(generate_subscripts(x.institutions, 1) - 1 AS INTEGER) AS ipos
+FROM (SELECT id, unnest(authorships) AS x, CAST(generate_subscripts(authorships, 1) - 1 AS INTEGER) AS pos FROM works) WHERE x IS NOT NULL) WHERE y IS NOT NULL""",
     "p4_found": _P4 + "SELECT entity, node_id, root_id, CAST(node_depth AS INTEGER) AS node_depth FROM tree",
     "p4_paths": _P4 + "SELECT entity, node_id, CASE WHEN NOT looped THEN array_to_string(list_reverse(seen), '/') END AS node_path FROM tree",
     "p4_descendants": _P4 + """SELECT entity, seen[i + 1] AS ancestor_id, node_id, CAST(i AS INTEGER) AS distance
