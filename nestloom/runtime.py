@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_FOLDERS: set[str] = set()
 
 
 def build_session(app: str = "nestloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,23 +47,36 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    This cuts the lineage, survives the loss of executors, and later reads prune columns.
+    This cuts the lineage, survives the loss of executors, and later reads prune columns.  The
+    tables of an application are removed when its driver ends, or by ``clean_up``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table made by ``materialize`` that no later plan reads."""
-    spark = df.sparkSession
-    root = f"{shared_dir(spark)}/tables/"
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if root.split("://")[-1].lstrip("/") in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
+def _own_folder(spark: SparkSession) -> str:
+    folder = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove_quietly, spark, folder)
+    return folder
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove the tables that ``materialize`` wrote in this application; results that are still unread need them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _remove_quietly(spark: SparkSession, folder: str) -> None:
+    try:
+        if spark.sparkContext._jsc is not None:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001, S110 - the session may be gone already
+        pass
 
 
 def is_empty(df: DataFrame) -> bool:
