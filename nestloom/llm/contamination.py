@@ -128,7 +128,8 @@ def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.0, block_cha
     out = []
     for block in range(blocks):
         rows = items.where(spread_key(blocks, F.col("item_id")) == block) if blocks > 1 else items
-        index = spark.sparkContext.broadcast(SeedIndex([tuple(r) for r in rows.orderBy("item_id").collect()]))
+        # plain data, so that executors need no copy of the class
+        index = spark.sparkContext.broadcast(vars(SeedIndex([tuple(r) for r in rows.orderBy("item_id").collect()])))
         out.append(_scan(docs, index, least_share))
     found = union_all(out)
     best = [F.max(c).alias(c) for c in ("item_words", "shared_words", "tolerant_words")]
@@ -138,7 +139,8 @@ def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.0, block_cha
 def _scan(docs: DataFrame, index: object, least_share: float) -> DataFrame:
     def scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
-        idx = index.value
+        idx = SeedIndex.__new__(SeedIndex)
+        vars(idx).update(index.value)
         for batch in batches:
             out = []
             ids, parts, held = [], [], 0
@@ -154,8 +156,10 @@ def _scan(docs: DataFrame, index: object, least_share: float) -> DataFrame:
             out += _found(idx, ids, parts, least_share)
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "item_words", "shared_words", "tolerant_words"])
 
-    schema = "doc_id long, item_id long, item_words int, shared_words int, tolerant_words int"
-    return docs.select("doc_id", "text").where(F.length("text") > 0).mapInPandas(scan, schema)
+    # ids go as text, since pandas has no integers beside nulls
+    schema = "doc_id string, item_id string, item_words int, shared_words int, tolerant_words int"
+    found = docs.select(F.col("doc_id").cast("string"), "text").where(F.length("text") > 0).mapInPandas(scan, schema)
+    return found.withColumns({c: F.col(c).cast("long") for c in ("doc_id", "item_id")})
 
 
 def _found(idx: SeedIndex, ids: list, parts: list[np.ndarray], least_share: float) -> list[tuple]:
@@ -163,4 +167,5 @@ def _found(idx: SeedIndex, ids: list, parts: list[np.ndarray], least_share: floa
         return []
     doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     hits = idx.scan(np.concatenate(parts), doc)
-    return [(ids[d], idx.ids[i], idx.lengths[i], *n) for (d, i), n in hits.items() if n[0] >= least_share * idx.lengths[i]]
+    name = lambda i: None if idx.ids[i] is None else str(idx.ids[i])
+    return [(ids[d], name(i), idx.lengths[i], *n) for (d, i), n in hits.items() if n[0] >= least_share * idx.lengths[i]]

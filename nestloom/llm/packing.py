@@ -34,7 +34,7 @@ TERM_BUCKETS = 1 << 17
 _K1, _B = 1.2, 0.75
 # fixed value: the published splitting pattern of this vocabulary
 _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_ITEM = "doc_id long, piece int, token_start int, n_tokens int, script int, terms array<int>, counts array<int>"
+_ITEM = "doc_id string, piece int, token_start int, n_tokens int, script int, terms array<int>, counts array<int>"
 
 
 def tokenizer(path: str) -> Callable[[str], int]:
@@ -75,7 +75,8 @@ def items(docs: DataFrame, capacity: int, path: str, buckets: int = TERM_BUCKETS
                     out.append((doc_id, piece, start, size, script, [] if full else terms.tolist(), [] if full else counts.tolist()))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _ITEM.split(", ")])
 
-    return docs.select("doc_id", "text").mapInPandas(measure, _ITEM)
+    # ids go as text, since pandas has no integers beside nulls
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(measure, _ITEM)
 
 
 def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, mean_length: float, capacity: int) -> list[list[int]]:
@@ -128,7 +129,7 @@ def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], i
         out.append(members)
 
 
-_PLACED = "doc_id long, piece int, token_start int, n_tokens int, script int, terms array<int>, counts array<int>, shard long, container string, position int, filled int"
+_PLACED = "doc_id string, piece int, token_start int, n_tokens int, script int, terms array<int>, counts array<int>, shard long, container string, position int, filled int"
 
 
 def _packer(idf: object, mean_length: float, capacity: int, level: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -157,7 +158,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str = TOKE
     pieces = materialize(items(docs, capacity, tokenizer_path), "pieces")
     loose = pieces.where(F.col("n_tokens") < capacity)
     whole = pieces.where(F.col("n_tokens") == capacity).select(
-        F.concat(F.lit("full-"), F.col("doc_id").cast("string"), F.lit("-"), F.col("piece").cast("string"), F.lit("-"), F.monotonically_increasing_id().cast("string")).alias("container"),
+        F.concat_ws("-", F.lit("full"), "doc_id", "piece", F.monotonically_increasing_id()).alias("container"),
         F.lit(0).alias("position"), "doc_id", "piece", "token_start", "n_tokens",
     )
     # statistics of all items: at most one number a bucket
@@ -178,7 +179,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str = TOKE
         closed = placed if last else placed.where(F.col("filled") >= full * capacity)
         done.append(closed.select("container", "position", "doc_id", "piece", "token_start", "n_tokens"))
         if last:
-            return union_all(done)
+            return union_all(done).withColumn("doc_id", F.col("doc_id").cast("long"))
         opened = placed.where(F.col("filled") < full * capacity)
         groups = opened.select("shard").distinct().selectExpr("shard", f"floor((row_number() over (order by shard) - 1) / {MERGED_SHARDS}) as merged")
         sharded = opened.drop("container", "position", "filled").join(F.broadcast(groups), "shard").withColumn("shard", F.col("merged")).drop("merged")

@@ -346,18 +346,19 @@ def sentences(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, context: int = CO
     docs has doc_id and text.  Null and blank texts give no row; repeated rows give theirs again.
     Texts of one chunk are read where they are; only longer ones are cut and spread.
     """
-    docs = docs.select("doc_id", "text").where("text IS NOT NULL")
+    # ids go as text, since pandas has no integers beside nulls
+    docs = docs.select(F.col("doc_id").cast("string"), "text").where("text IS NOT NULL")
     length = F.char_length("text")
-    short = docs.where(length <= chunk_chars).mapInPandas(_whole, "doc_id long, start_char int, end_char int")
-    texts = docs.where(length > chunk_chars).groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    short = docs.where(length <= chunk_chars).mapInPandas(_whole, "doc_id string, start_char int, end_char int")
+    texts = docs.where(length > chunk_chars).groupBy("doc_id", F.xxhash64("doc_id", "text").alias("h")).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     place = F.greatest(F.lit(1), F.col("k") * chunk_chars - context + 1)
     width = F.when(F.col("k") == 0, chunk_chars + context).otherwise((F.col("k") + 1) * chunk_chars + context + 1 - place)
     cut = texts.select("*", F.explode(F.sequence(F.lit(0), F.floor((length - 1) / chunk_chars).cast("int"))).alias("k"))
     pieces = cut.select("doc_id", "h", "copies", "k", F.substring("text", place, width).alias("piece"))
-    schema = "doc_id long, h long, copies long, k int, fn array<int>, first_char int, last_char int, cuts array<struct<at_end int, next_start int, bits int>>"
+    schema = "doc_id string, h long, copies long, k int, fn array<int>, first_char int, last_char int, cuts array<struct<at_end int, next_start int, bits int>>"
     chunks = materialize(pieces.mapInPandas(_chunk_reader(chunk_chars, context), schema), "sentence-chunks")
     key = ["doc_id", "h", "copies"]
-    started = prefix_states(chunks, key)
+    started = prefix_states(chunks, ["h"])  # the hash covers the id, which may be null
     text = Window.partitionBy(*key)
     later = text.orderBy("k").rowsBetween(1, Window.unboundedFollowing)
     started = started.select(*key, "state", "cuts", "k", F.first("first_char", ignorenulls=True).over(later).alias("later"), F.min("first_char").over(text).alias("begin"), F.max("last_char").over(text).alias("finish"))
@@ -371,4 +372,4 @@ def sentences(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, context: int = CO
     spans = ordered.select("doc_id", "copies", F.coalesce(F.lag("next_start").over(line), "begin").alias("start_char"), F.col("at_end").alias("end_char"))
     spans = spans.where(F.col("end_char") > F.col("start_char"))
     long = spans.select("doc_id", F.explode(F.array_repeat(F.struct("start_char", "end_char"), F.col("copies").cast("int"))).alias("s")).select("doc_id", "s.*")
-    return short.unionByName(long)
+    return short.unionByName(long).withColumn("doc_id", F.col("doc_id").cast("long"))
