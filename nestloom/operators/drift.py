@@ -293,10 +293,10 @@ def unify(lines: DataFrame, matched: DataFrame, entity: str, tops: list[str], to
                             out.append((record_id, file, pos, path, text))
             yield pd.DataFrame(out, columns=["record_id", "source_file", "item_pos", "path", "text"])
 
-    rows = lines.where((F.col("entity") == entity) & F.col("source_file").isNotNull()).select("record_id", "source_file", "line_text")
-    found = rows.mapInPandas(cells, "record_id long, source_file string, item_pos int, path string, text string")
+    rows = lines.where((F.col("entity") == entity) & F.col("source_file").isNotNull()).select(F.col("record_id").cast("string"), "source_file", "line_text")
+    found = rows.mapInPandas(cells, "record_id string, source_file string, item_pos int, path string, text string")
     names = matched.where((F.col("row_kind") == "name") & (F.col("entity") == entity)).select("source_file", F.col("new_path").alias("path"), F.col("old_path").alias("name"))
-    named = found.join(names, ["source_file", "path"])
+    named = found.join(names, ["source_file", "path"]).withColumn("record_id", F.col("record_id").cast("long"))
     column: dict[str, Column] = {}
     for p in leaves:
         value = F.max(F.when(F.col("name") == p, F.col("text")))
