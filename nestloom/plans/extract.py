@@ -18,8 +18,8 @@ STATUS = "_status"
 
 
 def done(spark: SparkSession, out: str, table: str) -> DataFrame:
-    """``source_key, n_rows, n_bytes`` of the files whose rows of a table are written; empty if nothing is."""
-    empty = spark.createDataFrame([], "source_key string, table_name string, n_rows long")
+    """``source_key, table_name, n_rows, written_at`` of the files whose rows of a table are written; empty if nothing is."""
+    empty = spark.createDataFrame([], "source_key string, table_name string, n_rows long, written_at timestamp")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/{STATUS}")
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return empty
@@ -50,13 +50,16 @@ def extract(
         records = jsonl.read(spark, [keys[k] for k in open_keys], root).persist(StorageLevel.MEMORY_AND_DISK)
         built = tables(records, schema, [t for t in names if todo[t]])
         for table in [t for t in names if todo[t]]:
+            folder = f"{out}/{table_path(table)}"
+            counts = sources.limit(0).withColumn("n_rows", F.lit(0).cast("long"))
+            if force:  # a file may have no rows of this table any more
+                _drop(spark, folder, todo[table])
             if table in built:
-                rows = built[table].where(F.col("source_key").isin(*todo[table]))
-                rows.write.mode("overwrite").partitionBy("source_key").parquet(f"{out}/{table_path(table)}")
-                counts = spark.read.parquet(f"{out}/{table_path(table)}").where(F.col("source_key").isin(*todo[table])).groupBy("source_key").agg(F.count("*").alias("n_rows")) if _has_files(spark, f"{out}/{table_path(table)}") else sources.limit(0).withColumn("n_rows", F.lit(0).cast("long"))
-            else:
-                counts = sources.limit(0).withColumn("n_rows", F.lit(0).cast("long"))
-            marks = sources.where(F.col("source_key").isin(*todo[table])).join(counts, "source_key", "left").select("source_key", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.lit(table).alias("table_name"))
+                built[table].where(F.col("source_key").isin(*todo[table])).write.mode("overwrite").partitionBy("source_key").parquet(folder)
+                if _has_files(spark, folder):
+                    written = spark.read.parquet(folder).where(F.col("source_key").isin(*todo[table]))
+                    counts = written.groupBy("source_key").agg(F.count("*").alias("n_rows"))
+            marks = sources.where(F.col("source_key").isin(*todo[table])).join(counts, "source_key", "left").select("source_key", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.lit(table).alias("table_name"), F.current_timestamp().alias("written_at"))
             marks.coalesce(1).write.mode("append").parquet(f"{out}/{STATUS}")
             result.append((table, "written", len(todo[table])))
         records.unpersist()
@@ -69,10 +72,18 @@ def _has_files(spark: SparkSession, folder: str) -> bool:
     return fs.exists(path) and any("source_key=" in str(s.getPath().getName()) for s in fs.listStatus(path))
 
 
+def _drop(spark: SparkSession, folder: str, keys: Iterable[str]) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for key in keys:
+        escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(key)
+        fs.delete(hadoop.Path(f"{folder}/source_key={escaped}"), True)
+
+
 def validate(table: DataFrame, status: DataFrame) -> DataFrame:
     """``source_key, expected, found`` of files whose rows are not those that were written."""
     found = table.groupBy("source_key").agg(F.count("*").alias("found"))
-    expected = status.groupBy("source_key").agg(F.max_by("n_rows", "n_rows").alias("expected"))
+    expected = status.groupBy("source_key").agg(F.max_by("n_rows", "written_at").alias("expected"))
     both = expected.join(found, "source_key", "full_outer").select("source_key", F.coalesce("expected", F.lit(0)).alias("expected"), F.coalesce("found", F.lit(0)).alias("found"))
     return both.where("expected != found")
 

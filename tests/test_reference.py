@@ -186,8 +186,13 @@ def test_extract_skip_force_and_add(spark, tmp_path):
     assert sorted(r["language_id"] for r in main.collect()) == ["de", "en", "fr", "it"]
     assert extract.validate(main, extract.done(spark, out, "language_main")).count() == 0
     assert extract.content_hash(main).count() == 2
+    snapshot(root, {"languages/updated_date=2020-01-02/part_0000.jsonl.gz": [{"display_name": "no id"}]})
+    assert run(force=True, wanted=["language_main"]) == {"language_main": ("written", 2)}
+    main = spark.read.parquet(f"{out}/languages/main")
+    assert sorted(r["language_id"] for r in main.collect()) == ["de", "en", "fr"]
+    assert extract.validate(main, extract.done(spark, out, "language_main")).count() == 0
     card = catalog.front_matter(catalog.catalog(spark, out))
-    assert "languages_main" in card and "num_examples: 4" in card
+    assert "languages_main" in card and "num_examples: 3" in card
     assert catalog.spliced("﻿\n---\nold: 1\n---\nbody\n", "new: 1\n") == "---\nnew: 1\n---\nbody\n" and catalog.spliced("body", "a: 1\n") == "---\na: 1\n---\nbody"
 
 
