@@ -66,9 +66,12 @@ def items(docs: DataFrame, capacity: int, path: str, buckets: int = TERM_BUCKETS
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 n = count(text) if text else 0
-                terms, counts = np.unique((hasher(words(text)) % np.uint64(buckets)).astype(np.int32), return_counts=True)
-                script = _script(text) if text else 0
                 starts = range(0, max(n, 1), capacity)
+                if n and n % capacity == 0:  # full pieces only
+                    terms = counts = np.empty(0, np.int32)
+                else:
+                    terms, counts = np.unique((hasher(words(text)) % np.uint64(buckets)).astype(np.int32), return_counts=True)
+                script = _script(text) if text else 0
                 for piece, start in enumerate(starts):
                     size = min(capacity, n - start)
                     full = size == capacity
@@ -92,7 +95,8 @@ def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], i
     vocabulary, first = np.unique(flat[order], return_index=True)
     ends = np.append(first[1:], len(order))
     owner, weight = owner[order], weight[order]
-    slot = {int(t): k for k, t in enumerate(vocabulary)}
+    slot = np.zeros(len(idf), np.int64)
+    slot[vocabulary] = np.arange(len(vocabulary))
     unused = np.ones(n, bool)
     by_size = np.lexsort((np.arange(n), sizes)).tolist()
     sorted_sizes = sizes[by_size].tolist()
@@ -107,8 +111,11 @@ def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], i
         unused[seed] = False
         members, room = [seed], capacity - int(sizes[seed])
         if room > 0 and len(terms[seed]):
-            spans = [slice(first[k], ends[k]) for k in (slot[int(t)] for t in terms[seed])]
-            score = np.bincount(np.concatenate([owner[s] for s in spans]), np.concatenate([weight[s] for s in spans]), n)
+            at = slot[terms[seed]]
+            spans = ends[at] - first[at]
+            # the places of all postings of the seed's terms
+            places = np.repeat(first[at] - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
+            score = np.bincount(owner[places], weight[places], n)
             near = np.flatnonzero(unused & (score > 0) & (sizes <= room))
             for i in near[np.argsort(-score[near], kind="stable")].tolist():
                 if sizes[i] <= room:
