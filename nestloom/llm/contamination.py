@@ -69,11 +69,15 @@ class SeedIndex:
                 bits[h >> np.uint64(44)] = True
                 self.seeds.append((span, offsets, h[order], at[order], bits))
 
-    def scan(self, tokens: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
-        """(document, item) -> (words in shared passages, words in tolerant overlaps), of the words of several documents."""
-        exact: list[np.ndarray] = []
-        loose: list[np.ndarray] = []
-        width = np.int64(len(self.tokens) + 1)
+    def scan(self, tokens: np.ndarray, doc: np.ndarray, least_share: float = 0.0) -> dict[tuple[int, int], tuple[int, int]]:
+        """(document, item) -> (words in shared passages, words in tolerant overlaps), of the words of several documents.
+
+        Pairs that share less than ``least_share`` of the item's words are left out.
+        """
+        width, n_items = np.int64(len(self.tokens) + 1), np.int64(len(self.ids) + 1)
+        lengths = np.array([*self.lengths, 1], np.int64)
+        found: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        exact = [np.empty(0, np.int64)]
         for span, offsets, hashes, at, bits in self.seeds:
             if len(tokens) < span:
                 continue
@@ -82,33 +86,42 @@ class SeedIndex:
             if not len(here):
                 continue
             # of equal windows in one document one is enough
-            whole = _mixed(tokens, list(range(span)), span)[here]
-            key = np.stack([doc[here].astype(np.uint64), whole])
-            here = here[np.unique(key, axis=1, return_index=True)[1]]
+            whole = np.zeros(len(here), np.uint64) + doc[here].astype(np.uint64)
+            with np.errstate(over="ignore"):
+                for o in range(span):
+                    whole = (whole ^ tokens[here + o]) * _MIX
+                    whole ^= whole >> np.uint64(29)
+            here = here[np.unique(whole, return_index=True)[1]]
             lo, hi = np.searchsorted(hashes, h[here], "left"), np.searchsorted(hashes, h[here], "right")
             n = hi - lo
             if not n.sum():
                 continue
             here, first = np.repeat(here, n), np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
             there = at[first + np.arange(len(first))]
-            same = np.stack([tokens[here + o] == self.tokens[there + o] for o in range(span)])
-            hit = same[offsets].all(0)
-            full = hit & same.all(0)
-            base = doc[here].astype(np.int64) * width
-            for o in range(span):
-                exact.append((base + there + o)[full])
-                loose.append((base + there + o)[hit & same[o]])
-        if not loose:
-            return {}
-        out: dict[tuple[int, int], tuple[int, int]] = {}
-        for which, marks in ((1, loose), (0, exact)):
-            marked = np.unique(np.concatenate(marks))
-            pairs = np.stack([marked // width, self.owner[marked % width]])
-            keys, counts = np.unique(pairs, axis=1, return_counts=True)
-            for (d, i), c in zip(keys.T.tolist(), counts.tolist(), strict=True):
-                old = out.get((d, i), (0, 0))
-                out[d, i] = (c, old[1]) if which == 0 else (old[0], c)
-        return out
+            hit = np.logical_and.reduce([tokens[here + o] == self.tokens[there + o] for o in offsets])
+            here, there = here[hit], there[hit]
+            full = np.logical_and.reduce([tokens[here + o] == self.tokens[there + o] for o in range(span) if o not in offsets])
+            base = doc[here].astype(np.int64) * width + there
+            exact += [base[full] + o for o in range(span)]
+            found.append((span, here, there, base))
+        shared = self._counted(exact, width, n_items)
+        if least_share > 0:
+            shared = {k: c for k, c in shared.items() if c >= least_share * lengths[k % n_items]}
+        loose = [np.empty(0, np.int64)]
+        kept = np.fromiter(shared, np.int64, len(shared))
+        for span, here, there, base in found:
+            if least_share > 0:
+                use = np.isin(doc[here].astype(np.int64) * n_items + self.owner[there], kept)
+                here, there, base = here[use], there[use], base[use]
+            loose += [(base + o)[tokens[here + o] == self.tokens[there + o]] for o in range(span)]
+        near = self._counted(loose, width, n_items)
+        return {(int(k // n_items), int(k % n_items)): (shared.get(k, 0), c) for k, c in near.items()}
+
+    def _counted(self, marks: list[np.ndarray], width: np.int64, n_items: np.int64) -> dict[int, int]:
+        """Distinct marked words by document and item."""
+        marked = np.unique(np.concatenate(marks))
+        keys, counts = np.unique(marked // width * n_items + self.owner[marked % width], return_counts=True) if len(marked) else (marked, marked)
+        return dict(zip(keys.tolist(), counts.tolist(), strict=True))
 
 
 def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.0, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -166,6 +179,6 @@ def _found(idx: SeedIndex, ids: list, parts: list[np.ndarray], least_share: floa
     if not parts:
         return []
     doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    hits = idx.scan(np.concatenate(parts), doc)
+    hits = idx.scan(np.concatenate(parts), doc, least_share)
     name = lambda i: None if idx.ids[i] is None else str(idx.ids[i])
-    return [(ids[d], name(i), idx.lengths[i], *n) for (d, i), n in hits.items() if n[0] >= least_share * idx.lengths[i]]
+    return [(ids[d], name(i), idx.lengths[i], *n) for (d, i), n in hits.items()]
