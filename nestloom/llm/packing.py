@@ -71,11 +71,12 @@ def items(docs: DataFrame, capacity: int, path: str, buckets: int = TERM_BUCKETS
                     terms = counts = np.empty(0, np.int32)
                 else:
                     terms, counts = np.unique((hasher(words(text)) % np.uint64(buckets)).astype(np.int32), return_counts=True)
+                    counts = counts.astype(np.int32)
                 script = _script(text) if text else 0
                 for piece, start in enumerate(starts):
                     size = min(capacity, n - start)
                     full = size == capacity
-                    out.append((doc_id, piece, start, size, script, [] if full else terms.tolist(), [] if full else counts.tolist()))
+                    out.append((doc_id, piece, start, size, script, terms[:0] if full else terms, counts[:0] if full else counts))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _ITEM.split(", ")])
 
     # ids go as text, since pandas has no integers beside nulls
@@ -139,7 +140,7 @@ def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], i
 _PLACED = "doc_id string, piece int, token_start int, n_tokens int, script int, terms array<int>, counts array<int>, shard long, container string, position int, filled int"
 
 
-def _packer(idf: object, mean_length: float, capacity: int, level: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _packer(idf: object, mean_length: float, capacity: int, full: float, level: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece", "n_tokens"], kind="stable").reset_index(drop=True)
         sizes = pdf["n_tokens"].to_numpy()
@@ -149,6 +150,10 @@ def _packer(idf: object, mean_length: float, capacity: int, level: int) -> Calla
         out["container"] = [f"{level}-{pdf['shard'].iloc[0]}-{k}" for k, members in enumerate(found) for _ in members]
         out["position"] = [p for members in found for p in range(len(members))]
         out["filled"] = [int(sizes[members].sum()) for members in found for _ in members]
+        # only what is packed again needs its terms
+        none = np.empty(0, np.int32)
+        for c in ("terms", "counts"):
+            out[c] = [none if f >= full * capacity else t for f, t in zip(out["filled"], out[c], strict=True)]
         return out[[c.split()[0] for c in _PLACED.split(", ")]]
 
     return run
@@ -180,7 +185,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str = TOKE
     sharded = loose.join(F.broadcast(scripts), "script").withColumn("shard", F.col("script") * F.lit(1 << 32) + salt).drop("shards")
     level, done = 0, [whole]
     while True:
-        run = _packer(idf, stats["mean"] or 1.0, capacity, level)
+        run = _packer(idf, stats["mean"] or 1.0, capacity, full, level)
         placed = materialize(sharded.groupBy("shard").applyInPandas(run, _PLACED), "packed")
         last = placed.select("shard").distinct().count() <= 1
         closed = placed if last else placed.where(F.col("filled") >= full * capacity)
