@@ -3,24 +3,27 @@
 A bottom-up tree automaton gives every node of a record a state: what kind of value it is, and
 for objects the states of the parts that matter.  The state of an item is its variant; every
 variant has its own typed table, and all variants of one list share the supertype's columns:
-the record, the item's place, its parent's place and its key.
+the record, the item's place, its parent's place and its key.  The typed tables are written once,
+each in its own folder, and what all tables share is read from them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import short_id
 from nestloom.functions.lattice import ABSENT, LIST, OBJECT, TEXT, kind
+from nestloom.runtime import materialize, union_all
 
 
 @dataclass(frozen=True)
 class Child:
-    """A list to be made a table: its field, the part of an item that carries its key ('' for the item itself), typed scalars, nested lists."""
+    """A list to be made a table: its field, the part of an item that carries its key ('' for the item itself), typed scalars (by path), nested lists."""
 
     name: str
     key: str
@@ -73,6 +76,23 @@ def variant_of(item: Column, node: Column, child: Child) -> Column:
     return F.when(kind(item) == OBJECT, F.concat(F.lit("object"), inner)).otherwise(state(item))
 
 
+def variants(child: Child) -> list[str]:
+    """All states that an item of a child can have; they follow from the automaton, not from the data."""
+    kinds = [*_STATES.values(), "scalar"]
+    shapes = [[f"{name}={k}" for k in kinds] for name in ([child.key] if child.key else []) + [c.name for c in child.children]]
+    objects = [f"object({','.join(c)})" if c else "object" for c in product(*shapes)]
+    return [*objects, "text", "list", "scalar"]
+
+
+def scalars_of(child: Child) -> dict[str, Column]:
+    """The typed scalars of a row's item; paths below the key's part also reach into parts that are JSON text."""
+    out = {}
+    for path, to in child.scalars:
+        below = child.key != "" and path.startswith(f"{child.key}.")
+        out[path.replace(".", "_")] = F.try_variant_get("node", f"$.{path[len(child.key) + 1 :]}", to) if below else F.try_variant_get("item", f"$.{path}", to)
+    return out
+
+
 def by_table(table: Column, children: list[Child], value: Callable[[Child], Column]) -> Column:
     """The value of the child whose table a row belongs to."""
     out = value(children[-1])
@@ -85,9 +105,11 @@ def placed(table: Column, parent_pos: Column, pos: Column, item: Column) -> Colu
     return F.struct(table.alias("child_table"), parent_pos.cast("int").alias("parent_pos"), pos.cast("int").alias("item_pos"), resolved(item).alias("item"))
 
 
-def supertype(df: DataFrame, record_id: Column, record: Column, children: list[Child], keep_items: bool = False) -> DataFrame:
+def supertype(df: DataFrame, record_id: Column, record: Column, children: list[Child], typed: bool = False) -> DataFrame:
     """``record_id, child_table, parent_pos, item_pos, item_key, variant`` of all items of all children.
 
+    ``typed`` adds a struct of scalars for each child that has any, null in rows of other children.
+
     ``record`` is a variant column; null records (unparsable lines) give no rows.  Nested lists
     carry the position of the item they are in, top lists -1.  Null items give no row but keep
     their place.  Every record is read once, for all tables together.
@@ -111,31 +133,53 @@ def supertype(df: DataFrame, record_id: Column, record: Column, children: list[C
     flat = rows.select("record_id", "row.*").where(kind(F.col("item")) != ABSENT)
     flat = flat.withColumn("node", by_table(F.col("child_table"), everything, lambda c: node_of(F.col("item"), c)))
     variant = by_table(F.col("child_table"), everything, lambda c: variant_of(F.col("item"), F.col("node"), c))
-    return flat.select("record_id", "child_table", "parent_pos", "item_pos", key_of(F.col("node")).alias("item_key"), variant.alias("variant"), *(["item"] if keep_items else []))
+    held = [F.when(F.col("child_table") == c.name, F.struct(*[v.alias(n) for n, v in scalars_of(c).items()])).alias(c.name) for c in everything if typed and c.scalars]
+    return flat.select("record_id", "child_table", "parent_pos", "item_pos", key_of(F.col("node")).alias("item_key"), variant.alias("variant"), *held)
 
 
 def _placer(name: str) -> Callable[[Column, Column], Column]:
     return lambda x, j: placed(F.lit(name), F.col("row.item_pos"), j, x)
 
 
-def variant_tables(df: DataFrame, record_id: Column, record: Column, child: Child) -> dict[str, DataFrame]:
-    """The typed table of each variant of a top-level child: the supertype's columns and the scalars of the variant.
+_SHARED = ["record_id", "parent_pos", "item_pos", "item_key"]
+
+
+def _nested_in(children: Iterable[Child]) -> list[Child]:
+    """The children and all that is below them."""
+    return [x for c in children for x in (c, *_nested_in(c.children))]
+
+
+def variant_tables(df: DataFrame, record_id: Column, record: Column, *children: Child) -> dict[str, DataFrame]:
+    """The typed table of each variant: the supertype's columns and the scalars of the variant.
+
+    All tables are written in one pass.  They are named by their variant if one child is given, and
+    ``child/variant`` otherwise; those of nested lists always have both.  Tables of object variants
+    have the child's scalars; those of bare ids and other items have none.
+    """
+    rows = materialize(supertype(df, record_id, record, list(children), typed=True), "subtypes", "child_table", "variant")
+    out = {}
+    for c in _nested_in(children):
+        for name in variants(c):
+            table = rows.where((F.col("child_table") == c.name) & (F.col("variant") == name))
+            typed = [F.col(c.name)[n].alias(n) for n in scalars_of(c)] if name.startswith("object") else []
+            out[name if len(children) == 1 and c is children[0] else f"{c.name}/{name}"] = table.select(*_SHARED, *typed)
+    return out
+
+
+def reunited(tables: dict[str, DataFrame], with_scalars: bool = False) -> DataFrame:
+    """All rows of typed tables named ``child/variant``: ``child_table, variant`` and the supertype's columns, and all scalars if asked.
 
-    Tables of object variants have the child's scalars; those of bare ids have none.  The set of
-    variants follows from the automaton, not from the data.
+    Scalars of one name in several children share a column; a table without one has nulls there.
     """
-    rows = supertype(df, record_id, record, [child], keep_items=True).where(F.col("child_table") == child.name)
-    keep = ["record_id", "parent_pos", "item_pos", "item_key"]
-    typed = [F.try_variant_get("item", f"$.{n}", t).alias(n) for n, t in child.scalars]
-    kinds = ["absent", "text", "object", "list", "scalar"]
-    shapes = [[f"{child.key}={k}" for k in kinds]] if child.key else []
-    shapes += [[f"{c.name}={k}" for k in kinds] for c in child.children]
-    combos: list[list[str]] = [[]]
-    for options in shapes:
-        combos = [[*c, o] for c in combos for o in options]
-    objects = [f"object({','.join(c)})" if c else "object" for c in combos]
-    out = {name: rows.where(F.col("variant") == name).select(*keep, *typed) for name in objects}
-    return out | {name: rows.where(F.col("variant") == name).select(*keep) for name in ("text", "scalar", "list")}
+    kinds: dict[str, str] = {}
+    for t in tables.values() if with_scalars else []:
+        kinds |= {c: to for c, to in t.dtypes if c not in _SHARED}
+    parts = []
+    for name, t in tables.items():
+        child, _, variant = name.partition("/")
+        scalars = [F.col(c) if c in t.columns else F.lit(None).cast(to).alias(c) for c, to in kinds.items()]
+        parts.append(t.select(F.lit(child).alias("child_table"), F.lit(variant).alias("variant"), *_SHARED, *scalars))
+    return union_all(parts)
 
 
 def from_rows(df: DataFrame, columns: list[str]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,38 +113,52 @@ def _unified(entity: str, top: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 _PARTS = [
-    unnest.Child("authorships", "author", (("author_position", "string"), ("raw_author_name", "string")), (unnest.Child("institutions", ""),)),
-    unnest.Child("locations", "source", (("is_oa", "boolean"), ("license", "string"))),
-    unnest.Child("topics", "", (("score", "double"), ("display_name", "string"))),
+    unnest.Child(
+        "authorships", "author", (("author_position", "string"), ("raw_author_name", "string"), ("author.display_name", "string")),
+        (unnest.Child("institutions", "", (("display_name", "string"), ("lineage", "array<string>"))),),
+    ),
+    unnest.Child("locations", "source", (("is_oa", "boolean"), ("is_primary", "boolean"), ("license", "string"), ("version", "string"), ("source.display_name", "string"), ("source.host.id", "string"))),
+    unnest.Child("topics", "", (("score", "double"), ("count", "int"), ("display_name", "string"), ("subfield.id", "string"), ("subfield.parent.id", "string"), ("subfield.parent.parent.id", "string"))),
     unnest.Child("grants", "funder", (("award_id", "string"),)),
-]
+]
+# the grants with all their scalars
+_TYPED_PARTS = [*_PARTS[:3], replace(_PARTS[3], scalars=(*_PARTS[3].scalars, ("funder.display_name", "string")))]
 
 
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "raw_records").where("entity = 'works'").select("record_id", F.try_parse_json("line_text").alias("record"))
 
 
+def _subtypes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return unnest.variant_tables(_nested(spark, sf_dir), F.col("record_id"), F.col("record"), *_TYPED_PARTS)
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every item of the nested lists of works lines, tied to its record and parent."""
-    return unnest.supertype(_nested(spark, sf_dir), F.col("record_id"), F.col("record"), _PARTS).drop("variant")
+    """Every item of the nested lists of works lines, tied to its record and parent: what all typed tables share."""
+    return unnest.reunited(_subtypes(spark, sf_dir)).select("record_id", "child_table", "parent_pos", "item_pos", "item_key")
 
 
 def p7_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each structural variant occurs in each child table."""
-    found = unnest.supertype(_nested(spark, sf_dir), F.col("record_id"), F.col("record"), _PARTS)
-    return found.groupBy("child_table", "variant").agg(F.count("*").alias("n_items"))
+    return unnest.reunited(_subtypes(spark, sf_dir)).groupBy("child_table", "variant").agg(F.count("*").alias("n_items"))
+
+
+def p7_subtypes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of all typed tables with their scalars."""
+    return unnest.reunited(_subtypes(spark, sf_dir), with_scalars=True)
 
 
 def p7_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same child rows from the typed columns of works; the record is the work's number and arrival."""
     works = table(spark, sf_dir, "works").withColumn("_record", unnest.from_rows(None, [c.name for c in _PARTS]))
-    return unnest.supertype(works, F.col("id"), F.col("_record"), _PARTS).withColumnRenamed("record_id", "id").drop("variant")
+    found = unnest.reunited(unnest.variant_tables(works, F.col("id"), F.col("_record"), *_TYPED_PARTS))
+    return found.select(F.col("record_id").alias("id"), "child_table", "parent_pos", "item_pos", "item_key")
 
 
 QUERIES = {
     "p1_found": p1_found, "p1_report": p1_report, "p3_found": p3_found, "p3_ids": _unified("works", "ids"), "p3_counts_by_year": _unified("works", "counts_by_year"),
     "p3_topic_share": _unified("institutions", "topic_share"), "p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p6_found": p6_found,
-    "p7_found": p7_found, "p7_variants": p7_variants, "p7_typed": p7_typed,
+    "p7_found": p7_found, "p7_variants": p7_variants, "p7_subtypes": p7_subtypes, "p7_typed": p7_typed,
 }
 
 _NUM = r"""try_cast(regexp_extract({0}, '(?:^|[^A-Za-z0-9])[{1}]([0-9]+)', 1) AS BIGINT)"""

@@ -44,15 +44,15 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{fallback}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def materialize(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder, in one folder for each value of the columns ``by``, and read it back.
 
     This cuts the lineage, survives the loss of executors, and later reads prune columns.  The
     tables of an application are removed when its driver ends, or by ``clean_up``.
     """
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=list(by) or None)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -228,6 +228,31 @@ def test_variant_tables(spark):
     assert parts["object(funder=object)"].columns == ["record_id", "parent_pos", "item_pos", "item_key", "award_id"]
 
 
+def test_typed_tables_hold_all_items_and_scalars(spark, rows, tmp_path):
+    record = {
+        "authorships": [
+            {"author": {"id": "A1", "display_name": "Ann"}, "author_position": "first", "raw_author_name": "A.", "institutions": [{"id": "I1", "display_name": "Inst", "lineage": ["I1", "I9"]}, "I2"]},
+            {"author": json.dumps({"id": "A2", "display_name": "Bo"})},
+        ],
+        "locations": [{"source": {"id": "S1", "display_name": "Src"}, "is_oa": True, "is_primary": False, "license": "cc", "version": "v1"}],
+        "topics": [{"id": "T1", "score": 0.5, "count": 3, "display_name": "Top"}, 5, [1]], "grants": [{"funder": "F1", "award_id": "x"}, {"funder": {"id": "F2", "display_name": "Fund"}}],
+    }
+    texts = [*RECORDS, json.dumps(record)]
+    source = spark.createDataFrame([(i, "works", t) for i, t in enumerate(texts)], "record_id long, entity string, line_text string")
+    source.write.parquet(f"{tmp_path}/raw_records.parquet")
+    found = q.QUERIES["p7_subtypes"](spark, str(tmp_path))
+    shared = ("record_id", "child_table", "parent_pos", "item_pos", "item_key")
+    assert rows(found, *shared) == sorted([x for i, t in enumerate(texts) for x in brute.nested_items(i, t)], key=str) == rows(q.p7_found(spark, str(tmp_path)), *shared)
+    mine = found.where(F.col("record_id") == len(RECORDS))
+    assert rows(mine.where("child_table = 'authorships'"), "variant", "author_position", "raw_author_name", "author_display_name") == [
+        ("object(author=object,institutions=absent)", None, None, "Bo"), ("object(author=object,institutions=list)", "first", "A.", "Ann")
+    ]
+    assert rows(mine.where("child_table = 'institutions'"), "variant", "display_name", "lineage") == [("object", "Inst", ["I1", "I9"]), ("text", None, None)]
+    assert rows(mine.where("child_table = 'locations'"), "source_display_name", "is_oa", "is_primary", "license", "version") == [("Src", True, False, "cc", "v1")]
+    assert rows(mine.where("child_table = 'topics'"), "variant", "score", "count", "display_name") == [("list", None, None, None), ("object", 0.5, 3, "Top"), ("scalar", None, None, None)]
+    assert rows(mine.where("child_table = 'grants'"), "variant", "award_id", "funder_display_name") == [("object(funder=object)", None, "Fund"), ("object(funder=text)", "x", None)]
+
+
 def test_nested_empty(spark):
     assert nested(spark, []).count() == 0
 
