@@ -5,8 +5,8 @@ rest; all other documents are whole items.  Items are spread over shards of boun
 shard an inverted index with BM25 weights finds, for the largest unused item (the seed), its
 unused neighbours, which fill the seed's window in the order of their scores, and the best-fitting
 unused items close what room is left.  The inverse document frequencies are those of the whole
-corpus.  Containers that stay loose are opened again and packed with those of other shards,
-in ever fewer groups.
+corpus.  Containers that stay loose are opened again and their items spread over new groups of the
+same size, first within scripts, then over all; one item beside which no open item fits is done.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ from nestloom.runtime import materialize, union_all
 
 CAPACITY = 2_048
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Items in a shard, and shards whose loose containers are packed together.
-SHARD_ITEMS, MERGED_SHARDS = 3_000, 16
+#: Items in a shard, and in a group of items that are packed again.
+SHARD_ITEMS = 3_000
+#: Items are packed again as long as that closes at least this share of them.
+WORTHWHILE = 1 / 16
 #: A container filled to less than this is opened again.
 FULL = 0.97
 #: Terms fall into this many buckets, which bounds the table of document frequencies.
@@ -101,7 +103,7 @@ def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], i
     unused = np.ones(n, bool)
     by_size = np.lexsort((np.arange(n), sizes)).tolist()
     sorted_sizes = sizes[by_size].tolist()
-    top = n - 1
+    top, low = n - 1, 0
     out = []
     while True:
         while top >= 0 and not unused[by_size[top]]:
@@ -111,7 +113,9 @@ def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], i
         seed = by_size[top]
         unused[seed] = False
         members, room = [seed], capacity - int(sizes[seed])
-        if room > 0 and len(terms[seed]):
+        while low < n and not unused[by_size[low]]:
+            low += 1
+        if room > 0 and len(terms[seed]) and low < n and sorted_sizes[low] <= room:
             at = slot[terms[seed]]
             spans = ends[at] - first[at]
             # the places of all postings of the seed's terms
@@ -137,7 +141,7 @@ def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], i
         out.append(members)
 
 
-_PLACED = "doc_id string, piece int, token_start int, n_tokens int, script int, terms array<int>, counts array<int>, shard long, container string, position int, filled int"
+_PLACED = "doc_id string, piece int, token_start int, n_tokens int, script int, terms array<int>, counts array<int>, shard long, container string, position int, filled int, largest int"
 
 
 def _packer(idf: object, mean_length: float, capacity: int, full: float, level: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -150,6 +154,7 @@ def _packer(idf: object, mean_length: float, capacity: int, full: float, level:
         out["container"] = [f"{level}-{pdf['shard'].iloc[0]}-{k}" for k, members in enumerate(found) for _ in members]
         out["position"] = [p for members in found for p in range(len(members))]
         out["filled"] = [int(sizes[members].sum()) for members in found for _ in members]
+        out["largest"] = [int(sizes[members].max()) for members in found for _ in members]
         # only what is packed again needs its terms
         none = np.empty(0, np.int32)
         for c in ("terms", "counts"):
@@ -159,6 +164,22 @@ def _packer(idf: object, mean_length: float, capacity: int, full: float, level:
     return run
 
 
+def _regrouped(opened: DataFrame, open_items: dict[int, int], shard_items: int, level: int, pooled: bool) -> tuple[DataFrame, int]:
+    """Open items in groups of about ``shard_items``, and the number of groups: scripts with at least so many items have their own groups."""
+    own = {} if pooled else {k: n for k, n in open_items.items() if n >= shard_items}
+    rest = sum(n for k, n in open_items.items() if k not in own)
+    pool, at = -(-rest // shard_items), 0
+    rows = [(k, 0, pool) for k in open_items if k not in own]
+    for k, n in sorted(own.items()):
+        rows.append((k, pool + at, -(-n // shard_items)))
+        at += rows[-1][2]
+    spans = opened.sparkSession.createDataFrame(rows, "script int, first long, groups long")
+    # the container tells rows with the same or no id apart
+    salt = F.pmod(F.xxhash64("container", "doc_id", "piece", "token_start", F.lit(level)), F.col("groups"))
+    out = opened.join(F.broadcast(spans), "script").withColumn("shard", F.col("first") + salt)
+    return out.drop("container", "position", "filled", "largest", "first", "groups"), pool + at
+
+
 def packed(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str = TOKENIZER, shard_items: int = SHARD_ITEMS, full: float = FULL) -> DataFrame:
     """``container, position, doc_id, piece, token_start, n_tokens``: every piece of every document, once.
 
@@ -183,19 +204,24 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str = TOKE
     salt = F.pmod(F.xxhash64("doc_id", "piece", "token_start"), F.col("shards"))
     # a shard's number keeps its script apart; scripts are at most 4,352 classes
     sharded = loose.join(F.broadcast(scripts), "script").withColumn("shard", F.col("script") * F.lit(1 << 32) + salt).drop("shards")
-    level, done = 0, [whole]
+    level, done, before, groups, pooled = 0, [whole], 0, 0, False
     while True:
         run = _packer(idf, stats["mean"] or 1.0, capacity, full, level)
         placed = materialize(sharded.groupBy("shard").applyInPandas(run, _PLACED), "packed")
-        last = placed.select("shard").distinct().count() <= 1
-        closed = placed if last else placed.where(F.col("filled") >= full * capacity)
-        done.append(closed.select("container", "position", "doc_id", "piece", "token_start", "n_tokens"))
-        if last:
+        loose_ones = placed.where(F.col("filled") < full * capacity)
+        least = loose_ones.where("n_tokens > 0").agg(F.min("n_tokens")).first()[0] or 0
+        # alone, and too large for the smallest open item
+        shut = (F.col("filled") >= full * capacity) | ((F.col("filled") == F.col("largest")) & (F.col("filled") + F.lit(least) > capacity))
+        opened = placed.where(~shut)
+        left = {r["script"]: r["n"] for r in opened.groupBy("script").agg(F.count("*").alias("n")).collect()}
+        n = sum(left.values())
+        stuck = level > 0 and before - n < WORTHWHILE * before
+        if n == 0 or groups == 1 or (level == 0 and placed.select("shard").distinct().count() <= 1) or (stuck and pooled):
+            done.append(placed.select("container", "position", "doc_id", "piece", "token_start", "n_tokens"))
             return union_all(done).withColumn("doc_id", F.col("doc_id").cast("long"))
-        opened = placed.where(F.col("filled") < full * capacity)
-        groups = opened.select("shard").distinct().selectExpr("shard", f"floor((row_number() over (order by shard) - 1) / {MERGED_SHARDS}) as merged")
-        sharded = opened.drop("container", "position", "filled").join(F.broadcast(groups), "shard").withColumn("shard", F.col("merged")).drop("merged")
-        level += 1
+        done.append(placed.where(shut).select("container", "position", "doc_id", "piece", "token_start", "n_tokens"))
+        level, before, pooled = level + 1, n, pooled or stuck
+        sharded, groups = _regrouped(opened, left, shard_items, level, pooled)
 
 
 def packing_report(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -168,6 +168,19 @@ def test_room_is_used(spark):
     assert packing.packing_report(placed, 256).first()["used"] > 0.97
 
 
+@pytest.mark.parametrize("least, most", [(60, 70), (40, 60)])
+def test_groups_stay_bounded_when_items_stay_loose(spark, least, most):
+    rng = random.Random(7)
+    docs = spark.createDataFrame([(i, "red " * rng.randrange(least, most)) for i in range(200)], "doc_id long, text string")
+    rows = packing.packed(docs, capacity=100, shard_items=20).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(200))
+    room, groups = Counter(), Counter()
+    for r in rows:
+        room[r["container"]] += r["n_tokens"]
+        groups[r["container"].rpartition("-")[0]] += 1
+    assert max(room.values()) <= 100 and max(groups.values()) <= 60
+
+
 def test_neighbours_share_a_window():
     terms = [np.array([1, 2]), np.array([5, 6]), np.array([1, 2]), np.array([5, 6])]
     found = packing.pack(np.array([60, 50, 40, 40]), terms, [np.ones(2, int)] * 4, np.ones(10), 2.0, 100)
