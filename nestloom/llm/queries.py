@@ -10,21 +10,21 @@ from nestloom.llm import contamination, cooccurrence, names, packing, sentences
 from nestloom.runtime import table
 
 
-def _cooccurring(spark: SparkSession, sf_dir: str, min_lift: float) -> DataFrame:
+def _cooccurring(spark: SparkSession, sf_dir: str, min_count: int, min_lift: float) -> DataFrame:
     works = table(spark, sf_dir, "works")
     fields = {f: F.transform(F.col(f)["id"], lambda x: F.lower(short_id(x))) for f in ("topics", "concepts")}
     fields["keywords"] = F.transform(F.col("keywords")["id"], slug)
-    return cooccurrence.cooccurring(works, id_number(F.col("id"), "w"), fields, min_count=5, min_lift=min_lift)
+    return cooccurrence.cooccurring(works, id_number(F.col("id"), "w"), fields, min_count=min_count, min_lift=min_lift)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of topics, concepts and keywords in five works or more, three times as often as by chance."""
-    return _cooccurring(spark, sf_dir, 3).select("field_name", "item_a", "item_b")
+    return _cooccurring(spark, sf_dir, 5, 3).select("field_name", "item_a", "item_b")
 
 
 def p2_surprise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs in five works or more with their expected count, tail and q-value."""
-    return _cooccurring(spark, sf_dir, 0)
+    """All pairs that share a work with their expected count, tail and q-value."""
+    return _cooccurring(spark, sf_dir, 1, 0)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from nestloom.llm import contamination, cooccurrence, names, packing, sentences
+from nestloom.llm import contamination, cooccurrence, names, packing, queries, sentences
 from nestloom.llm.words import words
 
 # ---- items that appear together
@@ -36,6 +36,13 @@ def test_pairs_against_brute_force(spark, rows):
         assert rows(found, "field_name", "item_a", "item_b", "n_a", "n_b", "n_ab") == sorted(expected, key=str)
 
 
+def test_surprise_has_pairs_of_few_works(spark, rows, tmp_path):
+    works = [(f"W{i}", [("T1",), ("T2",)] if i == 0 else [("T3",), ("T4",)] if i < 7 else [(f"T{i}",)]) for i in range(20)]
+    held = "array<struct<id string>>"
+    spark.createDataFrame(works, f"id string, topics {held}").selectExpr("*", f"cast(null as {held}) concepts", f"cast(null as {held}) keywords").write.parquet(f"{tmp_path}/works.parquet")
+    assert rows(queries.p2_surprise(spark, str(tmp_path)), "item_a", "item_b", "n_ab") == [("t1", "t2", 1), ("t3", "t4", 6)]
+
+
 def test_large_baskets_take_the_block_join(spark, rows):
     data = [(b, [f"i{k:02d}" for k in range(12)], None) for b in range(3)] + [(9, ["i01", "i02"], None)]
     df = spark.createDataFrame(data, "basket long, xs array<string>, item string")
