@@ -4,8 +4,9 @@ Every file is reduced to a schema graph: its paths, their types and their nestin
 two consecutive files are matched by similarity flooding: a pair of nodes starts with the
 similarity of their names and types, and passes it on to the pairs of their parents, children
 and types until nothing moves.  The best consistent correspondences say which path became which;
-chains of them give every path the name under which its stream first had it, by which all files
-are read into one table, cast to the widest of their types.
+those that the exact rule of a rename confirms are followed from file to file, so that every path
+has the name under which its stream first had it, by which all files are read into one table,
+cast to the widest of their types.  A path that is no rename keeps its own column.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from nestloom.runtime import materialize
 
 #: Types in the order in which one wins over the others, with their bits.
 TYPES = {"string": 1, "object": 2, "array": 4, "double": 8, "long": 16, "boolean": 32}
-#: Rounds after which flooding stops at the latest, and the movement below which it has converged.
-ROUNDS, STILL = 100, 1e-4
+#: Movement below which flooding has converged, and the rounds after which it fails rather than go on.
+STILL, ROUNDS = 1e-4, 10_000
 #: Weight of names against types in the initial similarity.
 NAME_WEIGHT = 0.5
 _FILE = r"^(.*)/updated_date=([^/]*)/(part_[^/.]*)"
@@ -52,14 +53,14 @@ def parsed(line: str | None) -> dict | None:
     return record if isinstance(record, dict) else None
 
 
-def walk(path: str, value: object) -> Iterator[tuple[str, object]]:
-    """Every path at and below ``path`` with its values other than null, [] and {}; items of arrays are at ``path[]``."""
+def walk(path: str, value: object, items: bool = False) -> Iterator[tuple[str, object]]:
+    """Every path at and below ``path`` with its values other than null, [] and {}; those of arrays' items, at ``path[]``, if asked."""
     todo = [(path, value)]
     while todo:
         path, value = todo.pop()
         if value is None or value == [] or value == {}:
             continue
-        if not path.endswith("[]"):
+        if items or not path.endswith("[]"):
             yield path, value
         if isinstance(value, dict):
             todo += [(f"{path}.{k}", v) for k, v in value.items()]
@@ -71,7 +72,8 @@ def file_schemas(lines: DataFrame, tops: dict[str, list[str]]) -> DataFrame:
     """``entity, stream, file_date, source_file, path, bits`` of lines (entity, source_file, line_text).
 
     ``tops`` lists the top fields of each entity; the path '' stands for the file itself, so that
-    files without any parsable line are there too.  Types are gathered within each task first.
+    files without any parsable line are there too, and paths that end in [] tell the types of an
+    array's items.  Types are gathered within each task first.
     """
 
     def scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,7 +83,7 @@ def file_schemas(lines: DataFrame, tops: dict[str, list[str]]) -> DataFrame:
                 seen.setdefault((entity, file, ""), 0)
                 record = parsed(line)
                 for top in tops[entity] if record else ():
-                    for path, value in walk(top, record.get(top)):
+                    for path, value in walk(top, record.get(top), items=True):
                         seen[entity, file, path] = seen.get((entity, file, path), 0) | type_bit(value)
             yield pd.DataFrame([(*k, v) for k, v in seen.items()], columns=["entity", "source_file", "path", "bits"])
 
@@ -155,8 +157,8 @@ def flood(old: dict[str, int], new: dict[str, int]) -> dict[tuple[str, str], flo
         still = max((abs(moved[x] - score[x]) for x in score), default=0) < STILL
         score = moved
         if still:
-            break
-    return {x: score[x] for x in parent if x in score}
+            return {x: score[x] for x in parent if x in score}
+    raise RuntimeError(f"flooding has not converged in {ROUNDS} rounds")
 
 
 def correspondences(old: dict[str, int], new: dict[str, int]) -> dict[str, tuple[str, float]]:
@@ -226,33 +228,60 @@ def match_streams(schemas: DataFrame) -> DataFrame:
         before: dict[str, int] | None = None
         first: dict[str, str] = {}
         for (_, file), rows in pdf.groupby(["file_date", "source_file"], sort=True):
-            now = {p: b for p, b in zip(rows["path"], rows["bits"], strict=True) if p}
+            held = {p: b for p, b in zip(rows["path"], rows["bits"], strict=True) if p}
+            now = {p: b for p, b in held.items() if not p.endswith("[]")}
             if before is not None:
-                found = correspondences(before, now)
-                kinds = changes(before, now, found)
-                out += [(entity, stream, file, "change", *c, 0) for c in kinds]
-                renamed = {new: old for kind, old, new, _ in kinds if kind == "renamed"}
-                first = {q: _carried(q, found, renamed, first) for q in now}
+                found = changes(before, now, correspondences(before, now))
+                out += [(entity, stream, file, "change", *c, 0) for c in found]
+                first = carried(now, before, {new: old for kind, old, new, _ in found if kind == "renamed"}, first)
             else:
                 first = {q: q for q in now}
-            out += [(entity, stream, file, "name", "", first[q], q, 1.0, b) for q, b in now.items()]
+            out += [(entity, stream, file, "name", "", _first_name(q, first), q, 1.0, b) for q, b in held.items()]
             before = now
         return pd.DataFrame(out, columns=[c.split()[0] for c in _STREAM_ROW.split(", ")])
 
     return schemas.groupBy("entity", "stream").applyInPandas(match, _STREAM_ROW)
 
 
-def _carried(path: str, found: dict[str, tuple[str, float]], renamed: dict[str, str], first: dict[str, str]) -> str:
-    """The first name of a path: that of its old path if it or a path above it was renamed or stayed."""
-    old = renamed.get(path) or (found[path][0] if path in found else None)
-    if old is not None and old in first:
-        return first[old]
-    parent = parent_of(path)
-    if not parent:
-        return path
-    array = parent.endswith("[]")
-    up = _carried(parent.removesuffix("[]"), found, renamed, first)
-    return f"{up}{'[]' if array else ''}.{path.rpartition('.')[2]}"
+def _split(path: str) -> tuple[str, str, str]:
+    """(the path it is below, '[]' if as an item, its last name)."""
+    parent, _, leaf = path.rpartition(".")
+    bare = parent
+    while bare.endswith("[]"):
+        bare = bare[:-2]
+    return bare, parent[len(bare) :], leaf
+
+
+def _first_name(path: str, first: dict[str, str]) -> str:
+    bare = path
+    while bare.endswith("[]"):
+        bare = bare[:-2]
+    return first.get(bare, bare) + path[len(bare) :]
+
+
+def carried(now: dict[str, int], before: dict[str, int], renamed: dict[str, str], first: dict[str, str]) -> dict[str, str]:
+    """The first name of each path of a file, of those (``first``) of the file before.
+
+    A path goes on under the first name of the path it was renamed from, or else of the path of
+    its own name below the path that its parent was.  All others are new: they are named after
+    themselves, with a number behind if a path of this file goes on under that name.
+    """
+    was: dict[str, str] = {}
+    out: dict[str, str] = {}
+    shortest_first = sorted(now, key=lambda q: (len(q), q))
+    for q in shortest_first:
+        parent, items, leaf = _split(q)
+        old = renamed.get(q) or (q if not parent else f"{was[parent]}{items}.{leaf}" if parent in was else "")
+        if old in before:
+            was[q], out[q] = old, first[old]
+    taken = set(out.values())
+    for q in shortest_first:
+        if q not in out:
+            parent, items, leaf = _split(q)
+            name = f"{out.get(parent, parent)}{items}.{leaf}" if parent else q
+            out[q] = next(n for n in (name, *(f"{name}_{k}" for k in range(2, len(now) + 3))) if n not in taken)
+            taken.add(out[q])
+    return out
 
 
 def schema_changes(matched: DataFrame) -> DataFrame:
@@ -260,51 +289,89 @@ def schema_changes(matched: DataFrame) -> DataFrame:
     return matched.where("row_kind = 'change'").select("entity", "source_file", "change_kind", "old_path", "new_path", "similarity")
 
 
-def unified_types(matched: DataFrame, entity: str) -> dict[str, str]:
-    """First name -> the type that holds all its values in all files; objects and mixtures with them are JSON text.
+def unified_columns(matched: DataFrame, entity: str, top: str) -> list[tuple[str, str, str]]:
+    """(path below ``top`` without [], column, type) of all values that the files hold there; '' stands for ``top`` or its items.
 
-    The result is schema, not data: it has one entry a path.
+    A column has the widest type of its path in all files; text, arrays and objects come as
+    strings.  Paths that only ever hold objects with parts have no column of their own.  Column
+    names are the parts joined by underscores, with a number behind where two paths would share
+    one.  The result is schema, not data: it has one entry a path.
     """
-    names = matched.where((F.col("row_kind") == "name") & (F.col("entity") == entity)).groupBy("old_path").agg(F.bit_or("bits").alias("bits"))
-    return {r["old_path"]: type_name(r["bits"]) for r in names.orderBy("old_path").collect()}
+    names = matched.where((F.col("row_kind") == "name") & (F.col("entity") == entity) & _at_or_below("old_path", top))
+    bits: dict[str, int] = {}
+    for r in names.groupBy("old_path").agg(F.bit_or("bits").alias("bits")).collect():
+        path = r["old_path"][len(top) :]
+        held = r["bits"] & ~TYPES["array"] if path in ("", "[]") else r["bits"]
+        path = path.removeprefix("[]").removeprefix(".")
+        if "[]" not in path:  # what inner arrays hold is part of their text
+            bits[path] = bits.get(path, 0) | (held & ~TYPES["object"] if path == "" else held)
+    parents = {".".join(p.split(".")[:n]) for p in bits for n in range(1, p.count(".") + 1)}
+    out, used = [], set()
+    for path in sorted(bits):
+        if bits[path] & ~TYPES["object"] or path and path not in parents:
+            name = f"{top}_{path}".replace(".", "_") if path else top
+            column = next(n for n in (name, *(f"{name}_{k}" for k in range(2, len(bits) + 3))) if n.lower() not in used)
+            used.add(column.lower())
+            kind = type_name(bits[path])
+            out.append((path, column, kind if kind in ("double", "long", "boolean") else "string"))
+    return out
+
+
+def _at_or_below(path: str, top: str) -> Column:
+    return (F.col(path) == top) | F.col(path).startswith(f"{top}.") | F.col(path).startswith(f"{top}[]")
 
 
-def unify(lines: DataFrame, matched: DataFrame, entity: str, tops: list[str], top: str) -> DataFrame:
+def _cell(value: object, kind: str) -> str:
+    if isinstance(value, str):
+        return value
+    if isinstance(value, bool) and kind in ("double", "long"):
+        return "1" if value else "0"
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
+def unify(lines: DataFrame, matched: DataFrame, entity: str, top: str) -> DataFrame:
     """One table of all files of an entity: ``record_id, source_file, item_pos`` and a column for each path below ``top``.
 
     Columns carry the first name of a path (dots become underscores) and the widest of its types;
-    text, arrays and objects come as strings.  A list gives one row an item, an object one row at
-    position 0.  ``lines`` has record_id, entity, source_file and line_text.
+    text, arrays and objects come as compact JSON strings, booleans among numbers as 1 and 0.  A
+    list gives one row an item, anything else one row at position 0; what is no object stands in a
+    column named ``top``.  Nulls and items without any value give no row, an empty table gives
+    none.  ``lines`` has record_id, entity, source_file and line_text.
+
+    A line is parsed into its wide row where it is read; what joins it is the renames of its file.
     """
-    types = {p: t for p, t in unified_types(matched, entity).items() if p.startswith((f"{top}.", f"{top}[]."))}
-    leaves = [p for p, t in types.items() if t != "object" or not any(q.startswith(f"{p}.") for q in types)]
+    columns = unified_columns(matched, entity, top)
+    place = {path: i for i, (path, _, _) in enumerate(columns)}
+    kinds = [kind for _, _, kind in columns]
 
     def cells(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for record_id, file, line in zip(batch["record_id"], batch["source_file"], batch["line_text"], strict=True):
+            for record_id, file, line, new, old in zip(batch["record_id"], batch["source_file"], batch["line_text"], batch["new"], batch["old"], strict=True):
                 held = (parsed(line) or {}).get(top)
+                names = dict(zip(new, old, strict=True)) if new is not None else {}
                 items = held if isinstance(held, list) else [held]
                 root = f"{top}[]" if isinstance(held, list) else top
                 for pos, item in enumerate(items):
-                    for path, value in walk(root, item):
-                        if path not in (root, top) and "[]" not in path[len(root) :]:
-                            text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
-                            out.append((record_id, file, pos, path, text))
-            yield pd.DataFrame(out, columns=["record_id", "source_file", "item_pos", "path", "text"])
+                    row: list[str | None] = [None] * len(kinds)
+                    for path, value in walk(root, item, items=True):
+                        inner = path[len(root) :]
+                        if "[]" not in inner:
+                            i = place.get(names.get(path, path)[len(top) :].removeprefix("[]").removeprefix("."))
+                            if i is not None and not (inner == "" and isinstance(value, dict)):
+                                row[i] = _cell(value, kinds[i])
+                    if any(c is not None for c in row):
+                        out.append((record_id, file, pos, *row))
+            yield pd.DataFrame(out, columns=["record_id", "source_file", "item_pos", *(f"c{i}" for i in range(len(kinds)))])
 
     rows = lines.where((F.col("entity") == entity) & F.col("source_file").isNotNull()).select(F.col("record_id").cast("string"), "source_file", "line_text")
-    found = rows.mapInPandas(cells, "record_id string, source_file string, item_pos int, path string, text string")
-    names = matched.where((F.col("row_kind") == "name") & (F.col("entity") == entity)).select("source_file", F.col("new_path").alias("path"), F.col("old_path").alias("name"))
-    named = found.join(names, ["source_file", "path"]).withColumn("record_id", F.col("record_id").cast("long"))
-    column: dict[str, Column] = {}
-    for p in leaves:
-        value = F.max(F.when(F.col("name") == p, F.col("text")))
-        cast = {"long": "bigint", "double": "double", "boolean": "boolean"}.get(types[p])
-        column[p.replace("[]", "").replace(".", "_")] = value.try_cast(cast) if cast else value
-    if not column:
-        return named.select("record_id", "source_file", "item_pos").distinct()
-    return named.groupBy("record_id", "source_file", "item_pos").agg(*[c.alias(n) for n, c in column.items()])
+    names = matched.where((F.col("row_kind") == "name") & (F.col("entity") == entity) & (F.col("new_path") != F.col("old_path")) & _at_or_below("new_path", top))
+    # one row a file with renames; Spark broadcasts it as long as it is small, and shuffles beyond
+    renames = names.groupBy("source_file").agg(F.collect_list(F.struct("new_path", "old_path")).alias("r")).select("source_file", "r.new_path", "r.old_path").toDF("source_file", "new", "old")
+    found = rows.join(renames, "source_file", "left").mapInPandas(cells, ", ".join(["record_id string, source_file string, item_pos int", *(f"c{i} string" for i in range(len(kinds)))]))
+    casts = {"long": "bigint", "double": "double", "boolean": "boolean"}
+    typed = [(F.col(f"c{i}").try_cast(casts[kind]) if kind in casts else F.col(f"c{i}")).alias(column) for i, (_, column, kind) in enumerate(columns)]
+    return found.select(F.col("record_id").cast("long"), "source_file", "item_pos", *typed)
 
 
 def read_drifting(lines: DataFrame, tops: dict[str, list[str]]) -> DataFrame:

@@ -106,7 +106,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _unified(entity: str, top: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = table(spark, sf_dir, "raw_records")
-        return drift.unify(lines, drift.read_drifting(lines, DRIFTING), entity, DRIFTING[entity], top)
+        return drift.unify(lines, drift.read_drifting(lines, DRIFTING), entity, top)
 
     query.__doc__ = f"All files' {top} of {entity} in one table, under each field's first name and widest type."
     return query
@@ -207,7 +207,60 @@ def _p7_part(name: str, key: str) -> str:
 FROM (SELECT id, unnest({name}) AS x, CAST(generate_subscripts({name}, 1) - 1 AS INTEGER) AS pos FROM works) WHERE x IS NOT NULL"""
 
 
+# every path with a value, its type and the item it is in, of the lines of raw_records
+_P3_CELLS = """
+lines AS (SELECT record_id, entity, source_file, regexp_extract(source_file, 'updated_date=([^/]*)/', 1) AS d, regexp_extract(source_file, '/(part_[^/.]*)', 1) AS s,
+    CASE WHEN json_valid(line_text) AND json_type(line_text) = 'OBJECT' THEN line_text END AS t FROM raw_records WHERE source_file IS NOT NULL AND entity IN ('works', 'institutions')),
+tops AS (SELECT * EXCLUDE (t), CASE entity WHEN 'works' THEN json_object('ids', t -> '$.ids', 'counts_by_year', t -> '$.counts_by_year') ELSE json_object('topic_share', t -> '$.topic_share') END AS j FROM lines WHERE t IS NOT NULL),
+nodes AS (SELECT record_id, entity, source_file, substr(n.fullkey, 3) AS k, n.type, n.value AS v FROM tops, json_tree(tops.j) n WHERE n.fullkey != '$' AND n.type != 'NULL' AND CAST(n.value AS VARCHAR) NOT IN ('{}', '[]')),
+cells AS (SELECT *, regexp_replace(k, '\\[[0-9]+\\]', '[]', 'g') AS path, coalesce(try_cast(regexp_extract(k, '^[^.\\[]*\\[([0-9]+)\\]', 1) AS INTEGER), 0) AS item_pos,
+    CASE type WHEN 'VARCHAR' THEN 1 WHEN 'OBJECT' THEN 2 WHEN 'ARRAY' THEN 3 WHEN 'DOUBLE' THEN 4 WHEN 'BOOLEAN' THEN 6 ELSE 5 END AS kind FROM nodes),
+files AS (SELECT *, row_number() OVER (PARTITION BY entity, s ORDER BY d, source_file) AS i FROM (SELECT DISTINCT entity, s, d, source_file FROM lines)),
+paths AS (SELECT f.entity, f.s, f.i, c.path, min(c.kind) AS kind FROM files f JOIN cells c ON c.entity = f.entity AND c.source_file = f.source_file WHERE c.path NOT LIKE '%[]' GROUP BY ALL),
+sides AS (SELECT entity, s, i, path, max(o) AS o, max(n) AS n FROM (SELECT entity, s, i, path, NULL AS o, kind AS n FROM paths UNION ALL
+    SELECT p.entity, p.s, p.i + 1, p.path, p.kind, NULL FROM paths p JOIN files f ON f.entity = p.entity AND f.s = p.s AND f.i = p.i + 1) GROUP BY ALL),
+touched AS (SELECT *, CASE WHEN path LIKE '%.%' THEN regexp_replace(path, '\\.[^.]*$', '') ELSE '' END AS up FROM sides WHERE i > 1 AND o IS DISTINCT FROM n),
+clean AS (SELECT * FROM touched t WHERE NOT EXISTS (FROM touched a WHERE a.entity = t.entity AND a.s = t.s AND a.i = t.i AND (starts_with(t.path, a.path || '.') OR starts_with(t.path, a.path || '[]')))),
+kin AS (SELECT entity, s, i, up, up != '' AND count(*) FILTER (WHERE n IS NULL) = 1 AND count(*) FILTER (WHERE o IS NULL) = 1 AND max(o) FILTER (WHERE n IS NULL) = max(n) FILTER (WHERE o IS NULL) AS renames,
+    max(path) FILTER (WHERE n IS NULL) AS gone, max(path) FILTER (WHERE o IS NULL) AS fresh FROM clean WHERE o IS NULL OR n IS NULL GROUP BY entity, s, i, up),
+changes AS (SELECT entity, s, i, 'retyped' AS change_kind, path AS old_path, path AS new_path FROM clean WHERE o IS NOT NULL AND n IS NOT NULL
+  UNION ALL SELECT entity, s, i, 'renamed', gone, fresh FROM kin WHERE renames
+  UNION ALL SELECT c.entity, c.s, c.i, CASE WHEN n IS NULL THEN 'removed' ELSE 'added' END, CASE WHEN n IS NULL THEN path ELSE '' END, CASE WHEN n IS NULL THEN '' ELSE path END
+    FROM clean c JOIN kin g ON g.entity = c.entity AND g.s = c.s AND g.i = c.i AND g.up = c.up WHERE NOT g.renames AND (o IS NULL OR n IS NULL)),
+"""
+
+
+def _p3_table(entity: str, top: str, columns: dict[str, str]) -> str:
+    """SQL of a unified table with the columns (by path below the top field) that the data of the tests have."""
+    casts = {"bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    value = "CASE WHEN c.type = 'VARCHAR' THEN c.v ->> '$' ELSE CAST(c.v AS VARCHAR) END"
+    cells = [f"max(CASE WHEN name = '{p}' THEN {f'try_cast({value} AS {casts[t]})' if t in casts else value} END) AS {(top + '_' + p).replace('.', '_')}" for p, t in columns.items()]
+    return f"""
+WITH RECURSIVE {_P3_CELLS}
+prior AS (SELECT p.entity, p.s, p.i, p.path, coalesce(any_value(r.old_path || substr(p.path, length(r.new_path) + 1)), p.path) AS was FROM paths p LEFT JOIN changes r ON r.change_kind = 'renamed' AND r.entity = p.entity AND r.s = p.s AND r.i = p.i
+    AND (p.path = r.new_path OR starts_with(p.path, r.new_path || '.') OR starts_with(p.path, r.new_path || '[]')) GROUP BY p.entity, p.s, p.i, p.path),
+names AS (SELECT entity, s, i, path, path AS name FROM prior WHERE i = 1
+  UNION ALL SELECT p.entity, p.s, p.i, p.path, coalesce(max(n.name) FILTER (WHERE n.path = p.was), max(n.name || regexp_extract(p.was, '(\\[\\])*\\.[^.]*$')) FILTER (WHERE n.path = regexp_replace(p.was, '(\\[\\])*\\.[^.]*$', '')), p.path)
+    FROM prior p JOIN names n ON n.entity = p.entity AND n.s = p.s AND n.i = p.i - 1 GROUP BY p.entity, p.s, p.i, p.path),
+named AS (SELECT f.source_file, n.path, regexp_replace(substr(n.name, {len(top) + 1}), '^(\\[\\])?\\.?', '') AS name FROM names n JOIN files f ON f.entity = n.entity AND f.s = n.s AND f.i = n.i
+    WHERE n.entity = '{entity}' AND starts_with(n.path, '{top}') AND n.path != '{top}' AND NOT contains(regexp_replace(n.path, '^[^.\\[]*\\[\\]', ''), '[]'))
+SELECT c.record_id, c.source_file, c.item_pos, {', '.join(cells)}
+FROM cells c JOIN named n ON n.source_file = c.source_file AND n.path = c.path WHERE c.entity = '{entity}' GROUP BY ALL"""
+
+
+_P3_TABLES = {
+    "p3_ids": ("works", "ids", {"doi": "", "graph": "", "mag": "bigint", "pmid": "", "rank_score": "double"}),
+    "p3_counts_by_year": ("works", "counts_by_year", {"cited_by_count": "", "is_final": "boolean", "oa_count": "bigint", "origin": "", "origin.id": "", "year": "bigint"}),
+    "p3_topic_share": ("institutions", "topic_share", {
+        "domain.display_name": "", "domain.id": "", "domain.legacy_id": "bigint", "field.id": "", "id": "", "is_top": "boolean", "label": "", "rank": "bigint", "score": "double",
+        "subfield": "", "subfield.id": "", "tags": "", "value": "double",
+    }),
+}
+
+
 ORACLE = {
+    "p3_found": f"WITH {_P3_CELLS.rstrip().rstrip(',')} SELECT c.entity, f.source_file, change_kind, old_path, new_path FROM changes c JOIN files f USING (entity, s, i)",
+    **{name: _p3_table(*parts) for name, parts in _P3_TABLES.items()},
     "p7_typed": " UNION ALL ".join(_p7_part(n, k) for n, k in (("authorships", "x.author.id"), ("locations", "x.source.id"), ("topics", "x.id"), ("grants", "x.funder"))) + f"""
 UNION ALL SELECT id, 'institutions', pos, ipos, coalesce({_SHORT.format("y.id")}, '') FROM (SELECT id, pos, unnest(x.institutions) AS y, CAST(generate_subscripts(x.institutions, 1) - 1 AS INTEGER) AS ipos
 FROM (SELECT id, unnest(authorships) AS x, CAST(generate_subscripts(authorships, 1) - 1 AS INTEGER) AS pos FROM works) WHERE x IS NOT NULL) WHERE y IS NOT NULL""",

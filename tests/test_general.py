@@ -188,13 +188,40 @@ def test_drift_against_brute_force(spark):
 def test_unified_table(spark, rows):
     records = [("works", file(1), json.dumps({"ids": {"doi": "1", "mid": 7}})), ("works", file(2), json.dumps({"ids": {"doi": "2", "pm": 8}})), ("works", file(3), json.dumps({"ids": {"doi": 3, "pm": 8.5}}))]
     source = lines(spark, records)
-    df = drift.unify(source, drift.read_drifting(source, {"works": ["ids", "cby"]}), "works", ["ids", "cby"], "ids")
+    df = drift.unify(source, drift.read_drifting(source, {"works": ["ids", "cby"]}), "works", "ids")
     assert dict(df.dtypes)["ids_mid"] == "double"
     assert rows(df, "record_id", "ids_doi", "ids_mid") == [(0, "1", 7.0), (1, "2", 8.0), (2, "3", 8.5)]
 
 
+def unified(spark, values, top="ids"):
+    source = lines(spark, [("works", file(n), json.dumps({top: v})) for n, v in enumerate(values, 1)])
+    return drift.unify(source, drift.read_drifting(source, {"works": ["ids", "cby"]}), "works", top)
+
+
+def test_fields_that_are_no_renames_keep_their_columns(spark, rows):
+    df = unified(spark, [{"pmid": "p", "mag": "m", "doi": "d"}, {"isbn": "i", "doi": "d"}])
+    assert rows(df, "record_id", "ids_pmid", "ids_mag", "ids_doi", "ids_isbn") == [(0, "p", "m", "d", None), (1, None, None, "d", "i")]
+    # the old name comes back beside the new one
+    df = unified(spark, [{"a": "1", "z": "z"}, {"b": "2", "z": "z"}, {"a": "4", "b": "3", "z": "z"}])
+    assert rows(df, "record_id", "ids_a", "ids_a_2", "ids_z") == [(0, "1", None, "z"), (1, "2", None, "z"), (2, "3", "4", "z")]
+
+
+def test_unified_values_of_every_shape(spark, rows):
+    df = unified(spark, ["W1", {"a": {"b": True}, "a_b": 2}, {"a": {"b": 2.5}, "a_b": [1, {"x": 2}]}, [{"a": {"b": 7}}, "W2", None, {}, 5], {}, None])
+    assert dict(df.dtypes)["ids_a_b"] == "double"
+    assert rows(df, "record_id", "item_pos", "ids", "ids_a_b", "ids_a_b_2") == [
+        (0, 0, "W1", None, None), (1, 0, None, 1.0, "2"), (2, 0, None, 2.5, '[1,{"x":2}]'), (3, 0, None, 7.0, None), (3, 1, "W2", None, None), (3, 4, "5", None, None)
+    ]
+
+
+def test_a_renamed_parent_carries_its_parts(spark, rows):
+    df = unified(spark, [[{"p": {"x": 1}}], [{"q": {"x": 2, "y": 3}}], [{"q": {"w": 4, "y": 5}}]], "cby")
+    assert rows(df, "record_id", "cby_p_x", "cby_p_y") == [(0, 1, None), (1, 2, 3), (2, 4, 5)]
+
+
 def test_drift_empty(spark):
     assert drift.schema_changes(drifted(spark, [])).count() == 0
+    assert drift.unify(lines(spark, []), drift.read_drifting(lines(spark, []), {"works": ["ids"]}), "works", "ids").count() == 0
 
 
 # ---- nested records
