@@ -1,12 +1,14 @@
 """Filling containers of fixed capacity with documents that belong together.
 
 Documents are measured in tokens.  What exceeds the capacity is cut into full containers and a
-rest; all other documents are whole items.  Items are spread over shards of bounded size; in a
-shard an inverted index with BM25 weights finds, for the largest unused item (the seed), its
-unused neighbours, which fill the seed's window in the order of their scores, and the best-fitting
+rest; all other documents are whole items.  Items are ordered by the terms that tell most about
+them, a common one first and then a rare one, and cut into shards of fixed size; in a shard an
+inverted index with BM25 weights finds, for the largest unused item (the seed), its unused
+neighbours, which fill the seed's window in the order of their scores, and the best-fitting
 unused items close what room is left.  The inverse document frequencies are those of the whole
-corpus.  Containers that stay loose are opened again and their items spread over new groups of the
-same size, first within scripts, then over all; one item beside which no open item fits is done.
+corpus.  Containers that stay loose are opened again and their items cut into new shards of the
+same size, first in the same order, then in a random one; one item beside which no open item
+fits is done.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from __future__ import annotations
 import base64
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
+from hashlib import blake2b
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
@@ -21,68 +25,92 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestloom.llm.words import Hasher, words
+from nestloom.operators.graph import numbered
 from nestloom.runtime import materialize, union_all
 
+if TYPE_CHECKING:
+    import tiktoken
+
 CAPACITY = 2_048
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Items in a shard, and in a group of items that are packed again.
+#: Items in a shard.
 SHARD_ITEMS = 3_000
 #: Items are packed again as long as that closes at least this share of them.
 WORTHWHILE = 1 / 16
 #: A container filled to less than this is opened again.
 FULL = 0.97
 #: Terms fall into this many buckets, which bounds the table of document frequencies.
-TERM_BUCKETS = 1 << 17
+TERM_BUCKETS = 1 << 20
 _K1, _B = 1.2, 0.75
 # fixed value: the published splitting pattern of this vocabulary
 _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_ITEM = "doc_id string, piece int, token_start int, n_tokens int, script int, terms array<int>, counts array<int>"
+_ITEM = "doc_id string, row long, piece int, token_start int, n_tokens int, digest long, terms array<int>, counts array<int>"
 
 
-def tokenizer(path: str) -> Callable[[str], int]:
-    """A function that counts the tokens of a text with the byte-pair ranks in a file."""
+def tokenizer(path: str) -> tiktoken.Encoding:
+    """The tokenizer of the byte-pair ranks in a file."""
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    encoding = tiktoken.Encoding("packing", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: len(encoding.encode_ordinary(text))
+    return tiktoken.Encoding("packing", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _script(text: str) -> int:
-    """A coarse class of the text's script, which keeps neighbours in one shard."""
-    letters = [ord(c) >> 8 for c in text[:: max(1, len(text) // 64)] if c.isalpha()]
-    return max(set(letters), key=letters.count) if letters else 0
+def _digest(doc_id: str | None, text: str | None) -> int:
+    h = blake2b(repr(doc_id).encode(), digest_size=8)
+    h.update(repr(text).encode("utf-8", "surrogatepass"))
+    return int.from_bytes(h.digest(), "little", signed=True)
 
 
 def items(docs: DataFrame, capacity: int, path: str, buckets: int = TERM_BUCKETS) -> DataFrame:
-    """The pieces of all documents: ``doc_id, piece, token_start, n_tokens, script, terms, counts``.
+    """The pieces of all documents: ``doc_id, row, piece, token_start, n_tokens, digest, terms, counts``.
 
     A document has one piece unless it exceeds the capacity.  Null and empty texts are pieces of
-    no tokens.  Full pieces carry no terms, as nothing fits beside them.
+    no tokens.  The terms are those of the piece's own tokens; full pieces carry none, as nothing
+    fits beside them.  The digest is of the id and the text.
     """
 
     def measure(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count, hasher = tokenizer(path), Hasher()
+        encoding, hasher = tokenizer(path), Hasher()
+        none = np.empty(0, np.int32)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                n = count(text) if text else 0
-                starts = range(0, max(n, 1), capacity)
-                if n and n % capacity == 0:  # full pieces only
-                    terms = counts = np.empty(0, np.int32)
-                else:
-                    terms, counts = np.unique((hasher(words(text)) % np.uint64(buckets)).astype(np.int32), return_counts=True)
-                    counts = counts.astype(np.int32)
-                script = _script(text) if text else 0
-                for piece, start in enumerate(starts):
+            for doc_id, row, text in zip(batch["doc_id"], batch["row"], batch["text"], strict=True):
+                tokens = encoding.encode_ordinary(text) if text else []
+                n, digest = len(tokens), _digest(doc_id, text)
+                for piece, start in enumerate(range(0, max(n, 1), capacity)):
                     size = min(capacity, n - start)
-                    full = size == capacity
-                    out.append((doc_id, piece, start, size, script, terms[:0] if full else terms, counts[:0] if full else counts))
+                    terms, counts = none, none
+                    if 0 < size < capacity:
+                        own = text if size == n else encoding.decode(tokens[start:])
+                        terms, counts = np.unique((hasher(words(own)) % np.uint64(buckets)).astype(np.int32), return_counts=True)
+                        counts = counts.astype(np.int32)
+                    out.append((doc_id, row, piece, start, size, digest, terms, counts))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _ITEM.split(", ")])
 
     # ids go as text, since pandas has no integers beside nulls
-    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(measure, _ITEM)
+    return docs.select(F.col("doc_id").cast("string"), F.monotonically_increasing_id().alias("row"), "text").mapInPandas(measure, _ITEM)
+
+
+def _weights(tf: np.ndarray, lengths: np.ndarray, mean_length: float) -> np.ndarray:
+    return tf * (_K1 + 1) / (tf + _K1 * (1 - _B + _B * lengths / max(mean_length, 1e-9)))
+
+
+def led(loose: DataFrame, statistics: object, shard_items: int) -> DataFrame:
+    """Adds ``broad`` and ``narrow``: the terms of greatest weight among those of more items than a shard holds, and among rarer shared ones; -1 for none."""
+
+    def lead(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        df, idf, _ = statistics.value
+        for batch in batches:
+            broad, narrow = [], []
+            for terms, counts in zip(batch["terms"], batch["counts"], strict=True):
+                terms, tf = np.asarray(terms, np.int32), np.asarray(counts, float)
+                weight, common = tf / (tf + _K1) * idf[terms], df[terms] >= shard_items
+                for out, use in ((broad, common), (narrow, ~common & (df[terms] > 1))):
+                    out.append(int(terms[use][np.argmax(weight[use])]) if use.any() else -1)
+            yield batch.assign(broad=np.array(broad, np.int32), narrow=np.array(narrow, np.int32))
+
+    return loose.mapInPandas(lead, f"{_ITEM}, broad int, narrow int")
 
 
 def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, mean_length: float, capacity: int) -> list[list[int]]:
@@ -92,8 +120,7 @@ def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], i
     flat = np.concatenate(terms) if n else np.empty(0, np.int32)
     owner = np.repeat(np.arange(n), [len(t) for t in terms])
     tf = np.concatenate(counts).astype(float) if n else np.empty(0)
-    weight = tf * (_K1 + 1) / (tf + _K1 * (1 - _B + _B * lengths[owner] / max(mean_length, 1e-9)))
-    weight *= idf[flat]
+    weight = _weights(tf, lengths[owner], mean_length) * idf[flat]
     order = np.argsort(flat, kind="stable")
     vocabulary, first = np.unique(flat[order], return_index=True)
     ends = np.append(first[1:], len(order))
@@ -141,14 +168,16 @@ def pack(sizes: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], i
         out.append(members)
 
 
-_PLACED = "doc_id string, piece int, token_start int, n_tokens int, script int, terms array<int>, counts array<int>, shard long, container string, position int, filled int, largest int"
+_PLACED = f"{_ITEM}, broad int, narrow int, shard long, container string, position int, filled int, largest int"
+_OUT = ["container", "position", "doc_id", "piece", "token_start", "n_tokens"]
 
 
-def _packer(idf: object, mean_length: float, capacity: int, full: float, level: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _packer(statistics: object, capacity: int, full: float, level: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "n_tokens"], kind="stable").reset_index(drop=True)
+        _, idf, mean_length = statistics.value
+        pdf = pdf.sort_values(["digest", "piece", "row"], kind="stable").reset_index(drop=True)
         sizes = pdf["n_tokens"].to_numpy()
-        found = pack(sizes, [np.asarray(t, np.int32) for t in pdf["terms"]], [np.asarray(c, np.int32) for c in pdf["counts"]], idf.value, mean_length, capacity)
+        found = pack(sizes, [np.asarray(t, np.int32) for t in pdf["terms"]], [np.asarray(c, np.int32) for c in pdf["counts"]], idf, mean_length, capacity)
         rows = [i for members in found for i in members]
         out = pdf.iloc[rows].copy()
         out["container"] = [f"{level}-{pdf['shard'].iloc[0]}-{k}" for k, members in enumerate(found) for _ in members]
@@ -164,20 +193,15 @@ def _packer(idf: object, mean_length: float, capacity: int, full: float, level:
     return run
 
 
-def _regrouped(opened: DataFrame, open_items: dict[int, int], shard_items: int, level: int, pooled: bool) -> tuple[DataFrame, int]:
-    """Open items in groups of about ``shard_items``, and the number of groups: scripts with at least so many items have their own groups."""
-    own = {} if pooled else {k: n for k, n in open_items.items() if n >= shard_items}
-    rest = sum(n for k, n in open_items.items() if k not in own)
-    pool, at = -(-rest // shard_items), 0
-    rows = [(k, 0, pool) for k in open_items if k not in own]
-    for k, n in sorted(own.items()):
-        rows.append((k, pool + at, -(-n // shard_items)))
-        at += rows[-1][2]
-    spans = opened.sparkSession.createDataFrame(rows, "script int, first long, groups long")
-    # the container tells rows with the same or no id apart
-    salt = F.pmod(F.xxhash64("container", "doc_id", "piece", "token_start", F.lit(level)), F.col("groups"))
-    out = opened.join(F.broadcast(spans), "script").withColumn("shard", F.col("first") + salt)
-    return out.drop("container", "position", "filled", "largest", "first", "groups"), pool + at
+def _sharded(loose: DataFrame, shard_items: int, shuffled: int = 0) -> DataFrame:
+    """Adds ``shard``: each ``shard_items`` consecutive items, in the order of their leading terms or, ``shuffled``, in a random one.
+
+    The place in the order comes from sorted ranges; exact copies differ by their row, so that
+    any number of them is cut like all others.
+    """
+    order = ["_key", "digest", "piece", "row"]
+    key = F.xxhash64("digest", "piece", F.lit(shuffled)) if shuffled else F.struct("broad", "narrow")
+    return numbered(loose.withColumn("_key", key), *order).withColumn("shard", F.floor(F.col("idx") / shard_items)).drop("_key", "idx")
 
 
 def packed(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str = TOKENIZER, shard_items: int = SHARD_ITEMS, full: float = FULL) -> DataFrame:
@@ -185,46 +209,61 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str = TOKE
 
     docs has doc_id and text; repeated rows are documents of their own.  No container holds more
     than ``capacity`` tokens, and no document of at most that many is split.  An empty table
-    gives no rows.
+    gives no rows.  The result depends on the documents only, not on how they are spread.
     """
     spark = docs.sparkSession
     pieces = materialize(items(docs, capacity, tokenizer_path), "pieces")
     loose = pieces.where(F.col("n_tokens") < capacity)
-    whole = pieces.where(F.col("n_tokens") == capacity).select(
-        F.concat_ws("-", F.lit("full"), "doc_id", "piece", F.monotonically_increasing_id()).alias("container"),
-        F.lit(0).alias("position"), "doc_id", "piece", "token_start", "n_tokens",
-    )
+    # equal full pieces are counted, not gathered, and named by the document's digest and a copy number
+    whole = pieces.where(F.col("n_tokens") == capacity).groupBy("doc_id", "digest", "piece", "token_start", "n_tokens").agg(F.count("*").cast("int").alias("copies"))
+    whole = whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    whole = whole.select(F.concat_ws("-", F.lit("full"), F.lower(F.hex("digest")), "piece", "copy").alias("container"), F.lit(0).alias("position"), *_OUT[2:])
     # statistics of all items: at most one number a bucket
-    stats = loose.agg(F.count("*").alias("n"), F.avg(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("mean")).first()
+    mean = F.avg(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x))
+    n_items, mean_length = loose.agg(F.count("*"), mean).first()
+    held = loose.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).toPandas()
     df = np.zeros(TERM_BUCKETS)
-    for bucket, n in loose.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).toLocalIterator():
-        df[bucket] = n
-    idf = spark.sparkContext.broadcast(np.log1p((max(stats["n"], 1) - df + 0.5).clip(0.5) / (df + 0.5)))
-    scripts = loose.groupBy("script").agg(F.count("*").alias("n")).select("script", F.ceil(F.col("n") / shard_items).alias("shards"))
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "token_start"), F.col("shards"))
-    # a shard's number keeps its script apart; scripts are at most 4,352 classes
-    sharded = loose.join(F.broadcast(scripts), "script").withColumn("shard", F.col("script") * F.lit(1 << 32) + salt).drop("shards")
-    level, done, before, groups, pooled = 0, [whole], 0, 0, False
+    df[held["t"].to_numpy(np.int64)] = held["n"].to_numpy()
+    idf = np.log1p((max(n_items, 1) - df + 0.5).clip(0.5) / (df + 0.5))
+    statistics = spark.sparkContext.broadcast((df.astype(np.float32), idf.astype(np.float32), mean_length or 1.0))
+    # written, as the ranges' bounds are sampled before the items are sorted
+    sharded = _sharded(materialize(led(loose, statistics, shard_items), "led-pieces"), shard_items)
+    level, done, before, shuffled = 0, [whole], n_items, False
     while True:
-        run = _packer(idf, stats["mean"] or 1.0, capacity, full, level)
-        placed = materialize(sharded.groupBy("shard").applyInPandas(run, _PLACED), "packed")
+        placed = materialize(sharded.groupBy("shard").applyInPandas(_packer(statistics, capacity, full, level), _PLACED), "packed")
         loose_ones = placed.where(F.col("filled") < full * capacity)
         least = loose_ones.where("n_tokens > 0").agg(F.min("n_tokens")).first()[0] or 0
         # alone, and too large for the smallest open item
         shut = (F.col("filled") >= full * capacity) | ((F.col("filled") == F.col("largest")) & (F.col("filled") + F.lit(least) > capacity))
         opened = placed.where(~shut)
-        left = {r["script"]: r["n"] for r in opened.groupBy("script").agg(F.count("*").alias("n")).collect()}
-        n = sum(left.values())
-        stuck = level > 0 and before - n < WORTHWHILE * before
-        if n == 0 or groups == 1 or (level == 0 and placed.select("shard").distinct().count() <= 1) or (stuck and pooled):
-            done.append(placed.select("container", "position", "doc_id", "piece", "token_start", "n_tokens"))
+        left = opened.count()
+        stuck = level > 0 and before - left < WORTHWHILE * before
+        if left == 0 or before <= shard_items or (stuck and shuffled):
+            done.append(placed.select(*_OUT))
             return union_all(done).withColumn("doc_id", F.col("doc_id").cast("long"))
-        done.append(placed.where(shut).select("container", "position", "doc_id", "piece", "token_start", "n_tokens"))
-        level, before, pooled = level + 1, n, pooled or stuck
-        sharded, groups = _regrouped(opened, left, shard_items, level, pooled)
+        done.append(placed.where(shut).select(*_OUT))
+        level, before, shuffled = level + 1, left, shuffled or stuck
+        sharded = _sharded(opened.drop("shard", "container", "position", "filled", "largest"), shard_items, level if shuffled else 0)
 
 
 def packing_report(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Containers, items, tokens and the share of room that is used."""
     per = placed.groupBy("container").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("items"))
     return per.agg(F.count("*").alias("n_containers"), F.sum("items").alias("n_items"), F.sum("tokens").alias("n_tokens"), (F.sum("tokens") / (F.count("*") * capacity)).alias("used"))
+
+
+def packing_faults(docs: DataFrame, placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row of counts: documents, documents that are not placed once as a whole, containers over the capacity, documents split without need.
+
+    Documents are counted by their id and rows of one id together, as their pieces cannot be told apart.
+    """
+    given = docs.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    per = placed.groupBy("doc_id").agg(F.count_if(F.col("piece") == 0).alias("first"), F.max("piece").alias("last"), F.sum("n_tokens").alias("n"))
+    both = given.join(per, given["doc_id"].eqNullSafe(per["doc_id"]), "full_outer")
+    documents = both.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n_documents"),
+        F.count_if(~F.col("rows").eqNullSafe(F.col("first"))).alias("n_misplaced"),
+        F.count_if((F.col("n") <= capacity) & (F.col("last") > 0)).alias("n_split"),
+    )
+    rooms = placed.groupBy("container").agg(F.sum("n_tokens").alias("n")).agg(F.count_if(F.col("n") > capacity).alias("n_overfull"))
+    return documents.crossJoin(rooms)

@@ -53,6 +53,12 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(packing.packed(table(spark, sf_dir, "documents")))
 
 
+def p8_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, and how many of them or of their containers break a rule of packing."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.packing_faults(docs, packing.packed(docs))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that give away an evaluation item: half of its words lie in shared passages."""
     found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), least_share=0.5)
@@ -73,9 +79,10 @@ def _num(col: str, letters: str) -> str:
     return f"try_cast(regexp_extract({col}, '(?:^|[^A-Za-z0-9])[{letters}]([0-9]+)', 1) AS BIGINT)"
 
 
-QUERIES = {"p2_found": p2_found, "p2_surprise": p2_surprise, "p5_found": p5_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p2_surprise": p2_surprise, "p5_found": p5_found, "p8_packed": p8_packed, "p8_report": p8_report, "p8_faults": p8_faults, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
 
 ORACLE = {
+    "p8_faults": "SELECT count(*) AS n_documents, 0 AS n_misplaced, 0 AS n_split, 0 AS n_overfull FROM documents",
     "p2_found": f"""
 WITH w AS (SELECT {_num("id", "wW")} AS k, topics, concepts, keywords FROM works WHERE {_num("id", "wW")} IS NOT NULL),
 items AS (SELECT DISTINCT f, k, i FROM (

@@ -152,10 +152,10 @@ DOCS = [(1, "alpha beta " * 30), (2, "alpha gamma " * 20), (3, None), (4, ""), (
 def test_every_document_is_packed_once(spark):
     docs = spark.createDataFrame([(*d, "clash") for d in DOCS], "doc_id long, text string, container string")
     rows = packing.packed(docs, capacity=100, shard_items=3).collect()
-    count = packing.tokenizer(packing.TOKENIZER)
+    encode = packing.tokenizer(packing.TOKENIZER).encode_ordinary
     expected = Counter()
     for d, text in DOCS:
-        n = count(text or "")
+        n = len(encode(text or ""))
         expected.update((d, k, k * 100, min(100, n - k * 100)) for k in range(max(1, -(-n // 100))))
     assert Counter((r["doc_id"], r["piece"], r["token_start"], r["n_tokens"]) for r in rows) == expected
     held = defaultdict(list)
@@ -188,6 +188,28 @@ def test_groups_stay_bounded_when_items_stay_loose(spark, least, most):
     assert max(room.values()) <= 100 and max(groups.values()) <= 60
 
 
+def test_a_third_of_equal_documents_is_cut_like_all_others(spark):
+    rng = random.Random(8)
+    docs = [(None, "same words here " * 20)] * 300 + [(i, "".join(rng.choice("ab ") for _ in range(90))) for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = packing.packed(df, capacity=100, shard_items=50).collect()
+    assert sum(r["doc_id"] is None for r in rows) == 300 and sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == list(range(600))
+    groups = Counter(r["container"].rpartition("-")[0] for r in rows)
+    assert max(groups.values()) <= 50
+    assert packing.packing_faults(df, packing.packed(df, 100, shard_items=50), 100).first()[1:] == (0, 0, 0)
+    # the containers do not depend on how the documents are spread
+    again = packing.packed(df.repartition(7), capacity=100, shard_items=50).collect()
+    assert Counter((r["container"], r["doc_id"], r["n_tokens"]) for r in again) == Counter((r["container"], r["doc_id"], r["n_tokens"]) for r in rows)
+
+
+def test_the_rest_of_a_document_has_its_own_terms(spark):
+    text = "early " * 120 + "late " * 30
+    df = packing.items(spark.createDataFrame([(1, text)], "doc_id long, text string"), 100, packing.TOKENIZER)
+    rows = sorted(df.collect(), key=lambda r: r["piece"])
+    assert [r["n_tokens"] for r in rows][:-1] == [100] and [len(r["terms"]) for r in rows] == [0, 2]
+    assert sum(rows[-1]["counts"]) < 60
+
+
 def test_neighbours_share_a_window():
     terms = [np.array([1, 2]), np.array([5, 6]), np.array([1, 2]), np.array([5, 6])]
     found = packing.pack(np.array([60, 50, 40, 40]), terms, [np.ones(2, int)] * 4, np.ones(10), 2.0, 100)
