@@ -141,6 +141,29 @@ def test_long_chain_and_loop(spark):
     assert all(found[n] == (31, -1) for n in range(31, 41))
 
 
+def test_a_chain_of_two_thousand_levels(spark):
+    n = 2_000
+    parents = spark.range(n).selectExpr("'c' AS tree", "id AS node", "nullif(id - 1, -1) AS parent")
+    found = hierarchy.hierarchy(parents, with_path=False)
+    assert found.agg(F.count("*"), F.countDistinct("depth"), F.max("depth"), F.count_if(F.col("root") != 0)).first()[:] == (n, n, n - 1, 0)
+
+
+def test_hubs_are_split(spark):
+    n = 100_000
+    # a hub with n children below a chain, and n nodes that hang on one node of a loop
+    parents = spark.range(2 * n + 5).selectExpr(
+        "'h' AS tree", "id AS node",
+        f"CASE WHEN id = 0 THEN NULL WHEN id <= 2 THEN id - 1 WHEN id < {n} + 3 THEN 2 WHEN id = {n} + 3 THEN id + 1 WHEN id = {n} + 4 THEN id - 1 ELSE {n} + 4 END AS parent",
+    )
+    found = hierarchy.hierarchy(parents, hub_edges=1_000)
+    counts = {tuple(r)[:2]: r["count"] for r in found.groupBy("root", "depth").count().collect()}
+    assert counts == {(0, 0): 1, (0, 1): 1, (0, 2): 1, (0, 3): n, (n + 3, -1): n + 2}
+    assert found.where(f"node = {n}").first()["path"] == [0, 1, 2, n]
+    edges = parents.where("parent IS NOT NULL")
+    hubs = hierarchy.Hubs(edges, 2 * n + 4, 1_000)
+    assert hubs.fans.count() == 2 and min(r["fan"] for r in hubs.fans.collect()) > 400
+
+
 def test_hierarchy_empty(spark):
     assert tree_of(spark, [], []).count() == 0
     assert [tuple(r)[:4] for r in tree_of(spark, [("t", 1, None)], []).collect()] == [("t", 1, 1, 0)]
