@@ -1,8 +1,8 @@
 """The patterns by which fields of records become rows of tables.
 
 Each builder takes parents, a frame with ``source_key``, the entity's id and ``value`` (the
-field's variant), and gives the frames of its tables.  Columns whose type depends on the data
-stay variants here; the canonical types are applied afterwards.
+field, as a variant or in its own type), and gives the frames of its tables.  Columns whose type
+depends on the data are variants here; the canonical types are applied afterwards.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestloom.functions.ids import trailing_number
-from nestloom.functions.lattice import ABSENT, BOOL, FLOATS, INT, OBJECT, TEXT, kind, scalar_text
+from nestloom.functions.lattice import TEXT, kind
+from nestloom.functions.lattice import scalar_text as variant_text
 from nestloom.functions.naming import target_column
+from nestloom.operators.nodes import Node, at, count, entries_of, filled, flag, is_object, items_of, node, number, numeric_id, own_id, present, scalar_text, text, variant
 from nestloom.plans.schema import Field
 
 Tables = dict[str, DataFrame]
@@ -24,197 +25,180 @@ Builder = Callable[[DataFrame, Field, str], Tables]
 ROLE_PREFIX = {"funder": "F", "publisher": "P", "institution": "I"}
 
 
-def at(v: Column, path: str) -> Column:
-    """The part of a variant at a dotted path; null if it is missing."""
-    steps = "".join('["{}"]'.format(p.replace('"', "")) for p in path.split("."))
-    return F.try_variant_get(v, f"${steps}", "variant")
-
-
-def text(v: Column) -> Column:
-    return F.when(kind(v) == TEXT, F.try_variant_get(v, "$", "string"))
-
-
-def filled(v: Column) -> Column:
-    """A variant that is neither missing nor null, else null."""
-    return F.when(kind(v) != ABSENT, v)
-
-
-def numeric_id(v: Column) -> Column:
-    """The number that ends an id; integers are ids themselves."""
-    return F.when(kind(v).isin(INT, BOOL), F.try_variant_get(v, "$", "bigint")).otherwise(trailing_number(text(v)))
-
-
-def own_id(v: Column) -> Column:
-    """The number that ends an id, as text, else what follows its last slash; null for null and empty ids."""
-    given = F.nullif(text(v), F.lit(""))
-    return F.coalesce(numeric_id(v).cast("string"), F.substring_index(given, "/", -1))
-
-
-def items(parents: DataFrame, id_column: str, objects: bool = True) -> DataFrame:
-    """One row an item of lists; with ``objects`` only those that are objects."""
-    rows = parents.select("source_key", id_column, F.explode(F.try_variant_get("value", "$", "array<variant>")).alias("item"))
-    return rows.where(kind(F.col("item")) == OBJECT) if objects else rows
+def items(parents: DataFrame, id_column: str, objects: bool = True, keep: tuple[str, ...] = ()) -> tuple[DataFrame, Node]:
+    """One row an item of lists, with only those that are objects if asked, and the item as a node."""
+    rows = parents.select("source_key", id_column, *keep, F.explode(items_of(node(parents, "value"))).alias("item"))
+    item = node(rows, "item")
+    return (rows.where(is_object(item)) if objects else rows), item
 
 
 def _rows(df: DataFrame, id_column: str, **columns: Column) -> DataFrame:
     return df.select("source_key", id_column, *[c.alias(n) for n, c in columns.items()])
 
 
-def _part(name: str) -> Column:
-    return filled(at(F.col("item"), name))
+def _parts(item: Node, names: tuple[str, ...], renamed: dict[str, str] | None = None) -> dict[str, Column]:
+    return {(renamed or {}).get(n, n): filled(at(item, n)) for n in names}
 
 
 def url_list(parents: DataFrame, f: Field, id_column: str) -> Tables:
     target = f.target or target_column(f.key)
-    out = _rows(items(parents, id_column, False), id_column, **{target: numeric_id(F.col("item"))})
-    return {f.table: out.where(F.col(target).isNotNull())}
+    rows, item = items(parents, id_column, False)
+    return {f.table: _rows(rows, id_column, **{target: numeric_id(item)}).where(F.col(target).isNotNull())}
 
 
 def id_ref(parents: DataFrame, f: Field, id_column: str) -> Tables:
     """References with the items' scalars, and for each nested list a table that repeats the parent's id."""
     target = f.target or target_column(f.key, f.id_path)
-    renamed = dict(f.renames)
-    rows = items(parents, id_column).withColumn("_target", own_id(at(F.col("item"), f.id_path))).where("_target IS NOT NULL")
-    out = {f.table: _rows(rows, id_column, **{target: F.col("_target")}, **{renamed.get(e, e): _part(e) for e in f.extras})}
+    rows, item = items(parents, id_column)
+    rows = rows.withColumn("_target", own_id(at(item, f.id_path))).where("_target IS NOT NULL")
+    out = {f.table: _rows(rows, id_column, **{target: F.col("_target")}, **_parts(item, f.extras, dict(f.renames)))}
     for n in f.nested:
-        inner = rows.select("source_key", id_column, "_target", F.explode(F.try_variant_get(at(F.col("item"), n.key), "$", "array<variant>")).alias("item"))
+        inner, inner_item = items(rows.select("source_key", id_column, "_target", inner_value(at(item, n.key)).alias("value")), id_column, False, ("_target",))
         child = n.target or target_column(n.key, n.id_path)
-        inner = inner.withColumn("_child", numeric_id(at(F.col("item"), n.id_path))).where("_child IS NOT NULL")
-        out[n.table] = _rows(inner, id_column, **{target: F.col("_target"), child: F.col("_child")}, **{e: _part(e) for e in n.extras})
+        inner = inner.withColumn("_child", numeric_id(at(inner_item, n.id_path))).where("_child IS NOT NULL")
+        out[n.table] = _rows(inner, id_column, **{target: F.col("_target"), child: F.col("_child")}, **_parts(inner_item, n.extras))
     return out
 
 
-def slug_ref(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    target = f.target or target_column(f.key, f.id_path)
-    slug = F.substring_index(F.nullif(text(at(F.col("item"), f.id_path)), F.lit("")), "/", -1)
-    out = _rows(items(parents, id_column), id_column, **{target: slug}, **{e: _part(e) for e in f.extras})
-    return {f.table: out.where(F.col(target).isNotNull())}
+def inner_value(n: Node) -> Column:
+    """A list in an item, in its own type."""
+    return n if isinstance(n, Column) else n.column if n.lattice is None and n.type.typeName() != "void" else variant(n)
 
 
-def count(v: Column) -> Column:
-    """A count: doubles truncate, and what is missing or no number is 0."""
-    k = kind(v)
-    number = F.when(k.isin(INT, BOOL), F.try_variant_get(v, "$", "bigint")).when(k.isin(*FLOATS), F.try_variant_get(v, "$", "double").try_cast("bigint"))
-    return F.coalesce(number, F.lit(0).cast("bigint"))
+def slug_ref(parents: DataFrame, f: Field, id_column: str) -> Tables:
+    target = f.target or target_column(f.key, f.id_path)
+    rows, item = items(parents, id_column)
+    slug = F.substring_index(F.nullif(text(at(item, f.id_path)), F.lit("")), "/", -1)
+    return {f.table: _rows(rows, id_column, **{target: slug}, **_parts(item, f.extras)).where(F.col(target).isNotNull())}
 
 
 def time_series(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    rows = items(parents, id_column).where(_part("year").isNotNull())
-    cells = {e: F.coalesce(F.try_variant_get(_part(e), "$", "double"), F.lit(0.0)) if e == "score" else count(_part(e)) for e in f.extras}
-    return {f.table: _rows(rows, id_column, year=count(_part("year")), **cells)}
+    rows, item = items(parents, id_column)
+    cells = {e: F.coalesce(number(at(item, e)), F.lit(0.0)) if e == "score" else count(at(item, e)) for e in f.extras}
+    return {f.table: _rows(rows.where(present(at(item, "year"))), id_column, year=count(at(item, "year")), **cells)}
 
 
 def external_ids(parents: DataFrame, f: Field, id_column: str) -> Tables:
     """One row a name in the object; falsy values, lists and objects are left out."""
-    cells = parents.select("source_key", id_column, F.explode(F.try_variant_get("value", "$", "map<string,variant>")).alias("source", "cell"))
-    value = scalar_text(F.col("cell"))
+    cells = parents.select("source_key", id_column, F.explode(entries_of(node(parents, "value"))).alias("source", "cell"))
+    value = variant_text(F.col("cell"))
     truthy = F.when(kind(F.col("cell")) == TEXT, value != "").otherwise(~value.isin("0", "0.0", "-0.0", "False"))
     return {f.table: _rows(cells.where(truthy), id_column, source=F.col("source"), value=value)}
 
 
 def string_list(parents: DataFrame, f: Field, id_column: str) -> Tables:
     target = f.target or dict(f.renames).get(f.key) or f.key.rstrip("s")
-    out = _rows(items(parents, id_column, False), id_column, **{target: F.nullif(text(F.col("item")), F.lit(""))})
-    return {f.table: out.where(F.col(target).isNotNull())}
+    rows, item = items(parents, id_column, False)
+    return {f.table: _rows(rows, id_column, **{target: F.nullif(text(item), F.lit(""))}).where(F.col(target).isNotNull())}
 
 
 def json_blob(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    return {f.table: _rows(parents, id_column, **{f.key: F.to_json("value")})}
+    return {f.table: _rows(parents, id_column, **{f.key: F.to_json(variant(node(parents, "value")))})}
 
 
 def inverted_index(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    cells = parents.select("source_key", id_column, F.explode(F.try_variant_get("value", "$", "map<string,variant>")).alias("word", "cell"))
+    cells = parents.select("source_key", id_column, F.explode(entries_of(node(parents, "value"))).alias("word", "cell"))
     return {f.table: _rows(cells, id_column, word=F.col("word"), positions=F.try_variant_get("cell", "$", "array<bigint>"))}
 
 
 def generic_list(parents: DataFrame, f: Field, id_column: str) -> Tables:
     """Flattened scalars of each item; lists of objects in an item become a table of their own."""
-    rows = items(parents, id_column)
-    out = {f.table: _rows(rows, id_column, **{c: filled(at(F.col("item"), p)) for c, p, _ in f.columns})}
+    rows, item = items(parents, id_column)
+    out = {f.table: _rows(rows, id_column, **{c: filled(at(item, p)) for c, p, _ in f.columns})}
     for n in f.nested:
-        inner = rows.select("source_key", id_column, at(F.col("item"), n.key).alias("value"))
-        out[n.table] = _rows(items(inner, id_column), id_column, **{c: filled(at(F.col("item"), p)) for c, p, _ in n.columns})
+        inner, inner_item = items(rows.select("source_key", id_column, inner_value(at(item, n.key)).alias("value")), id_column)
+        out[n.table] = _rows(inner, id_column, **{c: filled(at(inner_item, p)) for c, p, _ in n.columns})
     return out
 
 
 def roles(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    role = F.nullif(text(at(F.col("item"), "role")), F.lit(""))
+    rows, item = items(parents, id_column)
+    role = F.nullif(text(at(item, "role")), F.lit(""))
     prefix = F.lit("")
     for name, letter in ROLE_PREFIX.items():
         prefix = F.when(role == name, letter).otherwise(prefix)
-    out = _rows(items(parents, id_column), id_column, role_entity_id=numeric_id(at(F.col("item"), "id")), role_type=role, role_prefix=prefix)
+    out = _rows(rows, id_column, role_entity_id=numeric_id(at(item, "id")), role_type=role, role_prefix=prefix)
     return {f.table: out.where("role_entity_id IS NOT NULL AND role_type IS NOT NULL")}
 
 
 def topic_share(parents: DataFrame, f: Field, id_column: str) -> Tables:
     """A missing value, and a null one, is 0.0."""
-    value = at(F.col("item"), "value")
-    share = F.when(kind(value) == ABSENT, 0.0).otherwise(F.try_variant_get(value, "$", "double"))
-    out = _rows(items(parents, id_column), id_column, topic_id=numeric_id(at(F.col("item"), "id")), value=share)
+    rows, item = items(parents, id_column)
+    value = at(item, "value")
+    out = _rows(rows, id_column, topic_id=numeric_id(at(item, "id")), value=F.when(present(value), number(value)).otherwise(F.lit(0.0)))
     return {f.table: out.where("topic_id IS NOT NULL")}
 
 
 def taxonomy_parent(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    out = _rows(parents, id_column, **{f"{f.key}_id": numeric_id(at(F.col("value"), f.id_path))})
+    out = _rows(parents, id_column, **{f"{f.key}_id": numeric_id(at(node(parents, "value"), f.id_path))})
     return {f.table: out.where(F.col(f"{f.key}_id").isNotNull())}
 
 
 def grants(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    out = _rows(items(parents, id_column), id_column, funder_id=numeric_id(at(F.col("item"), "funder")), award_id=_part("award_id"))
+    rows, item = items(parents, id_column)
+    out = _rows(rows, id_column, funder_id=numeric_id(at(item, "funder")), **_parts(item, ("award_id",)))
     return {f.table: out.where("funder_id IS NOT NULL")}
 
 
 def mesh(parents: DataFrame, f: Field, id_column: str) -> Tables:
+    rows, item = items(parents, id_column)
     names = ("descriptor_ui", "descriptor_name", "qualifier_ui", "qualifier_name")
-    major = F.coalesce(F.try_variant_get(at(F.col("item"), "is_major_topic"), "$", "boolean"), F.lit(False))
-    out = _rows(items(parents, id_column), id_column, **{n: text(at(F.col("item"), n)) for n in names}, is_major_topic=major)
-    return {f.table: out.where("descriptor_ui != ''")}
+    major = F.coalesce(flag(at(item, "is_major_topic")), F.lit(False))
+    return {f.table: _rows(rows, id_column, **{n: text(at(item, n)) for n in names}, is_major_topic=major).where("descriptor_ui != ''")}
 
 
 def investigators(parents: DataFrame, f: Field, id_column: str) -> Tables:
     """People with their affiliation, an object or plain text, and a table of the affiliation's ids."""
-    rows = parents.withColumn("item", F.col("value")).where(kind(F.col("item")) == OBJECT) if f.single else items(parents, id_column)
-    place = at(F.col("item"), "affiliation")
+    if f.single:
+        item = node(parents, "value")
+        rows = parents.where(is_object(item))
+    else:
+        rows, item = items(parents, id_column)
+    place = at(item, "affiliation")
     flags = dict(f.flags)
-    names = {n: text(at(F.col("item"), n)) for n in ("given_name", "family_name", "orcid")}
+    names = {n: text(at(item, n)) for n in ("given_name", "family_name", "orcid")}
     person = _rows(
         rows, id_column, **names, affiliation_name=F.coalesce(text(place), text(at(place, "name"))), affiliation_country=text(at(place, "country")),
-        role_start=_part("role_start"), is_lead=F.lit(flags.get("is_lead", False)), is_co_lead=F.lit(flags.get("is_co_lead", False)),
+        **_parts(item, ("role_start",)), is_lead=F.lit(flags.get("is_lead", False)), is_co_lead=F.lit(flags.get("is_co_lead", False)),
     )
     out = {f.table: person}
     for n in f.nested:
-        named = rows.select("source_key", id_column, names["orcid"].alias("investigator_orcid"), names["family_name"].alias("investigator_family_name"), F.explode(F.try_variant_get(at(F.col("item"), "affiliation.ids"), "$", "array<variant>")).alias("item"))
-        named = named.where(kind(F.col("item")) == OBJECT)
-        out[n.table] = named.select("source_key", id_column, "investigator_orcid", "investigator_family_name", _part("id").alias("affiliation_id"), _part("type").alias("affiliation_type"), _part("asserted_by").alias("asserted_by"))
+        who = ("investigator_orcid", "investigator_family_name")
+        named = rows.select("source_key", id_column, names["orcid"].alias(who[0]), names["family_name"].alias(who[1]), inner_value(at(item, "affiliation.ids")).alias("value"))
+        named, inner = items(named, id_column, True, who)
+        cells = {f"affiliation_{c}" if c != "asserted_by" else c: filled(at(inner, c)) for c in ("id", "type", "asserted_by")}
+        out[n.table] = named.select("source_key", id_column, *who, *[c.alias(name) for name, c in cells.items()])
     return out
 
 
 def issn(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    out = _rows(items(parents, id_column, False), id_column, issn=F.nullif(scalar_text(F.col("item")), F.lit("")))
-    return {f.table: out.where("issn IS NOT NULL")}
+    rows, item = items(parents, id_column, False)
+    return {f.table: _rows(rows, id_column, issn=F.nullif(scalar_text(item), F.lit(""))).where("issn IS NOT NULL")}
 
 
 def apc_prices(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    out = _rows(items(parents, id_column), id_column, price=F.try_variant_get(_part("price"), "$", "double"), currency=text(at(F.col("item"), "currency")))
-    return {f.table: out.where("price IS NOT NULL")}
+    rows, item = items(parents, id_column)
+    return {f.table: _rows(rows, id_column, price=number(at(item, "price")), currency=text(at(item, "currency"))).where("price IS NOT NULL")}
 
 
 def societies(parents: DataFrame, f: Field, id_column: str) -> Tables:
-    out = _rows(items(parents, id_column), id_column, organization=text(at(F.col("item"), "organization")), url=text(at(F.col("item"), "url")))
-    return {f.table: out.where("organization != ''")}
+    rows, item = items(parents, id_column)
+    return {f.table: _rows(rows, id_column, organization=text(at(item, "organization")), url=text(at(item, "url"))).where("organization != ''")}
 
 
 def awards(parents: DataFrame, f: Field, id_column: str) -> Tables:
+    rows, item = items(parents, id_column)
     out = _rows(
-        items(parents, id_column), id_column, award_id=numeric_id(at(F.col("item"), "id")), display_name=_part("display_name"),
-        funder_award_id=_part("funder_award_id"), funder_id=numeric_id(at(F.col("item"), "funder_id")), funder_display_name=_part("funder_display_name"),
+        rows, id_column, award_id=numeric_id(at(item, "id")), **_parts(item, ("display_name", "funder_award_id")),
+        funder_id=numeric_id(at(item, "funder_id")), **_parts(item, ("funder_display_name",)),
     )
     return {f.table: out.where("award_id IS NOT NULL")}
 
 
 def locations(parents: DataFrame, f: Field, id_column: str) -> Tables:
     """The source's id, which may be missing, and every scalar beside it."""
-    return {f.table: _rows(items(parents, id_column), id_column, source_id=numeric_id(at(F.col("item"), "source.id")), **{e: _part(e) for e in f.extras})}
+    rows, item = items(parents, id_column)
+    return {f.table: _rows(rows, id_column, source_id=numeric_id(at(item, "source.id")), **_parts(item, f.extras))}
 
 
 #: To add a pattern, add its builder here.

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestloom.functions.lattice import LIST, OBJECT, cast_cell, coerce, kind, spark_type
-from nestloom.operators.patterns import PATTERNS, at, filled, own_id
+from nestloom.functions.lattice import cast_cell, coerce, spark_type
+from nestloom.operators.nodes import Node, Typed, at, in_type, is_list, is_object, node, nothing, own_id
+from nestloom.operators.patterns import PATTERNS, inner_value
 from nestloom.plans.schema import Schema
 from nestloom.runtime import union_all
 
@@ -20,41 +21,32 @@ class UnexpectedColumns(ValueError):
     """Data holds columns that the canonical schema of their table doesn't have."""
 
 
-def part_of(records: DataFrame, path: str) -> Column:
-    """The part of the records at a dotted path, as a variant; of typed records only that part is read."""
-    kind = records.schema["record"].dataType
-    if isinstance(kind, T.VariantType):
-        return at(F.col("record"), path)
-    column, kind = typed_part(records, path)
-    if kind is None:
-        return F.lit(None).cast("variant")
-    return F.to_variant_object(column) if isinstance(kind, T.StructType | T.ArrayType | T.MapType) else column.cast("variant")
-
-
-def typed_part(records: DataFrame, path: str) -> tuple[Column, T.DataType | None]:
-    column, kind = F.col("record"), records.schema["record"].dataType
-    for step in path.split("."):
-        if not isinstance(kind, T.StructType) or step not in kind.names:
-            return F.lit(None), None
-        column, kind = column[step], kind[step].dataType
-    return column, kind
-
-
-def scalar_part(records: DataFrame, path: str, to: str) -> Column:
-    """The scalar at a path in a lattice type."""
-    if isinstance(records.schema["record"].dataType, T.VariantType):
-        return cast_cell(at(F.col("record"), path), to)
-    column, kind = typed_part(records, path)
-    if kind is None:
-        return F.lit(None).cast(spark_type(to))
-    source = "bool" if isinstance(kind, T.BooleanType) else "int" if isinstance(kind, T.IntegralType) else "float" if isinstance(kind, T.FractionalType) else "str"
-    return coerce(column.cast(spark_type(source)), source, to)
+class Records:
+    """Records with their id, ``source_key`` and <id>, and the parts of each as nodes.
 
+    Typed records are taken apart into their fields first, so that a plan holds, and the scan
+    reads, only those fields that some table takes a part of.
+    """
 
-def identified(records: DataFrame, schema: Schema) -> DataFrame:
-    """``source_key, <id>, record`` of the records that have an id, in the entity's one id type."""
-    eid = own_id(part_of(records, schema.id_path)).try_cast(spark_type(schema.id_type))
-    return records.where("record IS NOT NULL").select("source_key", eid.alias(schema.id_column), "record").where(F.col(schema.id_column).isNotNull())
+    def __init__(self, records: DataFrame, schema: Schema) -> None:
+        kind = records.schema["record"].dataType
+        self.typed = isinstance(kind, T.StructType)
+        self.fields: dict[str, T.DataType] = {f.name: f.dataType for f in kind.fields} if self.typed else {}
+        rows = records.where("record IS NOT NULL")
+        if self.typed:
+            rows = rows.select("source_key", *[F.col("record")[f].alias(f"_field_{f}") for f in self.fields])
+        own = own_id(self.part(schema.id_path)).try_cast(spark_type(schema.id_type))
+        self.rows = rows.withColumn("_own", own).where("_own IS NOT NULL").withColumnRenamed("_own", schema.id_column)
+
+    def part(self, path: str) -> Node:
+        """The part of a record at a dotted path."""
+        if not self.typed:
+            return at(F.col("record"), path)
+        first, _, rest = path.partition(".")
+        if first not in self.fields:
+            return nothing()
+        held = Typed(F.col(f"_field_{first}"), self.fields[first])
+        return at(held, rest) if rest else held
 
 
 def raw_tables(records: DataFrame, schema: Schema, wanted: Iterable[str] | None = None) -> dict[str, DataFrame]:
@@ -63,17 +55,18 @@ def raw_tables(records: DataFrame, schema: Schema, wanted: Iterable[str] | None
     Fields of one table are united by column name.  Plans of other tables aren't built at all.
     """
     keep = set(wanted) if wanted is not None else {*schema.table_names(), schema.main}
-    base = identified(records, schema)
+    base = Records(records, schema)
     parts: dict[str, list[DataFrame]] = {}
     main = [c for f in schema.fields if f.pattern == "scalar" for c in f.columns]
     if main and schema.main in keep:
-        cells = [scalar_part(base, path, type_).alias(column) for column, path, type_ in main]
-        parts[schema.main] = [base.select("source_key", schema.id_column, *cells)]
+        cells = [in_type(base.part(path), type_).alias(column) for column, path, type_ in main]
+        parts[schema.main] = [base.rows.select("source_key", schema.id_column, *cells)]
     for f in schema.fields:
         if f.pattern == "scalar" or not keep & {f.table, *(n.table for n in f.nested)}:
             continue
-        value = filled(part_of(base, f.key))
-        parents = base.select("source_key", schema.id_column, value.alias("value")).where(kind(F.col("value")) == (OBJECT if f.single else LIST))
+        parents = base.rows.select("source_key", schema.id_column, inner_value(base.part(f.key)).alias("value"))
+        held = node(parents, "value")
+        parents = parents.where(is_object(held) if f.single else is_list(held))
         for table, df in PATTERNS[f.pattern](parents, f, schema.id_column).items():
             if table in keep:
                 parts.setdefault(table, []).append(df)

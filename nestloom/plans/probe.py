@@ -164,12 +164,33 @@ def _inner(rest: tuple[str, ...], test: Callable[[Column], Column]) -> Callable[
     return lambda y: _passes(y, rest, test)
 
 
-def observe_table(df: DataFrame, column: str = "record") -> dict[str, dict]:
+def feeding(entity: str, shapes: dict[str, dict], wanted: Iterable[str]) -> set[str]:
+    """The fields of typed records that may feed the wanted tables, whatever their data tell, and the id."""
+    keep, out = set(wanted), {"id"}
+    for name, shape in shapes.items():
+        cases = [blank(), shape]
+        if shape["l"] is not None:
+            cases += [{**shape, "u": u, "l": {**shape["l"], "k": k}} for u in (False, True) for k in (False, True)]
+        for own_id in (True, False):
+            for case in cases:
+                schema = classify(entity, {name: case}, own_id)
+                if keep & {*schema.table_names(), *(schema.main for f in schema.fields if f.pattern == "scalar")}:
+                    out.add(name)
+    return out
+
+
+def observe_table(df: DataFrame, column: str = "record", only: Callable[[dict[str, dict]], set[str]] | None = None) -> dict[str, dict]:
     """The shapes of a typed table's columns: from their types, and one aggregate that tells which are
-    empty, hold URLs, name keywords or have ids without numbers."""
+    empty, hold URLs, name keywords or have ids without numbers.
+
+    ``only`` names the columns of which data are read; of all others the types are all that is known.
+    """
     shapes = {f.name: typed_shape(f.dataType) for f in df.schema[column].dataType.fields}
+    read = only(shapes) if only else shapes.keys()
     tests: dict[str, tuple[dict, str, Column]] = {}
     for name, shape in shapes.items():
+        if name not in read:
+            continue
         whole = F.col(column)[name]
         held = F.size(whole) > 0 if shape["l"] is not None else whole.isNotNull()
         tests[f"c{len(tests)}"] = (shape, "held", held)
@@ -179,6 +200,8 @@ def observe_table(df: DataFrame, column: str = "record") -> dict[str, dict]:
             tests[f"c{len(tests)}"] = (shape["l"], "k", F.exists(whole, lambda x: x["id"].contains("/keywords/")))
         for part, any_of in _texts(shape, whole):
             tests[f"c{len(tests)}"] = (part, "s", any_of(lambda x: (x != "") & ~x.rlike("[0-9]$")))
+    if not tests:
+        return shapes
     row = df.agg(*[F.max(F.coalesce(c, F.lit(False))).alias(k) for k, (_, _, c) in tests.items()]).first()
     empty = []
     for k, (shape, flag, _) in tests.items():
@@ -374,12 +397,15 @@ def _cells(f: Field, shapes: dict[str, dict]) -> dict[tuple[str, str], str]:
 def probe(records: DataFrame, entity: str, seed: Schema | None = None, prefer_own_id: bool = True, wanted: Iterable[str] | None = None) -> Schema:
     """The schema of records, completed by a seed, with the types of the wanted tables' columns (by default of all).
 
-    Lines are read once; for typed records one aggregate is enough.
+    Lines are read once; for typed records one aggregate is enough, which reads no column that
+    cannot feed a wanted table.
     """
     from nestloom.plans.compile import raw_tables
 
     typed = isinstance(records.schema["record"].dataType, T.StructType)
-    shapes = observe_table(records) if typed else observe(records)
+    wanted = list(wanted) if wanted is not None else None
+    only = (lambda shapes: feeding(entity, shapes, wanted)) if wanted else None
+    shapes = observe_table(records, only=only) if typed else observe(records)
     schema = classify(entity, shapes, prefer_own_id)
     kind = _id_kind(shapes.get("id"))
     schema = merge(seed, replace(schema, id_type=kind if seed is None else widen([seed.id_type, kind])))

@@ -141,7 +141,8 @@ def _pattern(make: Callable[[SparkSession, str], DataFrame], entity: str, field:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         records = jsonl.read_table(make(spark, sf_dir))
         df = raw_tables(records, Schema(entity, (field,)), [name or field.table])[name or field.table].drop("source_key")
-        return df.select(*[lattice.scalar_text(F.col(c)).alias(c) if t == "variant" else F.col(c) for c, t in df.dtypes])
+        loose = {c for c, _, _ in field.columns} if field.pattern == "generic_list" else set()
+        return df.select(*[lattice.scalar_text(F.col(c)).alias(c) if t == "variant" else F.col(c).cast("string") if c in loose else F.col(c) for c, t in df.dtypes])
 
     query.__doc__ = f"The pattern {field.pattern}."
     return query
