@@ -1,4 +1,4 @@
-"""Command line: probe, extract, graph, catalog."""
+"""Command line: probe, extract, verify, graph, catalog."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import sys
 from nestloom.operators import graph
 from nestloom.plans import catalog, extract, probe
 from nestloom.runtime import build_session
-from nestloom.sources import jsonl
+from nestloom.sources import files, jsonl
 
 
 def slice_arguments(total: int | None, index: int | None) -> tuple[int, int] | None:
@@ -33,33 +33,56 @@ def main(arguments: list[str] | None = None) -> int:
         if name == "extract":
             c.add_argument("--out", required=True)
             c.add_argument("--force", action="store_true")
+            c.add_argument("--table", action="append", help="write only these tables")
             c.add_argument("--exclude", action="append", default=[])
+            c.add_argument("--dry-run", action="store_true", help="print the pending files of each table and write nothing")
+            c.add_argument("--lenient", action="store_true", help="go on if data have columns that the schema lacks")
+            c.add_argument("--no-verify", action="store_true", help="do not look for damaged files")
             c.add_argument("--slice-total", type=int)
             c.add_argument("--slice-index", type=int)
+    c = commands.add_parser("verify")
+    c.add_argument("root", help="folder of compressed files")
     c = commands.add_parser("graph")
     c.add_argument("tables", help="folder with <entity>/<table>")
-    c.add_argument("--relation", action="append", required=True)
+    c.add_argument("--relation", action="append", help="all registered ones by default")
     c.add_argument("--out", required=True)
+    c.add_argument("--force", action="store_true")
+    c.add_argument("--combined", action="store_true", help="one graph of all relations, instead of one of each")
     c.add_argument("--collapse", action="store_true", help="equal numbers of different entities are one node")
     c = commands.add_parser("catalog")
     c.add_argument("tables")
+    c.add_argument("--sample", type=int, help="estimate rows from the footers of this many files a table")
+    c.add_argument("--readme", help="put the header into this file instead of printing it")
     a = parser.parse_args(arguments)
     spark = build_session()
+    show = lambda df: [print(json.dumps(r.asDict(), default=str)) for r in df.collect()]
     if a.command in ("probe", "extract"):
         for entity in a.entity or jsonl.entities(a.root):
             schema = probe.entity_schema(spark, a.root, entity, a.cache, a.sample)
             if a.command == "probe":
                 print(schema.to_json())
+                continue
+            part = slice_arguments(a.slice_total, a.slice_index)
+            if a.dry_run:
+                show(extract.pending_files(spark, a.root, schema, a.out, a.force, a.table, a.exclude, part))
             else:
-                for row in extract.extract(spark, a.root, schema, a.out, a.force, exclude=a.exclude, slice_of=slice_arguments(a.slice_total, a.slice_index)).collect():
-                    print(json.dumps(row.asDict()))
+                show(extract.extract(spark, a.root, schema, a.out, a.force, a.table, a.exclude, part, not a.lenient, not a.no_verify))
+    elif a.command == "verify":
+        damaged = jsonl.verify(spark, a.root).where("NOT ok")
+        show(damaged)
+        return int(damaged.count() > 0)
+    elif a.command == "graph" and a.combined:
+        graph.export(graph.build(graph.combined(graph.read_relations(spark, a.tables, a.relation or graph.EDGE_TABLES), not a.collapse)), a.out)
     elif a.command == "graph":
-        from nestloom.functions.naming import table_path
-
-        frames = {r: spark.read.parquet(f"{a.tables}/{table_path(r)}") for r in a.relation}
-        graph.export(graph.build(graph.combined(frames, not a.collapse)), a.out)
+        built = graph.build_all(spark, a.tables, a.out, a.relation, a.force)
+        show(built)
+        show(graph.status_counts(built))
     else:
-        print(catalog.front_matter(catalog.catalog(spark, a.tables)))
+        header = catalog.front_matter(catalog.catalog(spark, a.tables, a.sample))
+        if a.readme:
+            files.write_text(a.readme, catalog.spliced(files.read_text(a.readme) or "", header))
+        else:
+            print(header)
     return 0
 
 

@@ -7,11 +7,6 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: the letter before an id's number, by entity
-PREFIXES = {
-    "works": "W", "authors": "A", "sources": "S", "institutions": "I", "publishers": "P", "funders": "F", "concepts": "C", "topics": "T",
-    "subfields": "subfields/", "fields": "fields/", "domains": "domains/", "sdgs": "sdgs/", "awards": "G", "keywords": "keywords/",
-}
 _SUFFIX = r"(?:\.jsonl\.gz|\.jsonl|\.gz)$"
 
 

@@ -7,6 +7,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from nestloom.sources import files
+
+#: The order of entities in a catalog.
+ENTITY_ORDER = ("works", "authors", "institutions", "sources", "publishers", "funders", "concepts", "topics", "subfields", "fields", "domains")
+
 _NAMES = {
     T.StringType: "string", T.LongType: "int64", T.IntegerType: "int32", T.ShortType: "int16", T.ByteType: "int8", T.DoubleType: "float64", T.FloatType: "float32",
     T.BooleanType: "bool", T.BinaryType: "binary", T.DateType: "date32", T.TimestampType: "timestamp[us]",
@@ -22,28 +27,42 @@ def feature(kind: T.DataType) -> object:
     return _NAMES.get(type(kind), "string")
 
 
-def table_info(df: DataFrame) -> dict:
-    """Features, rows, bytes and files of a table; rows come from the files' footers."""
-    files = df.inputFiles()
-    size = sum(os.path.getsize(f.removeprefix("file://")) for f in files if os.path.exists(f.removeprefix("file://")))
-    return {"features": [{"name": f.name, "dtype": feature(f.dataType)} for f in df.schema.fields], "num_rows": df.count(), "num_bytes": size, "num_shards": len(files)}
+def table_info(spark: SparkSession, folder: str, sample: int | None = None) -> dict:
+    """Features, rows, bytes and files of a table; rows come from the files' footers, or are estimated from those of ``sample`` files."""
+    listed = [f for f in files.walk(folder, ".parquet") if not os.path.basename(f.path).startswith((".", "_"))]
+    df = spark.read.parquet(folder)
+    if sample is None or len(listed) <= sample:
+        rows = df.count()
+    else:
+        some = files.checked(spark, [f.path for f in spread(listed, sample)], files.footer, "ok boolean, n_rows long").where("ok")
+        rows = estimated_rows([r["n_rows"] for r in some.collect()], len(listed))
+    return {"features": [{"name": f.name, "dtype": feature(f.dataType)} for f in df.schema.fields], "num_rows": rows, "num_bytes": sum(f.n_bytes for f in listed), "num_shards": len(listed)}
+
 
+def spread(of: list, most: int) -> list:
+    """At most ``most`` of a list, evenly spread, with both ends."""
+    return of if len(of) <= most else [of[i * (len(of) - 1) // max(1, most - 1)] for i in range(most)]
 
-def estimated_rows(sampled: list[int], files: int) -> int:
+
+def estimated_rows(sampled: list[int], n_files: int) -> int:
     """Rows of all files from those of a sample."""
-    return round(sum(sampled) / len(sampled) * files) if sampled else 0
+    return int(sum(sampled) / len(sampled) * n_files) if sampled else 0
+
+
+def shard_check(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, ok, n_rows`` of a table's files: whether each one's footer can be read."""
+    return files.checked(spark, [f.path for f in files.walk(folder, ".parquet")], files.footer, "ok boolean, n_rows long")
 
 
-def catalog(spark: SparkSession, root: str) -> dict[str, dict]:
-    """The tables below ``root/<entity>/<table>``, by configuration name."""
+def catalog(spark: SparkSession, root: str, sample: int | None = None) -> dict[str, dict]:
+    """The tables below ``root/<entity>/<table>``, by configuration name: known entities in their order, then others by name."""
+    place = {e: i for i, e in enumerate(ENTITY_ORDER)}
+    names = [name for name, folder in files.children(root) if folder and name[0] not in "._"]
     out = {}
-    for entity in sorted(os.listdir(root)):
-        base = os.path.join(root, entity)
-        if entity[0] in "._" or not os.path.isdir(base):
-            continue
-        for name in sorted(os.listdir(base)):
-            if name[0] not in "._" and not name.startswith("updated_date=") and os.path.isdir(os.path.join(base, name)):
-                out[f"{entity}_{name}"] = table_info(spark.read.parquet(os.path.join(base, name)))
+    for entity in sorted(names, key=lambda e: (place.get(e, len(place)), e)):
+        for name, folder in files.children(f"{root}/{entity}"):
+            if folder and name[0] not in "._" and not name.startswith("updated_date=") and files.walk(f"{root}/{entity}/{name}", ".parquet"):
+                out[f"{entity}_{name}"] = table_info(spark, f"{root}/{entity}/{name}", sample)
     return out
 
 

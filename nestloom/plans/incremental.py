@@ -6,12 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestloom.functions.naming import local_name
+from nestloom.sources import files
 
 
-def pending(sources: DataFrame, done: DataFrame, key: str = "source_key", force: bool = False) -> DataFrame:
-    """Sources that aren't completed; all of them if forced."""
+VERSION = "1"
+
+
+def pending(sources: DataFrame, done: DataFrame, key: str = "source_key", force: bool = False, size: str | None = None) -> DataFrame:
+    """Sources that aren't completed, or, by ``size``, have changed since; all of them if forced."""
     keys = sources.select(key).distinct()
-    return keys if force else keys.join(done.select(key), key, "left_anti")
+    if force:
+        return keys
+    open_keys = keys.join(done.select(key), key, "left_anti")
+    if size is None:
+        return open_keys
+    changed = drift(done.join(keys, key, "left_semi"), sources.select(key, size), key, size).where("change = 'changed'")
+    return open_keys.unionByName(changed.select(key))
 
 
 def completed(sources: DataFrame, *done: DataFrame, key: str = "source_key") -> DataFrame:
@@ -106,15 +116,19 @@ def stale(local: DataFrame, remote: DataFrame, key: str = "path") -> DataFrame:
     return local.select(key).distinct().join(kept, F.col(key) == F.col("_name"), "left_anti")
 
 
-def file_hashes(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def file_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``path, length, content_hash`` of files: the first 16 digits of their SHA-256."""
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select("path", "length", F.substring(F.sha2("content", 256), 1, 16).alias("content_hash"))
+    return files.checked(spark, paths, files.hashed, "length long, content_hash string")
+
+
+def in_manifest(paths: DataFrame, manifest: DataFrame | None, path: str = "path") -> DataFrame:
+    """The paths that a manifest lists; all of them if there is no manifest."""
+    if manifest is None:
+        return paths
+    listed = manifest.select(F.col("path").alias("_listed"))
+    return paths.join(listed, F.col(path) == F.col("_listed"), "left_semi")
 
 
-def provenance(rows: DataFrame, table: str, schema_json: str, version: str) -> DataFrame:
-    """One row on a written table: its rows, files, columns' fingerprint, the code's version and the time in UTC."""
-    return rows.agg(F.count("*").alias("n_rows"), F.countDistinct("source_key").alias("n_files")).select(
-        F.lit(table).alias("table_name"), "n_rows", "n_files", F.substring(F.sha2(F.lit(schema_json), 256), 1, 16).alias("schema_fingerprint"), F.lit(version).alias("version"),
-        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("written_at"),
-    )
+def totals(changes: DataFrame, sizes: DataFrame, key: str, size: str) -> DataFrame:
+    """``change, n_files, n_bytes`` of changes by the sizes in a listing; of files that it lacks no bytes are known."""
+    return changes.join(sizes.select(key, size), key, "left").groupBy("change").agg(F.count("*").alias("n_files"), F.coalesce(F.sum(size), F.lit(0)).alias("n_bytes"))

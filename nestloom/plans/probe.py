@@ -394,11 +394,12 @@ def _cells(f: Field, shapes: dict[str, dict]) -> dict[tuple[str, str], str]:
     return out
 
 
-def probe(records: DataFrame, entity: str, seed: Schema | None = None, prefer_own_id: bool = True, wanted: Iterable[str] | None = None) -> Schema:
+def probe(records: DataFrame, entity: str, seed: Schema | None = None, prefer_own_id: bool = True, wanted: Iterable[str] | None = None, empty_fields: bool = True) -> Schema:
     """The schema of records, completed by a seed, with the types of the wanted tables' columns (by default of all).
 
     Lines are read once; for typed records one aggregate is enough, which reads no column that
-    cannot feed a wanted table.
+    cannot feed a wanted table.  ``empty_fields``: whether fields without any data have the tables
+    that their names tell.
     """
     from nestloom.plans.compile import raw_tables
 
@@ -406,6 +407,8 @@ def probe(records: DataFrame, entity: str, seed: Schema | None = None, prefer_ow
     wanted = list(wanted) if wanted is not None else None
     only = (lambda shapes: feeding(entity, shapes, wanted)) if wanted else None
     shapes = observe_table(records, only=only) if typed else observe(records)
+    if not empty_fields:
+        shapes = {k: s for k, s in shapes.items() if s["t"] or s["o"] or s["l"]}
     schema = classify(entity, shapes, prefer_own_id)
     kind = _id_kind(shapes.get("id"))
     schema = merge(seed, replace(schema, id_type=kind if seed is None else widen([seed.id_type, kind])))
@@ -435,7 +438,7 @@ def entity_schema(spark: SparkSession, root: str, entity: str, cache_dir: str |
         if found is None:
             raise FileNotFoundError(f"no files and no stored schema of {entity}")
         return found
-    cached = os.path.join(cache_dir, "probes", f"{entity}-{fingerprint(os.path.relpath(p, root) for p in paths)[:16]}.json") if cache_dir else None
+    cached = os.path.join(cache_dir, "probes", f"{entity}-{fingerprint(p[len(root.rstrip("/")) + 1 :] for p in paths)[:16]}.json") if cache_dir else None
     if cached and (found := load(cached, entity)):
         return found
     records = jsonl.read(spark, jsonl.stride(paths) if sample else paths, root)

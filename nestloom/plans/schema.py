@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-import os
-import tempfile
 from dataclasses import asdict, dataclass, field, replace
 
 from nestloom.functions.lattice import widen, widen_names
 from nestloom.functions.naming import singular
+from nestloom.sources import files
 
 VERSION = 1
 
@@ -47,6 +47,10 @@ class Schema:
     #: table -> ((column, type), ...); empty until observed
     tables: dict[str, tuple[tuple[str, str], ...]] = field(default_factory=dict)
 
+    @property
+    def fingerprint(self) -> str:
+        return hashlib.sha256(self.to_json().encode()).hexdigest()[:16]
+
     @property
     def id_column(self) -> str:
         return f"{singular(self.entity)}_id"
@@ -104,23 +108,14 @@ def merge(seed: Schema | None, seen: Schema) -> Schema:
 
 def store(schema: Schema, path: str) -> None:
     """Write a schema so that a reader sees the old file or the new one, never a part."""
-    folder = os.path.dirname(os.path.abspath(path))
-    os.makedirs(folder, exist_ok=True)
-    handle, temporary = tempfile.mkstemp(dir=folder, suffix=".tmp")
-    try:
-        with os.fdopen(handle, "w") as f:
-            f.write(schema.to_json())
-        os.replace(temporary, path)
-    except BaseException:
-        os.unlink(temporary)
-        raise
+    files.write_text(path, schema.to_json())
 
 
 def load(path: str, entity: str) -> Schema | None:
     """A stored schema; None if it is missing, unreadable, of another version or of another entity."""
     try:
-        with open(path) as f:
-            found = Schema.from_json(f.read())
-    except (OSError, ValueError, KeyError, TypeError):
+        text = files.read_text(path)
+        found = Schema.from_json(text) if text is not None else None
+    except (ValueError, KeyError, TypeError):
         return None
-    return found if found.entity == entity else None
+    return found if found and found.entity == entity else None

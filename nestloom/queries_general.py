@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nestloom.functions.ids import id_number
 from nestloom.operators import drift, hierarchy, orphans, snapshots, unnest
-from nestloom.runtime import table, union_all
+from nestloom.runtime import allow_repeated_keys, table, union_all
 
 _BLANKS = " \t\n\r 　"
 
@@ -126,6 +126,7 @@ _TYPED_PARTS = [*_PARTS[:3], replace(_PARTS[3], scalars=(*_PARTS[3].scalars, ("f
 
 
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    allow_repeated_keys()
     return table(spark, sf_dir, "raw_records").where("entity = 'works'").select("record_id", F.try_parse_json("line_text").alias("record"))
 
 

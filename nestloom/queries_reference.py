@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from nestloom.functions import ids, lattice, naming
 from nestloom.operators import graph
-from nestloom.plans import incremental
+from nestloom.plans import catalog, incremental
 from nestloom.plans.compile import raw_tables, table_sizes, tables
 from nestloom.plans.probe import probe
 from nestloom.plans.schema import Field, Schema
@@ -131,7 +131,7 @@ def work_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_sizes(records, probe(records, "works", wanted=[]))
 
 
-_add("work_tables", work_tables)
+_add("work_tables", work_tables, " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM ({sql}) HAVING count(*) > 0" for t, sql in ORACLE.items() if t.startswith("work_")))
 
 
 # ---- patterns over records made of the flat tables --------------------------------------------
@@ -177,12 +177,17 @@ _add("json_blob", _pattern(_suppliers("named_struct('a', s_name) AS extra"), "so
 
 
 def _ordered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.concat(F.lit("P"), F.col("l_partkey")).alias("id"), F.col("l_linenumber").alias("line"))).alias("parts"))
+    """Orders with a list of items, each with its part and a list of its suppliers."""
+    named = lambda letter, c: F.struct(F.concat(F.lit(letter), F.col(c)).alias("id"))
+    item = F.struct(named("P", "l_partkey").alias("part"), F.col("l_linenumber").alias("line"), F.array(named("S", "l_suppkey"), named("S", "l_linenumber")).alias("suppliers"))
+    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(item).alias("parts"))
     return items.select(F.concat(F.lit("https://graph.example/O"), "l_orderkey").alias("id"), "parts")
 
 
-_add("nested_id_ref", _pattern(_ordered_items, "orders", Field("parts", "id_ref", "order_parts", extras=("line",))),
-     "SELECT l_orderkey AS order_id, CAST(l_partkey AS VARCHAR) AS part_id, CAST(l_linenumber AS VARCHAR) AS line FROM lineitem")
+_ORDER_PARTS = Field("parts", "nested_id_ref", "order_parts", id_path="part.id", extras=("line",), nested=(Field("suppliers", "id_ref", "order_parts_suppliers"),))
+_add("nested_id_ref", _pattern(_ordered_items, "orders", _ORDER_PARTS, "order_parts_suppliers"),
+     "SELECT l_orderkey AS order_id, CAST(l_partkey AS VARCHAR) AS part_id, unnest([l_suppkey, CAST(l_linenumber AS BIGINT)]) AS supplier_id FROM lineitem")
+_add("id_ref", _pattern(_ordered_items, "orders", _ORDER_PARTS), "SELECT l_orderkey AS order_id, CAST(l_partkey AS VARCHAR) AS part_id, l_linenumber AS line FROM lineitem")
 _add("scalar_flatten", _pattern(lambda spark, sf_dir: table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.from_json("props", "k bigint").alias("props")), "events", Field("props", "scalar", "event_main", columns=(("props_k", "props.k", "int"),)), "event_main"),
      "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events")
 _add("external_ids", _pattern(lambda spark, sf_dir: table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.from_json("props", "k bigint").alias("ids")), "events", Field("ids", "external_ids", "event_external_ids", single=True)),
@@ -191,7 +196,7 @@ _add("external_ids", _pattern(lambda spark, sf_dir: table(spark, sf_dir, "events
 
 def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents with their places, from records that hold the index as an object."""
-    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.regexp_replace("text", "[^A-Za-z ]", ""), " ")).alias("p", "w")).where("w != ''")
+    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "[ \t\r\n]+")).alias("p", "w")).where("w != ''")
     index = words.groupBy("doc_id", "w").agg(F.sort_array(F.collect_list("p")).alias("ps")).groupBy(F.col("doc_id").alias("id")).agg(F.map_from_entries(F.collect_list(F.struct("w", "ps"))).alias("abstract_inverted_index"))
     field = Field("abstract_inverted_index", "inverted_index", "document_abstracts", single=True)
     df = raw_tables(jsonl.read_table(index), Schema("documents", (field,)))["document_abstracts"]
@@ -200,7 +205,7 @@ def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _add("inverted_index", inverted_index, """
 SELECT doc_id AS document_id, w AS word, string_agg(CAST(p AS VARCHAR), ',' ORDER BY p) AS positions
-FROM (SELECT doc_id, unnest(string_split(t, ' ')) AS w, unnest(range(len(string_split(t, ' ')))) AS p FROM (SELECT doc_id, regexp_replace(text, '[^A-Za-z ]', '', 'g') AS t FROM documents WHERE text IS NOT NULL))
+FROM (SELECT doc_id, unnest(t) AS w, unnest(range(len(t))) AS p FROM (SELECT doc_id, string_split_regex(text, '[ \\t\\r\\n]+') AS t FROM documents WHERE text IS NOT NULL))
 WHERE w != '' GROUP BY ALL""")
 
 
@@ -230,25 +235,25 @@ SELECT id, {_number('id')} AS number, nullif(regexp_extract(id, '([^/]*)$', 1),
   upper(regexp_extract(id, '(?:^|[^A-Za-z0-9])([A-Za-z])([0-9]+)', 1)) || CAST(regexp_extract(id, '(?:^|[^A-Za-z0-9])([A-Za-z])([0-9]+)', 2) AS BIGINT) AS short FROM works""")
 
 
+_MIXTURES = {
+    "ints": "cast(p_size AS string)", "int_float": "CASE WHEN p_size % 2 = 0 THEN cast(p_size AS string) ELSE '0.5' END",
+    "bool_int": "CASE WHEN p_size % 2 = 0 THEN 'true' ELSE cast(p_size AS string) END", "any_text": "CASE WHEN p_size = 1 THEN '\"x\"' ELSE 'true' END", "bools": "'false'",
+}
+
+
 def type_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The one type of a column whose cells are integers, doubles, booleans and text, for several mixtures."""
-    parts = table(spark, sf_dir, "part")
-    cells = parts.select(F.explode(F.array(*[F.struct(F.lit(name).alias("mixture"), F.expr(cell).alias("cell")) for name, cell in {
-        "ints": "cast(p_size AS string)", "int_float": "CASE WHEN p_size % 2 = 0 THEN cast(p_size AS string) ELSE '0.5' END",
-        "bool_int": "CASE WHEN p_size % 2 = 0 THEN 'true' ELSE cast(p_size AS string) END", "any_text": "CASE WHEN p_size = 1 THEN '\"x\"' ELSE 'true' END", "nothing": "'null'",
-    }.items()])).alias("c")).select("c.*")
-    types = cells.groupBy("mixture").agg(F.collect_set(F.schema_of_variant(F.parse_json("cell"))).alias("seen"))
-    has = lambda *names: F.exists("seen", lambda x: F.rlike(x, F.lit("|".join(names))))
-    wide = F.when(has("STRING") | ~has("BIGINT", "BOOLEAN", "DECIMAL", "DOUBLE"), "str").when(has("DECIMAL", "DOUBLE"), "float").when(has("BIGINT"), "int").otherwise("bool")
-    return types.select("mixture", wide.alias("column_type"))
+    """The types that schema inference gives to columns of integers, doubles, booleans and text, in several mixtures."""
+    cells = [c for name, cell in _MIXTURES.items() for c in (F.lit(f', "{name}": '), F.expr(cell))]
+    lines = table(spark, sf_dir, "part").select(F.lit("f").alias("source_key"), F.concat(F.lit('{"id": "P'), "p_partkey", F.lit('"'), *cells, F.lit("}")).alias("line"))
+    found = probe(lines.withColumn("record", jsonl.parse(F.col("line"))), "parts").tables["part_main"]
+    return spark.createDataFrame([(c, t) for c, t in found if c in _MIXTURES], "mixture string, column_type string")
 
 
 _add("type_widening", type_widening, """
 WITH cells AS (SELECT unnest([{'m': 'ints', 'c': CAST(p_size AS VARCHAR)}, {'m': 'int_float', 'c': CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS VARCHAR) ELSE '0.5' END},
-  {'m': 'bool_int', 'c': CASE WHEN p_size % 2 = 0 THEN 'true' ELSE CAST(p_size AS VARCHAR) END}, {'m': 'any_text', 'c': CASE WHEN p_size = 1 THEN '"x"' ELSE 'true' END}, {'m': 'nothing', 'c': 'null'}]) AS x FROM part),
+  {'m': 'bool_int', 'c': CASE WHEN p_size % 2 = 0 THEN 'true' ELSE CAST(p_size AS VARCHAR) END}, {'m': 'any_text', 'c': CASE WHEN p_size = 1 THEN '"x"' ELSE 'true' END}, {'m': 'bools', 'c': 'false'}]) AS x FROM part),
 t AS (SELECT x.m AS mixture, list(DISTINCT json_type(CAST(x.c AS JSON))) AS seen FROM cells GROUP BY 1)
-SELECT mixture, CASE WHEN list_contains(seen, 'VARCHAR') OR NOT (list_has_any(seen, ['UBIGINT', 'BIGINT', 'BOOLEAN', 'DOUBLE'])) THEN 'str' WHEN list_contains(seen, 'DOUBLE') THEN 'float'
-  WHEN list_has_any(seen, ['UBIGINT', 'BIGINT']) THEN 'int' ELSE 'bool' END AS column_type FROM t""")
+SELECT mixture, CASE WHEN list_contains(seen, 'VARCHAR') THEN 'str' WHEN list_contains(seen, 'DOUBLE') THEN 'float' WHEN list_has_any(seen, ['UBIGINT', 'BIGINT']) THEN 'int' ELSE 'bool' END AS column_type FROM t""")
 
 
 def size_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,6 +325,15 @@ def citation_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.build(graph.combined(tables(records, probe(records, "works", wanted=names), names)))["rows"]
 
 
+def lineage_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of the registered graphs of publishers and institutions, each entity's ids apart."""
+    frames = {}
+    for entity, name in (("publishers", "publisher_lineage"), ("institutions", "institution_lineage"), ("institutions", "institution_associated_institutions"), ("authors", "author_affiliations")):
+        records = _records(spark, sf_dir, entity)
+        frames |= tables(records, probe(records, entity, wanted=[name]), [name])
+    return graph.edges_of(graph.combined(frames))
+
+
 _CSR = """
 WITH e AS (SELECT DISTINCT l_orderkey AS s, l_partkey AS t FROM lineitem WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL),
 ids AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS idx FROM (SELECT s AS id FROM e UNION SELECT t FROM e)),
@@ -341,6 +355,14 @@ c AS (SELECT ids.idx, count(e.s) AS degree FROM ids LEFT JOIN e ON e.ss = ids.sp
 SELECT idx, degree, CAST(sum(degree) OVER (ORDER BY idx) AS BIGINT) AS row_end FROM c""")
 
 
+_add("lineage_graph", lineage_graph, f"""
+SELECT DISTINCT * FROM (SELECT 'P' AS src_space, try_cast({_own('id')} AS BIGINT) AS src, 'P' AS tgt_space, {_number('x')} AS tgt FROM (SELECT id, unnest(lineage) AS x FROM publishers)
+  UNION ALL SELECT 'I', try_cast({_own('id')} AS BIGINT), 'I', {_number('x')} FROM (SELECT id, unnest(lineage) AS x FROM institutions)
+  UNION ALL SELECT 'I', try_cast({_own('id')} AS BIGINT), 'I', try_cast({_own('x.id')} AS BIGINT) FROM (SELECT id, unnest(associated_institutions) AS x FROM institutions)
+  UNION ALL SELECT 'A', try_cast({_own('id')} AS BIGINT), 'I', try_cast({_own('x.institution.id')} AS BIGINT) FROM (SELECT id, unnest(affiliations) AS x FROM authors))
+WHERE src IS NOT NULL AND tgt IS NOT NULL""")
+
+
 # ---- what is to be done again -----------------------------------------------------------------
 
 
@@ -405,12 +427,22 @@ _add("stale_files", stale_files, "SELECT DISTINCT source_file AS path FROM raw_r
 
 
 def row_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of all source files, from the average of each entity's files."""
-    counts = table(spark, sf_dir, "raw_records").groupBy("entity", "source_file").agg(F.count("*").alias("n"))
-    return counts.groupBy("entity").agg(F.round(F.avg("n") * F.count("*")).cast("bigint").alias("n_rows"), F.count("*").alias("n_files"))
+    """Rows of all source files of an entity, estimated from five of its files that are evenly spread; what comes to the driver is the listing."""
+    lines = table(spark, sf_dir, "raw_records").select("entity", "source_file")
+    listed: dict[str, list[str]] = {}
+    for entity, file in sorted(lines.distinct().collect()):
+        listed.setdefault(entity, []).append(file)
+    sampled = {e: catalog.spread(names, 5) for e, names in listed.items()}
+    counts = dict(lines.where(F.col("source_file").isin(*{f for names in sampled.values() for f in names})).groupBy("source_file").agg(F.count("*")).collect())
+    rows = [(e, catalog.estimated_rows([counts[f] for f in names], len(listed[e])), len(names), len(listed[e])) for e, names in sampled.items()]
+    return spark.createDataFrame(rows, "entity string, n_rows long, n_sampled int, n_files int")
 
 
-_add("row_estimate", row_estimate, "SELECT entity, CAST(round(avg(n) * count(*)) AS BIGINT) AS n_rows, count(*) AS n_files FROM (SELECT entity, source_file, count(*) AS n FROM raw_records GROUP BY ALL) GROUP BY 1")
+_add("row_estimate", row_estimate, """
+WITH c AS (SELECT entity, source_file, count(*) AS n FROM raw_records GROUP BY ALL),
+p AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY source_file) - 1 AS k, count(*) OVER (PARTITION BY entity) AS m FROM c),
+s AS (SELECT * FROM p WHERE m <= 5 OR k IN (SELECT i * (p.m - 1) // 4 FROM range(5) t(i)))
+SELECT entity, CAST(floor(sum(n) / count(*) * any_value(m)) AS BIGINT) AS n_rows, CAST(count(*) AS INTEGER) AS n_sampled, CAST(any_value(m) AS INTEGER) AS n_files FROM s GROUP BY 1""")
 
 
 def bin_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,4 +452,9 @@ def bin_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(b, f) for b, names in enumerate(packed) for f in names], "job int, source_file string")
 
 
-_add("bin_pack", bin_pack)
+_add("bin_pack", bin_pack, """
+WITH RECURSIVE f AS (SELECT source_file, n, row_number() OVER (ORDER BY n DESC, source_file) - 1 AS k FROM (SELECT source_file, count(*) AS n FROM raw_records GROUP BY 1)),
+held AS (SELECT -1 AS round, i AS job, 0 AS bytes, CAST(NULL AS VARCHAR) AS source_file FROM range(4) t(i)
+  UNION ALL SELECT h.round + 1, h.job, CAST(h.bytes + coalesce(f.n, 0) AS INTEGER), f.source_file
+    FROM (SELECT *, row_number() OVER (ORDER BY bytes, job) - 1 AS place FROM held) h LEFT JOIN f ON f.k = (h.round + 1) * 4 + h.place WHERE h.round < (SELECT max(k) // 4 FROM f))
+SELECT CAST(job AS INTEGER) AS job, source_file FROM held WHERE source_file IS NOT NULL""")

@@ -35,15 +35,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one is used only where none is configured."""
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Only a session on one machine may do without that setting; it takes a temporary folder.
+    """
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if configured:
         return configured.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     fallback = os.path.join(tempfile.gettempdir(), f"nestloom-{spark.sparkContext.applicationId}")
     spark.conf.set(CHECKPOINT_KEY, f"file://{fallback}")
     return f"file://{fallback}"
 
 
+def allow_repeated_keys() -> None:
+    """Let JSON objects with repeated keys be parsed, by their last values; without this such a record is lost."""
+    SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def materialize(df: DataFrame, name: str, *by: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder, in one folder for each value of the columns ``by``, and read it back.
 
@@ -90,6 +100,21 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def looked_up(facts: DataFrame, lookup: DataFrame, keys: list[str], share: int = 1_000, least: int = 1_000_000) -> DataFrame:
+    """``facts`` joined with ``lookup``, which has each key once, without a task that gets all rows of a frequent key.
+
+    Keys with over 1/share of all facts are fewer than ``share``: only their rows of ``lookup``
+    are broadcast.  All others are shuffled.  Fewer than ``least`` facts are simply joined.
+    """
+    n = facts.count()
+    if n < least:
+        return facts.join(lookup, keys)
+    heavy = facts.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") * share > n).select(*keys)
+    heavy = heavy.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+    few = facts.join(F.broadcast(lookup.join(F.broadcast(heavy), keys)), keys)
+    return few.unionByName(facts.join(F.broadcast(heavy), keys, "left_anti").join(lookup, keys))
+
+
 def spread_key(buckets: int, *cols: Column) -> Column:
     """A salt in [0, buckets) that depends only on the row, so that retries agree."""
     return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")

@@ -2,43 +2,45 @@
 
 from __future__ import annotations
 
-import gzip
 import os
-import zlib
-from collections.abc import Iterable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nestloom.functions.naming import source_key_column
+from nestloom.runtime import allow_repeated_keys
+from nestloom.sources import files
 
 
 def entities(root: str) -> list[str]:
-    """Folders with at least one ``*.gz`` below them; hidden and underscored ones are none."""
+    """Folders with at least one ``*.gz`` below them, those with the fewest files first; hidden and underscored ones are none."""
     found = []
-    for name in sorted(os.listdir(root)):
-        folder = os.path.join(root, name)
-        if name[0] not in "._" and os.path.isdir(folder) and any(f.endswith(".gz") and not f.startswith("._") for _, _, files in os.walk(folder) for f in files):
-            found.append(name)
-    return found
+    for name, folder in files.children(root):
+        if folder and name[0] not in "._":
+            n = sum(not os.path.basename(f.path).startswith("._") for f in files.walk(f"{root}/{name}", ".gz"))
+            found += [(n, name)] if n else []
+    return [name for _, name in sorted(found)]
 
 
-def source_files(root: str, entity: str) -> list[str]:
+def listing(root: str, entity: str) -> list[files.Listed]:
     """The entity's ``updated_date=*/*.gz`` in order, else every ``*.gz`` below it; dot files are skipped."""
-    base = os.path.join(root, entity)
-    found = sorted(os.path.join(d, f) for d, _, files in os.walk(base, followlinks=True) for f in files if f.endswith(".gz") and not f.startswith("."))
-    dated = [f for f in found if os.path.basename(os.path.dirname(f)).startswith("updated_date=")]
+    found = [f for f in files.walk(f"{root.rstrip('/')}/{entity}", ".gz") if not os.path.basename(f.path).startswith(".")]
+    dated = [f for f in found if os.path.basename(os.path.dirname(f.path)).startswith("updated_date=")]
     return dated or found
 
 
+def source_files(root: str, entity: str) -> list[str]:
+    return [f.path for f in listing(root, entity)]
+
+
 def stride(paths: list[str], most: int = 25) -> list[str]:
     """At most ``most`` of the paths, evenly spread."""
     return paths if len(paths) <= most else [paths[int(i * len(paths) / most)] for i in range(most)]
 
 
 def parse(line: Column) -> Column:
-    """The record in a line; null for blank, malformed and non-object lines."""
+    """The record in a line; null for blank, malformed and non-object lines.  Of repeated keys the last one counts."""
+    allow_repeated_keys()
     v = F.try_parse_json(F.nullif(F.trim(line), F.lit("")))
     return F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
 
@@ -46,11 +48,10 @@ def parse(line: Column) -> Column:
 def read(spark: SparkSession, paths: list[str] | str, root: str = "") -> DataFrame:
     """``source_key, line, record`` of every line; record is null where no object can be read.
 
-    A compressed file is read by one task; a corrupt one fails the job (see ``verify``).  With
-    repeated keys in an object the last one counts.
+    A compressed file is read by one task.  Of a damaged one the lines before the damage are kept,
+    and a file that is gone gives none; all others go on (``verify`` tells which are damaged).
     """
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    lines = spark.read.text(paths)
+    lines = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).text(paths)
     path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/")
     key = source_key_column(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), root.rstrip("/"))
     return lines.select(key.alias("source_key"), F.col("value").alias("line"), parse(F.col("value")).alias("record"))
@@ -75,30 +76,10 @@ def head(records: DataFrame, n: int = 100) -> DataFrame:
     return records.where("record IS NOT NULL").withColumn("_n", left).where(F.col("_n") <= n).drop("_n")
 
 
-    return Window.partitionBy("source_key").orderBy(F.monotonically_increasing_id())
-
-
 def verify(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """``path, ok, n_bytes`` of compressed files, each decompressed to its end in pieces of 1 MiB.
+    """``path, ok, n_bytes`` of compressed files (or of those in a folder), each decompressed to its end on an executor.
 
-    A damaged file is a row, not a failure, so that all others still count.
+    A damaged or missing file is a row, not a failure, so that all others still count.
     """
-
-    def test(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-
-        for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                size, ok = 0, True
-                try:
-                    with gzip.open(io.BytesIO(content)) as f:
-                        while piece := f.read(1 << 20):
-                            size += len(piece)
-                except (OSError, EOFError, zlib.error):
-                    ok = False
-                rows.append((path, ok, size))
-            yield pd.DataFrame(rows, columns=["path", "ok", "n_bytes"])
-
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select("path", "content").mapInPandas(test, "path string, ok boolean, n_bytes long")
+    listed = [f.path for f in files.walk(paths, ".gz")] if isinstance(paths, str) else paths
+    return files.checked(spark, listed, files.gunzipped, "ok boolean, n_bytes long")

@@ -4,9 +4,11 @@ import gzip
 import json
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from nestloom import cli, queries_general, runtime
 from nestloom.functions import lattice, naming
 from nestloom.operators import graph
 from nestloom.plans import catalog, extract, incremental, probe
@@ -170,30 +172,122 @@ def snapshot(root, files):
             f.writelines(json.dumps(r) + "\n" for r in data)
 
 
-def test_extract_skip_force_and_add(spark, tmp_path):
+def grain(n, name, **more):
+    return {"id": f"https://h/grains/G{n}", "name": name, **more}
+
+
+@pytest.fixture
+def granary(spark, tmp_path):
+    """A root with one file, its schema, and a function that runs the extraction."""
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
-    snapshot(root, {"languages/updated_date=2020-01-01/part_0000.jsonl.gz": [{"id": f"https://h/languages/{x}", "display_name": x, "xs": [{"id": "https://h/X1"}] * (x == "en")} for x in ("en", "de", "fr")], "_x/a.gz": [{}]})
-    assert jsonl.entities(root) == ["languages"]
-    schema = probe.entity_schema(spark, root, "languages", str(tmp_path / "cache"))
-    assert probe.entity_schema(spark, root, "languages", str(tmp_path / "cache")) == schema
+    snapshot(root, {"grains/updated_date=2023-05-07/part_7.jsonl.gz": [grain(n, f"g{n}", pests=[{"id": "https://h/X1"}] * (n == 3)) for n in (3, 4, 5)], "_x/a.gz": [{}]})
+    schema = probe.entity_schema(spark, root, "grains", str(tmp_path / "cache"))
     run = lambda **o: {r["table_name"]: (r["status"], r["n_files"]) for r in extract.extract(spark, root, schema, out, **o).collect()}
-    assert run() == {"language_main": ("written", 1), "language_xs": ("written", 1)}
-    assert run() == {"language_main": ("skipped", 0), "language_xs": ("skipped", 0)}
-    snapshot(root, {"languages/updated_date=2020-01-02/part_0000.jsonl.gz": [{"id": "https://h/languages/it", "display_name": "it"}]})
-    assert run()["language_main"] == ("written", 1)
-    assert run(force=True, exclude=["language_xs"]) == {"language_main": ("written", 2)}
-    main = spark.read.parquet(f"{out}/languages/main")
-    assert sorted(r["language_id"] for r in main.collect()) == ["de", "en", "fr", "it"]
-    assert extract.validate(main, extract.done(spark, out, "language_main")).count() == 0
-    assert extract.content_hash(main).count() == 2
-    snapshot(root, {"languages/updated_date=2020-01-02/part_0000.jsonl.gz": [{"display_name": "no id"}]})
-    assert run(force=True, wanted=["language_main"]) == {"language_main": ("written", 2)}
-    main = spark.read.parquet(f"{out}/languages/main")
-    assert sorted(r["language_id"] for r in main.collect()) == ["de", "en", "fr"]
-    assert extract.validate(main, extract.done(spark, out, "language_main")).count() == 0
+    names = lambda: sorted(r["grain_id"] for r in spark.read.parquet(f"{out}/grains/main").collect())
+    return root, out, schema, run, names
+
+
+def test_files_are_extracted_once(spark, granary, tmp_path):
+    root, out, schema, run, names = granary
+    assert jsonl.entities(root) == ["grains"] and probe.entity_schema(spark, root, "grains", str(tmp_path / "cache")) == schema
+    assert [tuple(r)[:2] for r in extract.pending_files(spark, root, schema, out).collect()] == [("grain_main", 1), ("grain_pests", 1)]
+    assert run() == {"grain_main": ("written", 1), "grain_pests": ("written", 1)}
+    assert run() == {"grain_main": ("skipped", 0), "grain_pests": ("skipped", 0)}
+    # a new file, and one that has changed
+    snapshot(root, {"grains/updated_date=2023-06-01/part_7.jsonl.gz": [grain(9, "g9")]})
+    assert run()["grain_main"] == ("written", 1)
+    snapshot(root, {"grains/updated_date=2023-05-07/part_7.jsonl.gz": [grain(3, "other name altogether"), grain(4, "y")]})
+    assert run(exclude=["grain_pests"]) == {"grain_main": ("written", 1)} and names() == [3, 4, 9]
+    assert run(force=True, wanted=["grain_main"]) == {"grain_main": ("written", 2)}
+    snapshot(root, {"grains/updated_date=2023-06-01/part_7.jsonl.gz": [{"name": "no id"}]})
+    assert run()["grain_main"] == ("written", 1) and names() == [3, 4]
+    main, marks = spark.read.parquet(f"{out}/grains/main"), extract.done(spark, out, "grain_main")
+    assert extract.validate(main, marks).count() == 0 and extract.content_hash(main).count() == 1
+    totals = {r["table_name"]: tuple(r)[1:5] for r in extract.status_totals(spark, out, ["grain_main", "grain_pests"]).collect()}
+    assert totals == {"grain_main": (1, 1, 0, 2), "grain_pests": (0, 2, 0, 0)}
+    assert all(r["ok"] for r in catalog.shard_check(spark, f"{out}/grains/main").collect())
+    assert {r["schema_fingerprint"] for r in marks.collect()} == {schema.fingerprint}
+
+
+def test_unknown_columns_stop_the_extraction(spark, granary):
+    root, out, schema, run, _ = granary
+    snapshot(root, {"grains/updated_date=2023-06-01/part_7.jsonl.gz": [grain(9, "g9", color="red", pests=[])]})
+    with pytest.raises(UnexpectedColumns, match="grain_main.color"):
+        run()
+    assert not os.path.exists(f"{out}/grains")
+    assert run(strict=False)["grain_main"] == ("written", 2)
+
+
+def test_damaged_files_are_marked_and_the_rest_goes_on(spark, granary):
+    root, out, schema, run, names = granary
+    snapshot(root, {"grains/updated_date=2023-06-01/part_7.jsonl.gz": [grain(n, os.urandom(200).hex()) for n in range(1000, 4000)]})
+    path = f"{root}/grains/updated_date=2023-06-01/part_7.jsonl.gz"
+    with open(path, "rb") as f:
+        content = f.read()
+    with open(path, "wb") as f:
+        f.write(content[: len(content) // 2])
+    found = {r["table_name"]: r["n_damaged"] for r in extract.extract(spark, root, schema, out).collect()}
+    assert found == {"grain_main": 1, "grain_pests": 1}
+    assert {3, 4, 5, 1000} <= set(names()) and len(names()) < 3003
+    assert sorted(r["status"] for r in extract.done(spark, out, "grain_main").collect()) == ["complete", "damaged"]
+    assert jsonl.read(spark, [path, f"{root}/grains/gone.gz"][:1], root).count() > 100
+
+
+def test_catalog(spark, granary):
+    root, out, schema, run, _ = granary
+    run()
     card = catalog.front_matter(catalog.catalog(spark, out))
-    assert "languages_main" in card and "num_examples: 3" in card
+    assert "grains_main" in card and "num_examples: 3" in card
     assert catalog.spliced("﻿\n---\nold: 1\n---\nbody\n", "new: 1\n") == "---\nnew: 1\n---\nbody\n" and catalog.spliced("body", "a: 1\n") == "---\na: 1\n---\nbody"
+    spark.range(100).repartition(10).write.parquet(f"{out}/works/many")
+    info = catalog.table_info(spark, f"{out}/works/many", sample=3)
+    assert (info["num_shards"], abs(info["num_rows"] - 100) <= 20) == (10, True)
+    assert list(catalog.catalog(spark, out)) == ["works_many", "grains_main", "grains_pests"]
+
+
+def test_command_line(spark, granary, capsys, tmp_path):
+    root, out, *_ = granary
+    said = lambda *a: (cli.main(list(a)), capsys.readouterr().out)
+    assert "grain_pests" in said("probe", root)[1]
+    assert '"n_files": 1' in said("extract", root, "--out", out, "--dry-run")[1] and not os.path.exists(out)
+    assert '"written"' in said("extract", root, "--out", out, "--exclude", "grain_pests")[1] and not os.path.exists(f"{out}/grains/pests")
+    assert said("verify", root) == (0, "")
+    with open(f"{root}/bad.gz", "wb") as f:
+        f.write(b"no gzip")
+    assert said("verify", root)[0] == 1
+    spark.createDataFrame([(1, 2)], "work_id long, topic_id long").write.parquet(f"{out}/works/topics")
+    assert '"built": 1' in said("graph", out, "--out", f"{tmp_path}/g", "--relation", "work_topics")[1]
+    said("graph", out, "--out", f"{tmp_path}/all", "--combined")
+    assert spark.read.parquet(f"{tmp_path}/all/ids").count() == 2
+    said("catalog", out, "--readme", f"{tmp_path}/README.md")
+    assert "works_topics" in (tmp_path / "README.md").read_text()
+    with pytest.raises(SystemExit):
+        cli.slice_arguments(2, 2)
+
+
+def test_hashes_and_manifests(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"abc")
+    assert tuple(incremental.file_hashes(spark, [str(tmp_path / "a")]).first()) == (str(tmp_path / "a"), 3, "ba7816bf8f01cfea")
+    paths = spark.createDataFrame([("a",), ("b",)], "path string")
+    assert incremental.in_manifest(paths, None).count() == 2 and incremental.in_manifest(paths, paths.where("path = 'a'")).count() == 1
+    sizes = spark.createDataFrame([("a", 5), ("b", 7)], "path string, n long")
+    changes = spark.createDataFrame([("a", "added"), ("b", "added"), ("c", "removed")], "path string, change string")
+    assert sorted(tuple(r) for r in incremental.totals(changes, sizes, "path", "n").collect()) == [("added", 2, 12), ("removed", 1, 0)]
+
+
+def test_a_shared_folder_is_needed_off_one_machine():
+    class Elsewhere:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+        sparkContext = type("S", (), {"master": "spark://host:7077", "getConf": staticmethod(lambda: {})})  # noqa: N815
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        runtime.shared_dir(Elsewhere())
+
+
+def test_repeated_keys(spark, tmp_path):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    spark.createDataFrame([(1, "works", '{"topics": ["T1"], "topics": ["T2"]}')], "record_id long, entity string, line_text string").write.parquet(f"{tmp_path}/raw_records.parquet")
+    assert [r["item_key"] for r in queries_general.p7_found(spark, str(tmp_path)).collect()] == ["T2"]
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -224,6 +318,7 @@ def links(spark, data):
 
 def test_graph(spark, rows):
     g = graph.build(links(spark, [(5, 7), (5, 7), (5, 6), (9, None), (None, 3), (6, 5)]))
+    assert list(g) == ["ids", "edges", "rows"]
     assert rows(g["ids"], "id", "idx") == [(3, 0), (5, 1), (6, 2), (7, 3), (9, 4)]
     assert rows(g["edges"], "src_idx", "tgt_idx") == [(1, 2), (1, 3), (2, 1)]
     assert rows(g["rows"]) == [(0, 0, 0), (1, 2, 2), (2, 1, 3), (3, 0, 3), (4, 0, 3)]
@@ -246,6 +341,39 @@ def test_combined_graph(spark):
         graph.combined({})
 
 
+def test_every_registered_relation_is_a_graph(spark, tmp_path):
+    for name, (_, (space, _)) in graph.EDGE_TABLES.items():
+        source, target = (c for _, c in graph.EDGE_TABLES[name])
+        extra = ", 'F' AS role_prefix" if space == "" else ""
+        spark.sql(f"SELECT 1 AS {source}, 2 AS {target}{extra}").write.parquet(f"{tmp_path}/t/{naming.table_path(name)}")
+    built = graph.build_all(spark, f"{tmp_path}/t", f"{tmp_path}/g", [*list(graph.EDGE_TABLES)[-4:], "nothing", "work_main"]).collect()
+    assert [r["status"] for r in built] == ["built"] * 4 + ["failed"] * 2 and {r["n_edges"] for r in built} == {1, None}
+    again = graph.build_all(spark, f"{tmp_path}/t", f"{tmp_path}/g", ["publisher_roles", "concept_ancestors"])
+    assert [r["status"] for r in again.collect()] == ["skipped"] * 2 and tuple(graph.status_counts(again).first()) == (0, 2, 0)
+    assert graph.build_all(spark, f"{tmp_path}/t", f"{tmp_path}/g", ["concept_ancestors"], force=True).first()["status"] == "built"
+    warned = []
+    frames = graph.read_relations(spark, f"{tmp_path}/t", graph.EDGE_TABLES)
+    assert graph.edges_of(graph.combined(frames)).count() == len({(s[0], t[0] or "F") for s, t in graph.EDGE_TABLES.values()})
+    assert graph.read_relations(spark, f"{tmp_path}/none", ["work_topics"], warned.append) == {} and warned
+    with pytest.raises(graph.NotAGraph):
+        graph.read_relations(spark, f"{tmp_path}/t", ["nothing"])
+
+
+def test_npz(spark, tmp_path):
+    graph.export_npz(graph.build(links(spark, [(5, 7), (5, 6), (6, 5)])), f"{tmp_path}/g.npz")
+    held = np.load(f"{tmp_path}/g.npz")
+    assert held["indptr"].tolist() == [0, 2, 3, 3] and held["indices"].tolist() == [1, 2, 0] and held["shape"].tolist() == [3, 3]
+    assert np.load(f"{tmp_path}/g_ids.npy").tolist() == [5, 6, 7]
+    with pytest.raises(ValueError, match="too many"):
+        graph.export_npz(graph.build(links(spark, [(5, 7)])), f"{tmp_path}/h.npz", most=2)
+
+
+def test_frequent_keys_are_looked_up_apart(spark, rows):
+    facts = spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id")
+    lookup = spark.range(0, 900).selectExpr("id AS k", "id * 2 AS v")
+    assert rows(runtime.looked_up(facts, lookup, ["k"], share=10, least=5), "k", "id", "v") == rows(facts.join(lookup, "k"), "k", "id", "v")
+
+
 def test_plans():
     assert incremental.bin_pack([("a", 5), ("b", 4), ("c", 3), ("d", 1)], 2) == [["a", "d"], ["b", "c"]]
     assert incremental.bin_pack([], 2) == [[], []]
