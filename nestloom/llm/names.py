@@ -2,62 +2,107 @@
 
 Suffix blocking: every token of a name is indexed by its ending, together with an institution,
 so that overly common endings ("-ova", "-son") are refined by that field before anything is made
-of them; a block that is still too large is refined once more, by longer endings and by the
-other names' initials.  To survive a typing error inside the ending, the endings that remain
-when one of the last letters is left out are indexed too.  Pairs that share a block are aligned
-token by token and compared by the ratio of their longest common subsequence.
+of them; a block that is still too large is refined again and again, each time by one more of a
+longer ending, the initials and the endings of the name's other parts.  What no refinement makes
+smaller is compared in salted pieces.  To survive a typing error inside the ending, the endings
+that remain when one of the last letters is left out are indexed too.  Pairs that share a block
+are aligned token by token and compared by the ratio of their longest common subsequence; two
+different tokens that are both established in the data, as Maria and Marta, are no spellings of
+each other.  Equal spellings at one institution are compared once, however many rows have them.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestloom.runtime import materialize
+from nestloom.runtime import materialize, union_all
 
-#: Length of the shortest indexed ending, and of the refined one.
-MIN_SUFFIX, LONG_SUFFIX = 4, 6
-#: Names in a block beyond which it is refined.
-COMMON = 200
+#: Length of the shortest indexed ending.
+MIN_SUFFIX = 4
+#: Spellings in a block beyond which it is refined, and how often it may be.
+COMMON, REFINEMENTS = 200, 3
 #: Least LCS ratio of two tokens that are one, and for tokens too short for it, the letters that may differ.
 TOKEN_RATIO = 0.7
+#: The end of the key under which names without further features stand; they meet all of their block.
+BARE = "|."
+#: A token is established if it is in at least one of so many distinct names, and in at least so
+#: many; two established ones differ unless one is that many times as frequent as the other.
+ESTABLISHED, AT_LEAST, APART = 4_000, 10, 50
 
 # fixed values: what stands beside a name without being part of it
 _TITLES = frozenset("prof dr phd md mr mrs ms miss sir jr sr ii iii iv dipl ing habil rev hon msc bsc mba dphil".split())
 _PARTICLES = frozenset("von van der den de la le di da del della du al el ten ter zu zum zur bin ibn dos das do af av".split())
 _RUN = re.compile(r"(?:von|van|der|den|del|de|la|di|al|du){2,}")
 _LETTERS = str.maketrans({"ø": "o", "đ": "d", "ð": "d", "ł": "l", "ħ": "h", "ı": "i", "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"})
-# fixed values: short and pet forms of given names, by the full name
-_SHORT = """
-alexander: alex sasha alec sandy xander al | amara: mara amy | anastasia: nastya stacy ana asya tasia | anne: annie anna ann | arjun: arj
-benjamin: ben benny benji | bjorn: bjarne | charles: charlie chuck | chloe: clo | christopher: chris kit topher | daniel: dan danny
-dmitri: dima mitya dmitry mitja | dorothea: dora thea dorothy dorle dot | edward: ed ned ted eddie teddy | ekaterina: katya katja kate
-elizabeth: liz beth betty lizzie eliza bess lisa | farid: fred | francisco: paco pancho fran frank cisco | frederike: rike fred frieda friederike ricky
-gabriela: gabi gaby gabriella | giuseppe: beppe peppe pino | hugo: huey | ignatius: iggy nacho ignaz | ingrid: inga | james: jim jimmy jamie
-jean: jeannot | johannes: hans jo johann joe jan hannes | john: jack johnny | jose: pepe chepe | joseph: joe joey jo sepp | katherine: kate kathy kit katie kat kay
-kenji: ken | lawrence: larry lars laurie | leila: lei | linus: lin | margaret: peggy meg maggie marge greta madge rita | matthias: matt matze mats | malgorzata: gosia malgosia margo
-mei: may | michael: mike mick micky mitch misha | nathaniel: nate nat nathan | nikolaus: klaus niko nick nico nik | noor: nura | olga: olya olja | owen: owe
-patricia: pat patty trish tricia patsy | petra: petie | priya: pri | quentin: quin quint | rebecca: becky becca reba | renee: ren | richard: rick dick rich ricky richie
-robert: bob rob bobby robbie bert | samuel: sam sammy | soren: sor | sophie: sofie | susanna: sue susie suzy sanna susi | tariq: tar | theodore: theo ted teddy
-thomas: tom tommy | tomasz: tomek tom | ursula: uschi ursel ulla | vera: verochka | victoria: vicky tori vic vicki | wen: wenwen | william: bill will billy liam willy | xenia: xena ksenia | yuki: yuk | zoltan: zoli
+# fixed values: common short and pet forms of given names, by the full name, as name dictionaries
+# list them; a default, which a caller may replace.  Short forms that rules give (see ``is_short``)
+# are left out.
+PET_FORMS = """
+alexander: sasha alec sandy xander al | amara: mara amy | anastasia: nastya stacy asya tasia | andrew: andy drew | anne: annie anna ann | anthony: tony | antonio: toni tony tonio
+barbara: barb babs basia | benjamin: benny benji | bernard: bernie bernd | bjorn: bjarne | catherine: cathy cat kate | charles: charlie chuck carl karl | chloe: clo | christina: tina chris
+christopher: chris kit topher | daniel: danny | david: dave davey | deborah: debbie deb | dmitri: dima mitya dmitry mitja | dorothea: dora thea dorothy dorle dot | edward: ed ned ted eddie teddy
+ekaterina: katya katja kate | eleanor: ellie nell nora | elizabeth: liz beth betty lizzie bess lisa | emily: em millie | evgeny: zhenya eugene | farid: fred | francisco: paco pancho frank cisco
+frederick: fred freddy fritz | frederike: rike fred frieda friederike ricky | gabriela: gabriella | george: georgie jorge | gerald: gerry jerry | giovanni: gianni vanni | giuseppe: beppe peppe pino
+gregory: greg | guillermo: memo | heinrich: heinz henry hinrich | helen: nell lena | henry: harry hank hal | hugo: huey | ignatius: iggy nacho ignaz | ingrid: inga | irina: ira | ivan: vanya
+jacob: jake jakob | james: jim jimmy jamie | jean: jeannot | jennifer: jen jenny | jessica: jess | johannes: hans jo johann joe jan hannes | john: jack johnny jon | jonathan: jon jonny
+jose: pepe chepe | joseph: joe joey jo sepp | joshua: josh | katherine: kate kathy kit katie kat kay | kenneth: kenny | kenji: ken | konstantin: kostya | lawrence: larry laurie | leonard: lenny
+ludwig: lutz | madeleine: maddy | malgorzata: gosia margo | margaret: peggy meg maggie marge greta madge rita | maria: masha mariya | matthew: matt | matthias: mats | mei: may
+michael: mike mick micky mitch misha | mikhail: misha | nathaniel: nate nat nathan | nicholas: nick nicky nico | nikolai: kolya | nikolaus: klaus niko nick nico nik | noor: nura | olga: olya olja
+patricia: pat patty trish tricia patsy | patrick: pat paddy | peter: pete petya | petra: petie | philip: phil pip | quentin: quin | raymond: ray | rebecca: becky becca | richard: rick dick ricky richie
+robert: bob rob bobby robbie bert | ronald: ron ronnie | rudolf: rudi | samuel: sammy | sergei: seryozha | soren: sorn | sophie: sofie | stephen: steve steven stevie | stefan: steffen | susanna: sue susie suzy sanna
+tatiana: tanya | theodore: theo ted teddy | thomas: tom tommy | timothy: tim timmy | tomasz: tomek tom | ursula: uschi ursel ulla | victoria: vicky tori | vladimir: vova volodya | walter: walt
+wilhelm: willi willy helmut | william: bill will billy liam willy | xenia: xena ksenia | yuri: yura | zachary: zack zach
 """
-_FORMAL: dict[str, frozenset[str]] = {}
-_INITIALS: dict[str, frozenset[str]] = {}
-_FORMS: dict[str, tuple[str, ...]] = {}
-#: The likeness of a given name and a badly mistyped one; it counts only beside an equal family name.
-WEAK = 0.3
-for _entry in re.split(r"[|\n]", _SHORT):
-    if ":" in _entry:
-        _full, _forms = _entry.split(":")
-        for _form in [*_forms.split(), _full.strip()]:
-            _FORMAL[_form] = _FORMAL.get(_form, frozenset()) | {_full.strip()}
-        _FORMS[_full.strip()] = (_full.strip(), *_forms.split())
-        _INITIALS[_full.strip()] = frozenset(f[0] for f in [*_forms.split(), _full.strip()])
+#: The likeness of a given name and a badly mistyped one, which counts only beside an equal family name, and of a short form by rule.
+WEAK, SHORT = 0.3, 0.45
+_CJK = re.compile(r"[぀-ヿ㐀-䶿一-鿿가-힣]{2,}")
+
+
+class Known:
+    """What is known of tokens: the short and pet forms of given names, and which tokens are established in the data.
+
+    ``established`` maps tokens to the number of distinct names that have them and to how many of
+    these begin with them.
+    """
+
+    def __init__(self, pet_forms: str = PET_FORMS, established: dict[str, tuple[int, int]] | None = None) -> None:
+        self.formal: dict[str, frozenset[str]] = {}
+        self.forms: dict[str, tuple[str, ...]] = {}
+        self.established = established or {}
+        for entry in re.split(r"[|\n]", pet_forms):
+            if ":" in entry:
+                full, forms = entry.split(":")
+                full = full.strip()
+                self.forms[full] = (full, *forms.split())
+                for form in self.forms[full]:
+                    self.formal[form] = self.formal.get(form, frozenset()) | {full}
+
+    def full(self, token: str) -> frozenset[str]:
+        """The full names that a token is a form of; itself if it is no known given name."""
+        return self.formal.get(token) or self.formal.get(base(token)) or frozenset((token,))
+
+    def is_given(self, token: str) -> bool:
+        """Whether a token is a given name: by the list, or as an established one that mostly begins names."""
+        n, first = self.established.get(token, (0, 0))
+        return token in self.formal or base(token) in self.formal or 2 * first > n > 0
+
+    def initials(self, token: str) -> frozenset[str]:
+        """The letters that may stand for a token: its own first one, and those of its full and short forms."""
+        return frozenset({token[0]} | {form[0] for full in self.full(token) for form in self.forms.get(full, (full,))})
+
+    def conflict(self, a: str, b: str) -> bool:
+        """Whether two different tokens are both established, so that neither is a mistyped form of the other."""
+        low, high = sorted((self.established.get(a, (0, 0))[0], self.established.get(b, (0, 0))[0]))
+        return low > 0 and low * APART >= high and base(a) != base(b)
+
+
+DEFAULT = Known()
 
 
 def tokens(name: str | None) -> list[str]:
@@ -72,6 +117,8 @@ def tokens(name: str | None) -> list[str]:
     text = "".join(c for c in text if unicodedata.category(c) not in ("Mn", "Cf"))
     text = re.sub(r"\b(?:m\.\s?d|ph\.\s?d)\b", " ", text)
     found = re.findall(r"[^\W\d_]+", re.sub(r"['’`]", "", text))
+    if found and all(_CJK.fullmatch(t) or len(t) == 1 and ord(t) > 0x3000 for t in found):
+        return ["".join(found)]
     kept = [t for t in found if t not in _TITLES and t not in _PARTICLES and not (len(t) > 3 and _RUN.fullmatch(t))]
     return kept or found
 
@@ -96,57 +143,52 @@ def lcs_ratio(a: str, b: str) -> float:
     return 2 * (len(a) - v.bit_count()) / (len(a) + len(b))
 
 
-def formal(token: str) -> frozenset[str]:
-    """The full names that a token is a form of; itself if it is no known given name."""
-    return _FORMAL.get(token) or _FORMAL.get(base(token)) or frozenset((token,))
-
-
-def is_given(token: str) -> bool:
-    return token in _FORMAL or base(token) in _FORMAL
-
+def is_short(short: str, long: str) -> bool:
+    """Whether one token is a short form of the other by rule: its first three or more letters, these with -i, -ie or -y, it doubled, or with the ending -ochka."""
+    if len(short) > len(long):
+        short, long = long, short
+    stem = re.sub(r"(?:ie|i|y)$", "", short)
+    return len(short) > 2 and (long.startswith(short) or len(stem) > 2 and long.startswith(stem) or long in (short + short, re.sub(r"[aeiou]$", "", short) + "ochka"))
 
-def initials(token: str) -> frozenset[str]:
-    """The letters that may stand for a token: its own first one, and those of its full and short forms."""
-    out = {token[0]}
-    for full in formal(token):
-        out |= _INITIALS.get(full, frozenset(full[0]))
-    return frozenset(out)
 
-
-def likeness(a: str, b: str) -> float:
-    """How well two tokens agree: 1 if equal or forms of one given name, 0.5 or less for an initial, the LCS ratio if near, else 0."""
+def likeness(a: str, b: str, known: Known = DEFAULT) -> float:
+    """How well two tokens agree: 1 if equal or forms of one given name, 0.5 or less for an initial or a short form, the LCS ratio if near, else 0."""
     if a == b:
         return 1.0 if len(a) > 1 else 0.5
     if len(a) == 1 or len(b) == 1:
         short, long = (a, b) if len(a) == 1 else (b, a)
         if len(long) == 1:
             return 0.0
-        return 0.5 if long[0] == short else 0.4 if short in initials(long) else 0.0
-    if formal(a) & formal(b):
+        return 0.5 if long[0] == short else 0.4 if short in known.initials(long) else 0.0
+    if known.full(a) & known.full(b):
         return 1.0
-    known = [x for x in (a, b) if is_given(x)]
+    if known.conflict(a, b):
+        return 0.0
+    given = [x for x in (a, b) if known.is_given(x)]
     best = max(lcs_ratio(a, b), lcs_ratio(base(a), base(b)))
-    if len(known) == 2 and a in _FORMAL and b in _FORMAL:
+    if len(given) == 2 and a in known.formal and b in known.formal:
         return best if best >= 0.85 else 0.0
-    if abs(len(a) - len(b)) > 2:
-        best = 0.0
     for x, y in ((a, b), (b, a)):
-        if x in known and y not in _FORMAL:
-            best = max(best, 0.0, *(lcs_ratio(form, y) - 0.01 for full in formal(x) for form in _FORMS.get(full, (full,)) if len(form) > 3))
-    least = (0.75 if known else TOKEN_RATIO) if max(len(a), len(b)) > 3 else 0.66
-    if best >= least:
+        if x in given and y not in known.formal:
+            best = max(best, 0.0, *(lcs_ratio(form, y) - 0.01 for full in known.full(x) for form in known.forms.get(full, (full,)) if len(form) > 3))
+    least = (0.75 if given else TOKEN_RATIO) if max(len(a), len(b)) > 3 else 0.66
+    if best >= least and (abs(len(a) - len(b)) <= 2 or best >= 0.85):
         return best
-    return WEAK if known and best >= 0.6 and a[0] == b[0] else 0.0
+    if is_short(a, b):
+        return SHORT
+    return WEAK if given and best >= 0.6 and a[0] == b[0] else 0.0
 
 
-def same_name(a: list[str], b: list[str]) -> float:
+def same_name(a: list[str], b: list[str], known: Known = DEFAULT) -> float:
     """The strength with which two names are spellings of one; 0 if they are not.
 
     Tokens are paired best first, in any order.  A family name must agree as more than an
     initial, another part must agree at least as an initial, and parts may be left out of one
-    of the names only.
+    of the names only.  Names without blanks, as in Chinese, must be equal.
     """
-    options = sorted(((s, i, j) for i, x in enumerate(a) for j, y in enumerate(b) if (s := likeness(x, y))), reverse=True)
+    if len(a) == len(b) == 1:
+        return float(a == b and bool(_CJK.fullmatch(a[0])))
+    options = sorted(((s, i, j) for i, x in enumerate(a) for j, y in enumerate(b) if (s := likeness(x, y, known))), reverse=True)
     left, right, pairs = set(range(len(a))), set(range(len(b))), []
     for s, i, j in options:
         if i in left and j in right:
@@ -154,9 +196,9 @@ def same_name(a: list[str], b: list[str]) -> float:
             right.remove(j)
             pairs.append((s, a[i], b[j]))
     if left and right:
-        return _glued(a, b, left, right, pairs)
-    family = [s for s, x, y in pairs if s > 0.5 and min(len(x), len(y)) > 2 and not is_given(x) and not is_given(y)]
-    if not family and not all(is_given(x) for x in a):
+        return 0.0 if any(known.conflict(a[i], b[j]) for i in left for j in right) else _glued(a, b, left, right, pairs)
+    family = [s for s, x, y in pairs if s > 0.5 and (min(len(x), len(y)) > 2 or x == y) and not known.is_given(x) and not known.is_given(y)]
+    if not family and not all(known.is_given(x) for x in a):
         return 0.0
     if len(pairs) < 2 or any(s == WEAK for s, _, _ in pairs) and max(family, default=0) < 1:
         return 0.0
@@ -171,83 +213,142 @@ def _glued(a: list[str], b: list[str], left: set[int], right: set[int], pairs: l
     return 0.0
 
 
-def forms(token: str) -> set[str]:
-    """What a token is indexed as: its full names if it is a given name, else both spellings of its umlauts, whole and short of one of their last letters."""
-    if is_given(token):
-        return set(formal(token))
+def forms(token: str, known: Known = DEFAULT) -> set[str]:
+    """What a token is indexed as: its full names if it is a form of a given name, else both spellings of its umlauts, whole and short of one of their last letters."""
+    if known.full(token) != {token} or token in known.formal:
+        return set(known.full(token))
     out = set()
     for t in {token, base(token)}:
         out |= {t} | ({t[:i] + t[i + 1 :] for i in range(max(0, len(t) - MIN_SUFFIX), len(t))} if len(t) > 3 else set())
     return out
 
 
-def endings(found: list[str]) -> list[str]:
+def endings(found: list[str], known: Known = DEFAULT) -> list[str]:
     """The endings under which a name is indexed."""
-    return sorted({form[-MIN_SUFFIX:] for t in found if len(t) > 1 for form in forms(t)})
+    return sorted({form[-MIN_SUFFIX:] for t in found if len(t) > 1 for form in forms(t, known)})
 
 
-def refined(found: list[str], ending: str) -> list[str]:
-    """The finer endings that take the place of a common one: longer, and with the initials of the other parts."""
-    out = set()
+def refined(found: list[str], key: str, known: Known = DEFAULT) -> list[str]:
+    """The keys that take the place of a too common one: with one more feature of the name beside its ending.
+
+    Features are longer endings of the token, and the initials and endings of the other parts; a
+    name that has no more of them has the key of the bare ones.
+    """
+    ending, *held = key.split("|")
+    out: set[str] = set()
     for t in found:
-        for form in forms(t):
-            if form.endswith(ending):
-                out.add(f"{form[-LONG_SUFFIX:]}|")
-                out |= {f"{ending}|{letter}" for other in found if other != t for letter in initials(other)}
-    return sorted(out) or [f"{ending}|"]
+        own = [form for form in forms(t, known) if form.endswith(ending)]
+        if own:
+            out |= {f"-{form[-n:]}" for form in own for n in (MIN_SUFFIX + 2, MIN_SUFFIX + 4) if len(form) >= n}
+            for other in found:
+                if other != t:
+                    out |= {f"{letter}-" for letter in known.initials(other)}
+                    out |= {f"+{form[-MIN_SUFFIX:]}" for form in forms(other, known) if len(form) > 1}
+    return sorted({"|".join([ending, *sorted({*held, f})]) for f in out - set(held)}) or [f"{key}{BARE}"]
 
 
 # ---- tables -----------------------------------------------------------------------------------
 
+def _spelled(known: Known) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            memo: dict[str, tuple[str, float]] = {}
+            for name in set(batch["name"]):
+                found = tokens(name)
+                memo[name] = (" ".join(found), same_name(found, found, known))
+            out = batch[["k1", "k2", "g"]].assign(tokens=[memo[n][0] for n in batch["name"]], own=[memo[n][1] for n in batch["name"]])
+            yield out[out["own"] > 0]
+
+    return run
+
+
+def established(spellings: DataFrame) -> dict[str, tuple[int, int]]:
+    """The tokens in at least one of ``ESTABLISHED`` distinct names: at most that number times the tokens of a name."""
+    names = spellings.select("tokens").distinct()
+    n = names.count()
+    words = names.select(F.posexplode(F.split("tokens", " ")).alias("pos", "t")).where(F.length("t") > 1)
+    counts = words.groupBy("t").agg(F.count("*").alias("n"), F.count_if(F.col("pos") == 0).alias("first"))
+    return {r["t"]: (r["n"], r["first"]) for r in counts.where(F.col("n") >= max(AT_LEAST, -(-n // ESTABLISHED))).collect()}
+
+
+def _indexed(known: object) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(g, e, sid, p) for g, sid, p, t in zip(batch["g"], batch["sid"], batch["is_person"], batch["tokens"], strict=True) for e in endings(t.split(), known.value)]
+            yield pd.DataFrame(rows, columns=["g", "key", "sid", "is_person"])
+
+    return run
+
+
+def _refiner(known: object) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(g, k, sid, p) for g, key, sid, p, t in zip(batch["g"], batch["key"], batch["sid"], batch["is_person"], batch["tokens"], strict=True) for k in refined(t.split(), key, known.value)]
+            yield pd.DataFrame(rows, columns=["g", "key", "sid", "is_person"])
+
+    return run
 
-def _tokenised(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found = [tokens(n) for n in batch["name"]]
-        out = batch[["nid", "k1", "k2"]].assign(tokens=[" ".join(f) for f in found], endings=[endings(f) for f in found])
-        yield out[out["tokens"] != ""]
 
+def _strength(known: object) -> Callable[[pd.Series, pd.Series], pd.Series]:
+    def strength(a: pd.Series, b: pd.Series) -> pd.Series:
+        memo: dict[tuple[str, str], float] = {}
+        out = []
+        for pair in zip(a, b, strict=True):
+            if pair not in memo:
+                memo[pair] = same_name(pair[0].split(), pair[1].split(), known.value)
+            out.append(memo[pair])
+        return pd.Series(out, dtype="float64")
 
-def _refined(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame(
-            [(g, e, n, p) for g, ending, n, p, t in zip(batch["g"], batch["ending"], batch["nid"], batch["is_person"], batch["tokens"], strict=True) for e in refined(t.split(), ending)],
-            columns=["g", "ending", "nid", "is_person"],
-        )
+    return strength
 
 
-def name_strength(a: pd.Series, b: pd.Series) -> pd.Series:
-    known: dict[tuple[str, str], float] = {}
-    out = []
-    for pair in zip(a, b, strict=True):
-        if pair not in known:
-            known[pair] = same_name(pair[0].split(), pair[1].split())
-        out.append(known[pair])
-    return pd.Series(out, dtype="float64")
+_BLOCK = "g long, key string, sid binary, is_person boolean"
 
 
-def candidate_links(entries: DataFrame, common: int = COMMON) -> tuple[DataFrame, DataFrame]:
-    """(names, links) of entries ``k1, k2, name, g``: a name of a person (k2 = -1) or a mention seen in group g.
+def candidate_pairs(spellings: DataFrame, known: object, common: int = COMMON, refinements: int = REFINEMENTS) -> DataFrame:
+    """``sid_a, sid_b``: spellings that share a group and a block, the first of a person; each pair once.
 
-    names: ``nid, k1, k2, tokens, endings``.  links: ``nid_a, nid_b, strength`` of a person's name
-    and another name that share a group and an ending and are spellings of one name.
+    Blocks of more than ``common`` spellings are refined up to ``refinements`` times; names without
+    further features are compared with all of the block, and blocks that are still larger are cut
+    into pieces of that size, of which each two are compared apart.
     """
-    entries = entries.where("name IS NOT NULL AND g IS NOT NULL AND k1 IS NOT NULL").withColumn("nid", F.xxhash64("k1", "k2", "name"))
-    named = entries.select("nid", "k1", "k2", "name").distinct()
-    names = materialize(named.mapInPandas(_tokenised, "nid long, k1 long, k2 int, tokens string, endings array<string>"), "names")
-    seen = entries.select("nid", "g").distinct()
-    blocks = seen.join(names, "nid").select("g", F.explode("endings").alias("ending"), "nid", (F.col("k2") == -1).alias("is_person"))
-    blocks = materialize(blocks, "name-blocks")
-    large = blocks.groupBy("g", "ending").agg(F.count("*").alias("n"), F.max("is_person").alias("linked")).where((F.col("n") > common) & F.col("linked")).select("g", "ending")
-    fine = blocks.join(large, ["g", "ending"]).join(names.select("nid", "tokens"), "nid").select("g", "ending", "nid", "is_person", "tokens")
-    fine = fine.mapInPandas(_refined, "g long, ending string, nid long, is_person boolean")
-    ready = blocks.join(large, ["g", "ending"], "left_anti").unionByName(fine)
-    persons = ready.where("is_person").select("g", "ending", F.col("nid").alias("nid_a"))
-    others = ready.select("g", "ending", F.col("nid").alias("nid_b"), F.col("is_person").alias("both"))
-    pairs = persons.join(others, ["g", "ending"]).where(~F.col("both") | (F.col("nid_a") < F.col("nid_b"))).select("nid_a", "nid_b").distinct()
-    a = names.select(F.col("nid").alias("nid_a"), F.col("tokens").alias("tokens_a"))
-    b = names.select(F.col("nid").alias("nid_b"), F.col("tokens").alias("tokens_b"))
-    scored = pairs.join(a, "nid_a").join(b, "nid_b").select("nid_a", "nid_b", F.pandas_udf(name_strength, "double")("tokens_a", "tokens_b").alias("strength"))
-    return names, materialize(scored.where("strength > 0"), "name-links")
+    blocks = materialize(spellings.select("g", "sid", F.col("rep").isNotNull().alias("is_person"), "tokens").mapInPandas(_indexed(known), _BLOCK), "name-blocks")
+    ready, found = [], []
+    for step in range(refinements + 1):
+        sizes = blocks.groupBy("g", "key").agg(F.count("*").alias("n"), F.max("is_person").alias("linked"))
+        large = materialize(sizes.where((F.col("n") > common) & F.col("linked")).select("g", "key", "n"), "large-blocks")
+        if not large.head(1):
+            ready.append(blocks.withColumn("cell", F.lit("")))
+            break
+        ready.append(blocks.join(large, ["g", "key"], "left_anti").withColumn("cell", F.lit("")))
+        members = blocks.join(large, ["g", "key"])
+        pieces = F.ceil(F.col("n") / common).cast("int")
+        mine = F.pmod(F.xxhash64("sid"), pieces).cast("int")
+        every = F.explode(F.sequence(F.lit(0), pieces - 1))
+        if step < refinements:
+            fine = members.join(spellings.select("sid", "tokens"), "sid").select("g", "key", "sid", "is_person", "tokens").mapInPandas(_refiner(known), _BLOCK).distinct()
+            fine = materialize(fine, "name-blocks")
+            blocks = fine.where(~F.col("key").endswith(BARE))
+            bare = fine.where(F.col("key").endswith(BARE)).withColumn("key", F.expr(f"substring(key, 1, length(key) - {len(BARE)})")).join(large, ["g", "key"])
+            bare = bare.select("g", "key", every.alias("cell"), F.col("sid").alias("sid_2"), F.col("is_person").alias("person_2"))
+            whole = members.select("g", "key", mine.alias("cell"), "sid", "is_person")
+            found.append(_ordered(whole.join(bare, ["g", "key", "cell"])))
+        else:
+            cells = members.select("g", "key", "sid", "is_person", mine.alias("mine"), every.alias("other"))
+            cell = F.concat_ws("-", F.least("mine", "other").cast("string"), F.greatest("mine", "other").cast("string"))
+            ready.append(cells.select("g", "key", "sid", "is_person", cell.alias("cell")))
+    rows = union_all(ready)
+    persons = rows.where("is_person").select("g", "key", "cell", "sid", "is_person")
+    others = rows.select("g", "key", "cell", F.col("sid").alias("sid_2"), F.col("is_person").alias("person_2"))
+    found.append(_ordered(persons.join(others, ["g", "key", "cell"]).where(~F.col("person_2") | (F.col("sid") < F.col("sid_2")))))
+    return union_all(found).distinct()
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """``sid_a, sid_b`` of pairs with a person: the person's spelling first, the smaller one of two persons'."""
+    swap = ~F.col("is_person") | (F.col("person_2") & (F.col("sid_2") < F.col("sid")))
+    kept = pairs.where((F.col("sid") != F.col("sid_2")) & (F.col("is_person") | F.col("person_2")))
+    return kept.select(F.when(swap, F.col("sid_2")).otherwise(F.col("sid")).alias("sid_a"), F.when(swap, F.col("sid")).otherwise(F.col("sid_2")).alias("sid_b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -268,25 +369,45 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "root")
 
 
-def link_names(people: DataFrame, mentions: DataFrame, common: int = COMMON) -> tuple[DataFrame, DataFrame]:
-    """(persons, attached) from people ``id, name, g`` and mentions ``k1, k2, name, g``, one row per group g.
+def linked(people: DataFrame, mentions: DataFrame, common: int = COMMON, pet_forms: str = PET_FORMS) -> tuple[DataFrame, DataFrame]:
+    """(members, attached) from people ``id, name, g`` and mentions ``k1, k2, name, g``, one row per group g.
 
-    persons: ``id_a, id_b`` (id_a < id_b) of different ids of one person.  Two ids are linked if
-    names of theirs are spellings of one and share a group; links are followed through.
-    attached: ``k1, k2, id``: the person behind a mention, by the smallest id; of several persons
-    the one whose name agrees best, then the smallest.  Null names and groups, and names
+    members: ``node, root``, the ids of persons that have several, with the smallest of them.  Two
+    ids are linked if names of theirs are spellings of one and share a group; links are followed
+    through.  attached: ``k1, k2, id``: the person behind a mention, by the smallest id; of several
+    persons the one whose name agrees best, then the smallest.  Null names and groups, and names
     without letters, link nothing; repeated rows count once.
     """
-    entries = people.select(F.col("id").alias("k1"), F.lit(-1).alias("k2"), "name", "g").unionByName(mentions.select("k1", "k2", "name", "g"))
-    names, links = candidate_links(entries, common)
-    a = names.select(F.col("nid").alias("nid_a"), F.col("k1").alias("id_a"))
-    b = names.select(F.col("nid").alias("nid_b"), F.col("k1").alias("k1"), F.col("k2").alias("k2"))
-    placed = materialize(links.join(a, "nid_a").join(b, "nid_b").select("id_a", "k1", "k2", "strength"), "placed-links")
-    same = placed.where("k2 = -1 AND id_a != k1").select(F.least("id_a", "k1").alias("a"), F.greatest("id_a", "k1").alias("b"))
-    roots = components(same)
-    left, right = roots.select("root", F.col("node").alias("id_a")), roots.select("root", F.col("node").alias("id_b"))
-    persons = left.join(right, "root").where("id_a < id_b").select("id_a", "id_b")
-    to_person = placed.where("k2 >= 0").join(roots.select(F.col("node").alias("id_a"), "root"), "id_a", "left")
-    to_person = to_person.select("k1", "k2", "strength", F.coalesce("root", "id_a").alias("id"))
-    best = to_person.groupBy("k1", "k2").agg(F.max(F.struct("strength", (-F.col("id")).alias("low"))).alias("best"))
-    return persons, best.select("k1", "k2", (-F.col("best.low")).alias("id"))
+    spark = people.sparkSession
+    rows = people.select(F.col("id").alias("k1"), F.lit(-1).alias("k2"), "name", "g").unionByName(mentions.select("k1", "k2", "name", "g"))
+    rows = rows.where("name IS NOT NULL AND g IS NOT NULL AND k1 IS NOT NULL")
+    entries = rows.mapInPandas(_spelled(Known(pet_forms)), "k1 long, k2 int, g long, tokens string, own double")
+    # 128 bits identify a spelling
+    sid = F.unhex(F.md5(F.concat_ws(" ", F.col("g").cast("string"), "tokens")))
+    entries = materialize(entries.withColumn("sid", sid), "name-entries")
+    spellings = entries.groupBy("sid", "g", "tokens").agg(F.min(F.when(F.col("k2") == -1, F.col("k1"))).alias("rep"), F.max("own").alias("own"))
+    spellings = materialize(spellings, "spellings")
+    known = spark.sparkContext.broadcast(Known(pet_forms, established(spellings)))
+    pairs = candidate_pairs(spellings, known, common)
+    for side in "ab":
+        pairs = pairs.join(spellings.select(F.col("sid").alias(f"sid_{side}"), F.col("tokens").alias(f"tokens_{side}"), F.col("rep").alias(f"rep_{side}")), f"sid_{side}")
+    strength = F.pandas_udf(_strength(known), "double")
+    links = materialize(pairs.select("sid_a", "sid_b", "rep_a", "rep_b", strength("tokens_a", "tokens_b").alias("strength")).where("strength > 0"), "name-links")
+    # an id stands beside the smallest id of its spelling, and the smallest ids of like spellings beside each other
+    stars = entries.where("k2 = -1").select("sid", "k1").distinct().join(spellings.select("sid", "rep"), "sid").where("k1 != rep").select(F.col("rep").alias("a"), F.col("k1").alias("b"))
+    members = components(stars.unionByName(links.where("rep_a != rep_b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))))
+    options = spellings.where("rep IS NOT NULL").select("sid", "rep", F.col("own").alias("strength"))
+    options = options.unionByName(links.select(F.col("sid_b").alias("sid"), F.col("rep_a").alias("rep"), "strength"))
+    options = options.unionByName(links.where("rep_b IS NOT NULL").select(F.col("sid_a").alias("sid"), F.col("rep_b").alias("rep"), "strength"))
+    named = options.join(members.select(F.col("node").alias("rep"), "root"), "rep", "left").select("sid", "strength", F.coalesce("root", "rep").alias("id"))
+    best = F.max(F.struct("strength", (-F.col("id")).alias("low"))).alias("best")
+    of_spelling = named.groupBy("sid").agg(best)
+    of_mention = entries.where("k2 >= 0").select("sid", "k1", "k2").join(of_spelling, "sid").groupBy("k1", "k2").agg(F.max("best").alias("best"))
+    return members, of_mention.select("k1", "k2", (-F.col("best.low")).alias("id"))
+
+
+def link_names(people: DataFrame, mentions: DataFrame, common: int = COMMON, pet_forms: str = PET_FORMS) -> tuple[DataFrame, DataFrame]:
+    """(persons, attached) as ``linked`` gives them, with persons as ``id_a, id_b`` (id_a < id_b): all pairs of ids of one person."""
+    members, attached = linked(people, mentions, common, pet_forms)
+    left, right = members.select("root", F.col("node").alias("id_a")), members.select("root", F.col("node").alias("id_b"))
+    return left.join(right, "root").where("id_a < id_b").select("id_a", "id_b"), attached

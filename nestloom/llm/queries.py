@@ -27,8 +27,7 @@ def p2_surprise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cooccurring(spark, sf_dir, 1, 0)
 
 
-def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The author rows of one person, and the author behind each authorship that lacks an author id."""
+def _names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     authors, works = table(spark, sf_dir, "authors"), table(spark, sf_dir, "works")
     people = authors.select(id_number(F.col("id"), "a").alias("id"), F.col("display_name").alias("name"), F.explode(F.col("last_known_institutions")["id"]).alias("i"))
     people = people.select("id", "name", id_number(F.col("i"), "i").alias("g"))
@@ -36,13 +35,23 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = held.where(id_number(F.col("a.author.id")).isNull())
     name = F.coalesce(F.nullif(F.trim("a.raw_author_name"), F.lit("")), F.col("a.author.display_name"))
     mentions = held.select("k1", "k2", name.alias("name"), F.explode(F.col("a.institutions")["id"]).alias("i")).select("k1", "k2", "name", id_number(F.col("i"), "i").alias("g"))
-    persons, attached = names.link_names(people, mentions)
+    return people, mentions
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The author rows of one person, and the author behind each authorship that lacks an author id."""
+    persons, attached = names.link_names(*_names(spark, sf_dir))
     short = lambda c: F.concat(F.lit("A"), F.col(c).cast("string"))
     pairs = persons.select(F.lit("author").alias("match_kind"), short("id_a").alias("key_a"), short("id_b").alias("key_b"))
     place = F.concat(F.lit("W"), F.col("k1").cast("string"), F.lit(":"), F.col("k2").cast("string"))
     return pairs.unionByName(attached.select(F.lit("authorship").alias("match_kind"), place.alias("key_a"), short("id").alias("key_b")))
 
 
+def p5_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every author id of a person who has several, with the smallest of them."""
+    return names.linked(*_names(spark, sf_dir))[0].select(F.col("node").alias("author_id"), F.col("root").alias("person_id"))
+
+
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in a container of 2,048 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"))
@@ -79,7 +88,7 @@ def _num(col: str, letters: str) -> str:
     return f"try_cast(regexp_extract({col}, '(?:^|[^A-Za-z0-9])[{letters}]([0-9]+)', 1) AS BIGINT)"
 
 
-QUERIES = {"p2_found": p2_found, "p2_surprise": p2_surprise, "p5_found": p5_found, "p8_packed": p8_packed, "p8_report": p8_report, "p8_faults": p8_faults, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p2_surprise": p2_surprise, "p5_found": p5_found, "p5_members": p5_members, "p8_packed": p8_packed, "p8_report": p8_report, "p8_faults": p8_faults, "p9_found": p9_found, "p9_overlaps": p9_overlaps, "p10_found": p10_found}
 
 ORACLE = {
     "p8_faults": "SELECT count(*) AS n_documents, 0 AS n_misplaced, 0 AS n_split, 0 AS n_overfull FROM documents",

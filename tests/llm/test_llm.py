@@ -96,6 +96,7 @@ def test_planted_pair_is_surprising(spark):
         ("Farid Kondwick", "F. Kondwick", True), ("Farid Kondwick", "Kondwick,  Farid", True), ("Farid Kondwick", "Farid Kodnwick", True), ("Susanna Vera Changsasez", "Sue Vera Changsasez", True),
         ("Samuel Tülfaikska", "Dr. Sam Tuelfaikska", True), ("Søren Klemm", "SOEREN KLEMM, Jr.", True), ("Francisco Ursula Klexer", "Francisco Klexer II", True), ("Noor al-Hundsen", "al Hundsen Noor", True),
         ("Linus von Hendzouxman", "l. vonhendzouxman", True), ("Jean-Luc Bekkável", "J.-L. Bekkável", True), ("Rebecca Amara Priand", "Becky Priand", True), ("Alexander Dortić", "S. Dortić", True),
+        ("Stephen King", "Steve King", True), ("Antonio Silva", "Toni Silva", True), ("王 小明", "王小明", True), ("王小明", "王小红", False), ("Arjun Rao", "Arj Rao", True), ("Vera Ivanova", "Verochka Ivanova", True), ("Wen Li", "Wenwen Li", True),
         ("Rebecca Leinov", "Joseph Leinov", False), ("Yuki Keakov", "Yuki Prindgotu", False), ("Arjun Zoltán Seirova", "Noor Seirova", False), ("Samuel Richard Félm", "Samuel Chokard", False), ("", "X Y", False), (None, None, False),
     ],
 )
@@ -134,6 +135,40 @@ def test_linking(spark, rows, common):
     assert rows(attached, "k1", "k2", "id") == [(100, 0, 1), (100, 1, 5), (101, 0, 4)]
 
 
+ALIKE = [("Maria", "Marta"), ("Daniel", "Daniela"), ("Andreas", "Andrea"), ("Mario", "Maria"), ("Wei", "Wen"), ("Xiaoming", "Xiaoning")]
+
+
+def test_different_names_that_are_alike(spark, rows):
+    # each given name begins many names, so that it is established
+    crowd = [(1000 * n + i, f"{name} {''.join(chr(97 + (i * 7 + n * 3 + k * k * (i + 1)) % 26) for k in range(9))}", 100 + i) for n, name in enumerate(sorted({x for p in ALIKE for x in p})) for i in range(30)]
+    pairs = [(50_000 + 2 * k + j, f"{name} Keller{'abcdef'[k]}w", 5 + k) for k, p in enumerate(ALIKE) for j, name in enumerate(p)]
+    typed = [(60_000, "Maira Kellerxw", 60), (60_001, "Maria Kellerxw", 60)]
+    people = spark.createDataFrame(crowd + pairs + typed, "id long, name string, g long")
+    persons, _ = names.link_names(people, spark.createDataFrame([], "k1 long, k2 int, name string, g long"))
+    assert [x for x in rows(persons) if x[0] >= 50_000] == [(60_000, 60_001)]
+
+
+def test_one_institution_with_many_names(spark, rows):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("aeiou" if i % 2 else "bdklmnrst") for i in range(n))
+    people = [(i, f"{word(5)} {word(4)}ova", 1) for i in range(3_000)]
+    people += [(10_000 + i, name[:2] + name[3:] if i % 2 else f"{name.split()[1]}, {name[0]}.", 1) for i, (_, name, _) in enumerate(people[:400])]
+    people += [(20_000, people[0][1], 1)] * 500
+    df = spark.createDataFrame(people, "id long, name string, g long")
+    members, _ = names.linked(df, spark.createDataFrame([], "k1 long, k2 int, name string, g long"), common=40)
+    root = {r["node"]: r["root"] for r in members.collect()}
+    alike = lambda a, b: names.same_name(names.tokens(a), names.tokens(b)) > 0
+    planted = [(i, 10_000 + i) for i in range(400) if alike(people[i][1], people[3_000 + i][1])]
+    assert len(planted) > 380 and all(root[a] == root[b] for a, b in planted) and root[20_000] == root[0]
+
+
+def test_blocks_that_cannot_be_refined_are_cut(spark, rows):
+    people = [(i, f"Jo Novak{chr(97 + i % 26)}", 1) for i in range(60)]
+    df = spark.createDataFrame(people, "id long, name string, g long")
+    members, _ = names.linked(df, spark.createDataFrame([], "k1 long, k2 int, name string, g long"), common=3)
+    assert members.select("root").distinct().count() == 1 and members.count() == 60
+
+
 def test_linking_nothing(spark):
     persons, attached = names.link_names(spark.createDataFrame([], "id long, name string, g long"), spark.createDataFrame([], "k1 long, k2 int, name string, g long"))
     assert persons.count() == attached.count() == 0
