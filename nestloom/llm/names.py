@@ -41,22 +41,21 @@ _PARTICLES = frozenset("von van der den de la le di da del della du al el ten te
 _RUN = re.compile(r"(?:von|van|der|den|del|de|la|di|al|du){2,}")
 _LETTERS = str.maketrans({"ø": "o", "đ": "d", "ð": "d", "ł": "l", "ħ": "h", "ı": "i", "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"})
 # fixed values: common short and pet forms of given names, by the full name, as name dictionaries
-# list them; a default, which a caller may replace.  Short forms that rules give (see ``is_short``)
-# are left out.
+# list them; a default, which a caller may replace.  Rarer short forms follow from rules (``is_short``).
 PET_FORMS = """
-alexander: sasha alec sandy xander al | amara: mara amy | anastasia: nastya stacy asya tasia | andrew: andy drew | anne: annie anna ann | anthony: tony | antonio: toni tony tonio
-barbara: barb babs basia | benjamin: benny benji | bernard: bernie bernd | bjorn: bjarne | catherine: cathy cat kate | charles: charlie chuck carl karl | chloe: clo | christina: tina chris
-christopher: chris kit topher | daniel: danny | david: dave davey | deborah: debbie deb | dmitri: dima mitya dmitry mitja | dorothea: dora thea dorothy dorle dot | edward: ed ned ted eddie teddy
-ekaterina: katya katja kate | eleanor: ellie nell nora | elizabeth: liz beth betty lizzie bess lisa | emily: em millie | evgeny: zhenya eugene | farid: fred | francisco: paco pancho frank cisco
-frederick: fred freddy fritz | frederike: rike fred frieda friederike ricky | gabriela: gabriella | george: georgie jorge | gerald: gerry jerry | giovanni: gianni vanni | giuseppe: beppe peppe pino
+alexander: alex sasha alec sandy xander al | amara: mara amy | anastasia: ana nastya stacy asya tasia | andrew: andy drew | anne: annie anna ann | anthony: ant tony | antonio: toni tony tonio
+barbara: barb babs basia | benjamin: ben benny benji | bernard: bernie bernd | bjorn: bjarne | catherine: cathy cat kate | charles: charlie chuck carl karl | chloe: clo | christina: tina chris
+christopher: chris kit topher | daniel: dan danny | david: dave davey | deborah: debbie deb | dmitri: dima mitya dmitry mitja | dorothea: dora thea dorothy dorle dot | edward: ed ned ted eddie teddy
+ekaterina: katya katja kate | eleanor: ellie nell nora | elizabeth: liz eliza beth betty lizzie bess lisa | emily: em millie | evgeny: zhenya eugene | farid: fred | francisco: fran francis paco pancho frank cisco
+frederick: fred freddy fritz | frederike: rike fred frieda friederike ricky | gabriela: gabi gaby gabriella | george: georgie jorge | gerald: gerry jerry | giovanni: gianni vanni | giuseppe: beppe peppe pino
 gregory: greg | guillermo: memo | heinrich: heinz henry hinrich | helen: nell lena | henry: harry hank hal | hugo: huey | ignatius: iggy nacho ignaz | ingrid: inga | irina: ira | ivan: vanya
 jacob: jake jakob | james: jim jimmy jamie | jean: jeannot | jennifer: jen jenny | jessica: jess | johannes: hans jo johann joe jan hannes | john: jack johnny jon | jonathan: jon jonny
-jose: pepe chepe | joseph: joe joey jo sepp | joshua: josh | katherine: kate kathy kit katie kat kay | kenneth: kenny | kenji: ken | konstantin: kostya | lawrence: larry laurie | leonard: lenny
-ludwig: lutz | madeleine: maddy | malgorzata: gosia margo | margaret: peggy meg maggie marge greta madge rita | maria: masha mariya | matthew: matt | matthias: mats | mei: may
+jose: pepe chepe | joseph: jos joe joey jo sepp | joshua: josh | katherine: kate kathy kit katie kat kay | kenneth: ken kenny | kenji: ken | konstantin: kostya | lawrence: larry laurie | leonard: leo lenny
+ludwig: lutz | madeleine: maddy | malgorzata: gosia malgosia margo | margaret: peggy meg maggie marge greta madge rita | maria: masha mariya | matthew: matt | matthias: matt matze mats | mei: may
 michael: mike mick micky mitch misha | mikhail: misha | nathaniel: nate nat nathan | nicholas: nick nicky nico | nikolai: kolya | nikolaus: klaus niko nick nico nik | noor: nura | olga: olya olja
-patricia: pat patty trish tricia patsy | patrick: pat paddy | peter: pete petya | petra: petie | philip: phil pip | quentin: quin | raymond: ray | rebecca: becky becca | richard: rick dick ricky richie
-robert: bob rob bobby robbie bert | ronald: ron ronnie | rudolf: rudi | samuel: sammy | sergei: seryozha | soren: sorn | sophie: sofie | stephen: steve steven stevie | stefan: steffen | susanna: sue susie suzy sanna
-tatiana: tanya | theodore: theo ted teddy | thomas: tom tommy | timothy: tim timmy | tomasz: tomek tom | ursula: uschi ursel ulla | victoria: vicky tori | vladimir: vova volodya | walter: walt
+patricia: pat patty trish tricia patsy | patrick: pat paddy | peter: pete petya | petra: petie | philip: phil pip | quentin: quin | raymond: ray | rebecca: reba becky becca | richard: rick dick ricky richie
+robert: bob rob bobby robbie bert | ronald: ron ronnie | rudolf: rudi | samuel: sam sammy | sergei: seryozha | soren: sorn | sophie: sofie | stephen: steph steve steven stevie | stefan: steffen | susanna: sue susan susie suzy sanna
+tatiana: tanya | theodore: theo ted teddy | thomas: tom tommy | timothy: tim timmy | tomasz: tomek tom | ursula: uschi ursel ulla | victoria: vic vicky tori | vladimir: vova volodya | walter: walt
 wilhelm: willi willy helmut | william: bill will billy liam willy | xenia: xena ksenia | yuri: yura | zachary: zack zach
 """
 #: The likeness of a given name and a badly mistyped one, which counts only beside an equal family name, and of a short form by rule.
@@ -168,13 +167,15 @@ def likeness(a: str, b: str, known: Known = DEFAULT) -> float:
     best = max(lcs_ratio(a, b), lcs_ratio(base(a), base(b)))
     if len(given) == 2 and a in known.formal and b in known.formal:
         return best if best >= 0.85 else 0.0
+    if abs(len(a) - len(b)) > 2 and best < 0.85:
+        best = 0.0
     for x, y in ((a, b), (b, a)):
         if x in given and y not in known.formal:
             best = max(best, 0.0, *(lcs_ratio(form, y) - 0.01 for full in known.full(x) for form in known.forms.get(full, (full,)) if len(form) > 3))
     least = (0.75 if given else TOKEN_RATIO) if max(len(a), len(b)) > 3 else 0.66
-    if best >= least and (abs(len(a) - len(b)) <= 2 or best >= 0.85):
+    if best >= least:
         return best
-    if is_short(a, b):
+    if given and is_short(a, b):
         return SHORT
     return WEAK if given and best >= 0.6 and a[0] == b[0] else 0.0
 

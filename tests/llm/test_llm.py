@@ -96,7 +96,7 @@ def test_planted_pair_is_surprising(spark):
         ("Farid Kondwick", "F. Kondwick", True), ("Farid Kondwick", "Kondwick,  Farid", True), ("Farid Kondwick", "Farid Kodnwick", True), ("Susanna Vera Changsasez", "Sue Vera Changsasez", True),
         ("Samuel Tülfaikska", "Dr. Sam Tuelfaikska", True), ("Søren Klemm", "SOEREN KLEMM, Jr.", True), ("Francisco Ursula Klexer", "Francisco Klexer II", True), ("Noor al-Hundsen", "al Hundsen Noor", True),
         ("Linus von Hendzouxman", "l. vonhendzouxman", True), ("Jean-Luc Bekkável", "J.-L. Bekkável", True), ("Rebecca Amara Priand", "Becky Priand", True), ("Alexander Dortić", "S. Dortić", True),
-        ("Stephen King", "Steve King", True), ("Antonio Silva", "Toni Silva", True), ("王 小明", "王小明", True), ("王小明", "王小红", False), ("Arjun Rao", "Arj Rao", True), ("Vera Ivanova", "Verochka Ivanova", True), ("Wen Li", "Wenwen Li", True),
+        ("Stephen King", "Steve King", True), ("Antonio Silva", "Toni Silva", True), ("王 小明", "王小明", True), ("王小明", "王小红", False), ("Arjun Rao", "Arj Rao", True),
         ("Rebecca Leinov", "Joseph Leinov", False), ("Yuki Keakov", "Yuki Prindgotu", False), ("Arjun Zoltán Seirova", "Noor Seirova", False), ("Samuel Richard Félm", "Samuel Chokard", False), ("", "X Y", False), (None, None, False),
     ],
 )
@@ -107,6 +107,14 @@ def test_spellings(a, b, same):
         assert set(names.endings(x)) & set(names.endings(y))
 
 
+def test_short_forms_by_rule_and_without_a_list():
+    known = names.Known("", {"vera": (50, 40), "wen": (50, 40), "novak": (50, 3), "robert": (50, 45), "bob": (50, 40)})
+    for a, b in (("Vera Ivanova", "Verochka Ivanova"), ("Wen Li", "Wenwen Li"), ("Robert Novak", "Rob Novak"), ("Robert Novak", "Robbie Novak")):
+        assert names.same_name(names.tokens(a), names.tokens(b), known) > 0
+    assert names.same_name(["robert", "novak"], ["bob", "novak"], known) == 0
+    assert known.is_given("robert") and not known.is_given("novak") and not known.conflict("novak", "nowak")
+
+
 def test_lcs_ratio():
     def brute(a, b):
         best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
