@@ -23,7 +23,10 @@ from nestloom.runtime import materialize, spread_key, union_all
 BASKET_ITEMS = 512
 #: Width of the bins of -log10 p in which false discoveries are counted; a bin takes its largest p.
 TAIL_STEP = 0.01
+#: All stronger tails share a bin.
 TAIL_TOP = 320.0
+#: The null is fitted in blocks of so many cells, until the logarithms of its fitnesses move less, or fails.
+FIT_CELLS, FIT_STILL, FIT_ROUNDS = 1 << 22, 1e-8, 100_000
 
 
 def incidences(df: DataFrame, basket: Column, fields: dict[str, Column]) -> DataFrame:
@@ -71,18 +74,26 @@ def pair_counts(inc: DataFrame, n_baskets: int, min_count: int, min_lift: float
     return counted.where(F.col("n_ab") >= min_count)
 
 
-def fit_null(freq: np.ndarray, n_items: np.ndarray, size: np.ndarray, n_baskets: np.ndarray, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
-    """Fitnesses x of item classes and y of basket classes that keep frequencies and sizes in expectation."""
+def fit_null(freq: np.ndarray, n_items: np.ndarray, size: np.ndarray, n_baskets: np.ndarray, rounds: int = FIT_ROUNDS, cells: int = FIT_CELLS) -> tuple[np.ndarray, np.ndarray]:
+    """Fitnesses x of item classes and y of basket classes that keep frequencies and sizes in expectation.
+
+    The table of item and basket classes is never whole in memory: sums over it are taken in
+    blocks of ``cells``.  Without convergence in ``rounds`` rounds the fit fails.
+    """
     freq, size = freq.astype(float), size.astype(float)
+    if not len(freq) or not len(size):
+        return freq, size
     total = max(1.0, float((freq * n_items).sum()))
     x, y = freq / math.sqrt(total), size / math.sqrt(total)
+    step = max(1, cells // max(1, len(size)))
+    blocks = [slice(i, i + step) for i in range(0, len(freq), step)]
     for _ in range(rounds):
         old = x
-        x = freq / (n_baskets * y / (1 + np.outer(x, y))).sum(1)
-        y = size / (n_items[:, None] * x[:, None] / (1 + np.outer(x, y))).sum(0)
-        if np.max(np.abs(np.log(x / old))) < 1e-9:
-            break
-    return x, y
+        x = np.concatenate([freq[b] / (n_baskets * y / (1 + np.outer(x[b], y))).sum(1) for b in blocks])
+        y = size / sum((n_items[b, None] * x[b, None] / (1 + np.outer(x[b], y))).sum(0) for b in blocks)
+        if np.max(np.abs(np.log(x / old))) < FIT_STILL:
+            return x, y
+    raise RuntimeError(f"the null has not converged in {rounds} rounds")
 
 
 def tail_log10(q: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -95,7 +106,7 @@ def tail_log10(q: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
     mean = (n * q).sum(1)
     out = np.zeros(len(at))
     reach = (n * (q > 0)).sum(1)
-    out[at > reach] = TAIL_TOP
+    out[at > reach] = np.inf
     sure = (at == reach) & (at > 0)
     if sure.any():
         with np.errstate(divide="ignore"):
@@ -128,7 +139,7 @@ def tail_log10(q: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
         sd = np.sqrt(np.maximum((n * q[near] * (1 - q[near])).sum(1), 1e-12))
         z = (at[near] - 0.5 - mean[near]) / sd
         out[near] = -np.log10([max(1e-300, 0.5 * math.erfc(v / math.sqrt(2))) for v in z])
-    return np.clip(out, 0, TAIL_TOP)
+    return np.maximum(out, 0)
 
 
 def _mills(w: np.ndarray) -> np.ndarray:

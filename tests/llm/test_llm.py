@@ -72,6 +72,17 @@ def test_tails_are_those_of_the_coin_flips():
                 assert got[r] == pytest.approx(-math.log10(tail), abs=0.1, rel=0.03)
 
 
+def test_the_fit_in_blocks_and_without_convergence():
+    freq, size = np.array([1, 2, 5, 9]), np.array([1, 3, 4])
+    n_items, n_baskets = np.array([4, 3, 2, 1]), np.array([5, 6, 2])
+    size_sum, freq_sum = (size * n_baskets).sum(), (freq * n_items).sum()
+    n_items[0] += size_sum - freq_sum
+    whole, blocked = (cooccurrence.fit_null(freq, n_items, size, n_baskets, cells=c) for c in (1 << 20, 2))
+    assert np.allclose(whole[0], blocked[0]) and np.allclose(whole[1], blocked[1])
+    with pytest.raises(RuntimeError, match="converged"):
+        cooccurrence.fit_null(freq, n_items, size, n_baskets, rounds=1)
+
+
 def test_null_keeps_frequencies_and_sizes():
     freq, items, size, baskets = np.array([2, 5, 9]), np.array([10, 5, 2]), np.array([1, 3, 4]), np.array([20, 9, 4])
     x, y = cooccurrence.fit_null(freq, items, size, baskets)
