@@ -1,23 +1,24 @@
 """Deeply nested records as related flat tables.
 
 A bottom-up tree automaton gives every node of a record a state: what kind of value it is, and
-for objects the states of the parts that matter.  The state of an item is its variant; every
-variant has its own typed table, and all variants of one list share the supertype's columns:
-the record, the item's place, its parent's place and its key.  The typed tables are written once,
-each in its own folder, and what all tables share is read from them.
+for objects the states of the parts that matter, down to whether each scalar is of its type.  The
+state of an item is its variant; every variant has its own typed table, and all variants of one
+list share the supertype's columns: the record, the item's place, its parent's place and its key.
+A scalar of another type makes another variant, whose table has that value as JSON text instead
+of a converted one.  The typed tables are written once, each in its own folder, and what all
+tables share is read from them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
-from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestloom.functions.ids import short_id
-from nestloom.functions.lattice import ABSENT, LIST, OBJECT, TEXT, kind
+from nestloom.functions.lattice import ABSENT, BOOL, INT, LIST, NUMBERS, OBJECT, TEXT, kind
 from nestloom.runtime import materialize, union_all
 
 
@@ -31,6 +32,8 @@ class Child:
     children: tuple[Child, ...] = field(default=())
 
 
+#: The column of scalars that are not of their type, in the tables of variants that have some.
+MISFITS = "misfits"
 _STATES = {OBJECT: "object", LIST: "list", TEXT: "text", ABSENT: "absent"}
 
 
@@ -69,27 +72,40 @@ def node_of(item: Column, child: Child) -> Column:
 
 
 def variant_of(item: Column, node: Column, child: Child) -> Column:
-    """The automaton's state of an item: its kind, and for objects the states of its key and its lists."""
+    """The automaton's state of an item: its kind, and for objects the states of its key and its lists, and the scalars that are not of their type."""
     states = [F.concat(F.lit(f"{child.key}="), state(node))] if child.key else []
     states += [F.concat(F.lit(f"{c.name}="), state(part(item, c.name))) for c in child.children]
     inner = F.concat(F.lit("("), F.concat_ws(",", *states), F.lit(")")) if states else F.lit("")
-    return F.when(kind(item) == OBJECT, F.concat(F.lit("object"), inner)).otherwise(state(item))
+    off = [F.when(~fits(v, to), F.lit(f"!{name}")) for name, (v, to) in scalar_nodes(item, node, child).items()]
+    return F.when(kind(item) == OBJECT, F.concat(F.lit("object"), inner, F.concat_ws("", *off))).otherwise(state(item))
 
 
-def variants(child: Child) -> list[str]:
-    """All states that an item of a child can have; they follow from the automaton, not from the data."""
-    kinds = [*_STATES.values(), "scalar"]
-    shapes = [[f"{name}={k}" for k in kinds] for name in ([child.key] if child.key else []) + [c.name for c in child.children]]
-    objects = [f"object({','.join(c)})" if c else "object" for c in product(*shapes)]
-    return [*objects, "text", "list", "scalar"]
+_KINDS = {"string": (TEXT,), "boolean": (BOOL,), "double": NUMBERS, "int": (INT,), "bigint": (INT,)}
 
 
-def scalars_of(child: Child) -> dict[str, Column]:
-    """The typed scalars of a row's item; paths below the key's part also reach into parts that are JSON text."""
+def fits(v: Column, to: str) -> Column:
+    """Whether a scalar's node is of a type, or not there."""
+    return kind(v).isin(ABSENT, *_KINDS.get(to, (LIST,)))
+
+
+def scalar_nodes(item: Column, node: Column, child: Child) -> dict[str, tuple[Column, str]]:
+    """name -> (node, type) of an item's scalars; paths below the key's part also reach into parts that are JSON text."""
     out = {}
     for path, to in child.scalars:
         below = child.key != "" and path.startswith(f"{child.key}.")
-        out[path.replace(".", "_")] = F.try_variant_get("node", f"$.{path[len(child.key) + 1 :]}", to) if below else F.try_variant_get("item", f"$.{path}", to)
+        found = F.try_variant_get(node, f"$.{path[len(child.key) + 1 :]}", "variant") if below else F.try_variant_get(item, f"$.{path}", "variant")
+        out[path.replace(".", "_")] = (found, to)
+    return out
+
+
+def scalars_of(child: Child) -> dict[str, Column]:
+    """The typed scalars of a row's item, null where they are of another type, and ``misfits``: these by name, as JSON text."""
+    found = scalar_nodes(F.col("item"), F.col("node"), child)
+    out = {name: F.when(fits(v, to), F.try_variant_get(v, "$", to)) for name, (v, to) in found.items()}
+    if found:
+        pairs = [F.when(~fits(v, to), F.struct(F.lit(name).alias("key"), F.to_json(v).alias("value"))) for name, (v, to) in found.items()]
+        held = F.array_compact(F.array(*pairs))
+        out[MISFITS] = F.when(F.size(held) > 0, F.map_from_entries(held))
     return out
 
 
@@ -152,25 +168,31 @@ def _nested_in(children: Iterable[Child]) -> list[Child]:
 def variant_tables(df: DataFrame, record_id: Column, record: Column, *children: Child) -> dict[str, DataFrame]:
     """The typed table of each variant: the supertype's columns and the scalars of the variant.
 
-    All tables are written in one pass.  They are named by their variant if one child is given, and
-    ``child/variant`` otherwise; those of nested lists always have both.  Tables of object variants
-    have the child's scalars; those of bare ids and other items have none.
+    All tables are written in one pass, nested and bare-id ones too.  They are named by their variant
+    if one child is given, and ``child/variant`` otherwise; those of nested lists always have both.
+    The variants are those that occur: at most as many as the automaton has states, whatever the
+    number of rows.  Tables of object variants have the child's scalars; those of variants with
+    scalars of another type have these as ``misfits``; those of bare ids and other items have none.
     """
     rows = materialize(supertype(df, record_id, record, list(children), typed=True), "subtypes", "child_table", "variant")
+    named = {c.name: c for c in _nested_in(children)}
     out = {}
-    for c in _nested_in(children):
-        for name in variants(c):
-            table = rows.where((F.col("child_table") == c.name) & (F.col("variant") == name))
-            typed = [F.col(c.name)[n].alias(n) for n in scalars_of(c)] if name.startswith("object") else []
-            out[name if len(children) == 1 and c is children[0] else f"{c.name}/{name}"] = table.select(*_SHARED, *typed)
+    for child, variant in sorted(tuple(r) for r in rows.select("child_table", "variant").distinct().collect()):
+        c = named[child]
+        table = rows.where((F.col("child_table") == child) & (F.col("variant") == variant))
+        held = [n for n in scalars_of(c) if n != MISFITS or "!" in variant] if variant.startswith("object") else []
+        out[variant if len(children) == 1 and c is children[0] else f"{child}/{variant}"] = table.select(*_SHARED, *[F.col(child)[n].alias(n) for n in held])
     return out
 
 
-def reunited(tables: dict[str, DataFrame], with_scalars: bool = False) -> DataFrame:
+def reunited(spark: SparkSession, tables: dict[str, DataFrame], with_scalars: bool = False) -> DataFrame:
     """All rows of typed tables named ``child/variant``: ``child_table, variant`` and the supertype's columns, and all scalars if asked.
 
     Scalars of one name in several children share a column; a table without one has nulls there.
+    Without tables there are no rows.
     """
+    if not tables:
+        return spark.createDataFrame([], "child_table string, variant string, record_id string, parent_pos int, item_pos int, item_key string")
     kinds: dict[str, str] = {}
     for t in tables.values() if with_scalars else []:
         kinds |= {c: to for c, to in t.dtypes if c not in _SHARED}

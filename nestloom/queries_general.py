@@ -136,23 +136,24 @@ def _subtypes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every item of the nested lists of works lines, tied to its record and parent: what all typed tables share."""
-    return unnest.reunited(_subtypes(spark, sf_dir)).select("record_id", "child_table", "parent_pos", "item_pos", "item_key")
+    return unnest.reunited(spark, _subtypes(spark, sf_dir)).select("record_id", "child_table", "parent_pos", "item_pos", "item_key")
 
 
 def p7_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each structural variant occurs in each child table."""
-    return unnest.reunited(_subtypes(spark, sf_dir)).groupBy("child_table", "variant").agg(F.count("*").alias("n_items"))
+    return unnest.reunited(spark, _subtypes(spark, sf_dir)).groupBy("child_table", "variant").agg(F.count("*").alias("n_items"))
 
 
 def p7_subtypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of all typed tables with their scalars."""
-    return unnest.reunited(_subtypes(spark, sf_dir), with_scalars=True)
+    found = unnest.reunited(spark, _subtypes(spark, sf_dir), with_scalars=True)
+    return found.withColumn(unnest.MISFITS, F.to_json(unnest.MISFITS) if unnest.MISFITS in found.columns else F.lit(None).cast("string"))
 
 
 def p7_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same child rows from the typed columns of works; the record is the work's number and arrival."""
     works = table(spark, sf_dir, "works").withColumn("_record", unnest.from_rows(None, [c.name for c in _PARTS]))
-    found = unnest.reunited(unnest.variant_tables(works, F.col("id"), F.col("_record"), *_TYPED_PARTS))
+    found = unnest.reunited(spark, unnest.variant_tables(works, F.col("id"), F.col("_record"), *_TYPED_PARTS))
     return found.select(F.col("record_id").alias("id"), "child_table", "parent_pos", "item_pos", "item_key")
 
 
@@ -208,6 +209,33 @@ def _p7_part(name: str, key: str) -> str:
 FROM (SELECT id, unnest({name}) AS x, CAST(generate_subscripts({name}, 1) - 1 AS INTEGER) AS pos FROM works) WHERE x IS NOT NULL"""
 
 
+def _resolved(x: str) -> str:
+    return f"""CASE WHEN json_type({x}) = 'VARCHAR' AND regexp_matches({x} ->> '$', '^\\s*([\\[{{"]|null\\s*$)') AND json_valid({x} ->> '$') THEN CAST({x} ->> '$' AS JSON) ELSE {x} END"""
+
+
+def _at(name: str) -> str:
+    return f"(j -> '{name}')"
+
+
+def _key(x: str) -> str:
+    text = f"CASE json_type({x}) WHEN 'VARCHAR' THEN {x} ->> '$' WHEN 'OBJECT' THEN {x} ->> '$.id' END"
+    return f"coalesce({_SHORT.format(f'({text})')}, '')"
+
+
+_ITEMS = f"""CASE WHEN json_type(held) = 'ARRAY' THEN CAST(held AS JSON[]) WHEN json_type(held) = 'OBJECT' OR json_type(held) = 'VARCHAR' AND {_SHORT.format("(held ->> '$')")} IS NOT NULL THEN [held] END"""
+_P7_ITEMS = f"""
+WITH l AS (SELECT record_id, CASE WHEN json_valid(line_text) AND json_type(line_text) = 'OBJECT' THEN CAST(line_text AS JSON) END AS j FROM raw_records WHERE entity = 'works'),
+tops AS ({" UNION ALL ".join(f"SELECT record_id, '{c}' AS child_table, {_resolved(_at(c))} AS held FROM l" for c in ("authorships", "locations", "topics", "grants"))}),
+t AS (SELECT record_id, child_table, -1 AS parent_pos, unnest(items) AS raw, CAST(generate_subscripts(items, 1) - 1 AS INTEGER) AS item_pos FROM (SELECT *, {_ITEMS} AS items FROM tops)),
+first AS (SELECT * EXCLUDE (raw), {_resolved("raw")} AS item FROM t),
+inner_lists AS (SELECT record_id, item_pos AS parent_pos, {_resolved("(item -> 'institutions')")} AS held FROM first WHERE child_table = 'authorships' AND json_type(item) = 'OBJECT'),
+second AS (SELECT record_id, 'institutions' AS child_table, parent_pos, unnest(items) AS raw, CAST(generate_subscripts(items, 1) - 1 AS INTEGER) AS item_pos FROM (SELECT *, {_ITEMS} AS items FROM inner_lists)),
+everything AS (SELECT record_id, child_table, parent_pos, item_pos, item FROM first UNION ALL SELECT record_id, child_table, parent_pos, item_pos, {_resolved("raw")} FROM second),
+keyed AS (SELECT *, CASE WHEN child_table IN ('institutions', 'topics') OR json_type(item) = 'VARCHAR' THEN item
+  ELSE CASE child_table WHEN 'authorships' THEN {_resolved("(item -> 'author')")} WHEN 'locations' THEN {_resolved("(item -> 'source')")} ELSE {_resolved("(item -> 'funder')")} END END AS node
+  FROM everything WHERE item IS NOT NULL AND json_type(item) != 'NULL')
+"""
+
 # every path with a value, its type and the item it is in, of the lines of raw_records
 _P3_CELLS = """
 lines AS (SELECT record_id, entity, source_file, regexp_extract(source_file, 'updated_date=([^/]*)/', 1) AS d, regexp_extract(source_file, '/(part_[^/.]*)', 1) AS s,
@@ -262,6 +290,7 @@ _P3_TABLES = {
 ORACLE = {
     "p3_found": f"WITH {_P3_CELLS.rstrip().rstrip(',')} SELECT c.entity, f.source_file, change_kind, old_path, new_path FROM changes c JOIN files f USING (entity, s, i)",
     **{name: _p3_table(*parts) for name, parts in _P3_TABLES.items()},
+    "p7_found": _P7_ITEMS + f"SELECT record_id, child_table, parent_pos, item_pos, {_key('node')} AS item_key FROM keyed",
     "p7_typed": " UNION ALL ".join(_p7_part(n, k) for n, k in (("authorships", "x.author.id"), ("locations", "x.source.id"), ("topics", "x.id"), ("grants", "x.funder"))) + f"""
 UNION ALL SELECT id, 'institutions', pos, ipos, coalesce({_SHORT.format("y.id")}, '') FROM (SELECT id, pos, unnest(x.institutions) AS y, CAST(generate_subscripts(x.institutions, 1) - 1 AS INTEGER) AS ipos
 FROM (SELECT id, unnest(authorships) AS x, CAST(generate_subscripts(authorships, 1) - 1 AS INTEGER) AS pos FROM works) WHERE x IS NOT NULL) WHERE y IS NOT NULL""",

@@ -303,8 +303,23 @@ def test_typed_tables_hold_all_items_and_scalars(spark, rows, tmp_path):
     assert rows(mine.where("child_table = 'grants'"), "variant", "award_id", "funder_display_name") == [("object(funder=object)", None, "Fund"), ("object(funder=text)", "x", None)]
 
 
-def test_nested_empty(spark):
+def test_scalars_of_another_type_make_another_variant(spark, rows, tmp_path):
+    text = json.dumps({"locations": [{"is_oa": True, "license": "cc"}, {"is_oa": "yes", "license": {"n": 1}, "version": None}], "topics": [{"id": "T1", "score": 1, "count": 2.5}]})
+    source = spark.createDataFrame([(0, "works", text)], "record_id long, entity string, line_text string")
+    source.write.parquet(f"{tmp_path}/raw_records.parquet")
+    found = q.QUERIES["p7_subtypes"](spark, str(tmp_path))
+    assert rows(found, "child_table", "variant", "is_oa", "license", "score", "count", "misfits") == sorted([
+        ("locations", "object(source=absent)", True, "cc", None, None, None),
+        ("locations", "object(source=absent)!is_oa!license", None, None, None, None, json.dumps({"is_oa": '"yes"', "license": '{"n":1}'}, separators=(",", ":"))),
+        ("topics", "object!count", None, None, 1.0, None, '{"count":"2.5"}'),
+    ], key=str)
+    assert rows(q.p7_found(spark, str(tmp_path)), "item_key") == [("",), ("",), ("T1",)]
+
+
+def test_nested_empty(spark, tmp_path):
     assert nested(spark, []).count() == 0
+    spark.createDataFrame([], "record_id long, entity string, line_text string").write.parquet(f"{tmp_path}/raw_records.parquet")
+    assert q.p7_found(spark, str(tmp_path)).count() == q.p7_variants(spark, str(tmp_path)).count() == 0
 
 
 @settings(max_examples=25, deadline=None)
