@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from nestloom.runtime import materialize
 
 CHUNK_CHARS = 16_384
-#: Characters of the neighbouring chunks that a chunk sees.
+#: Characters before it that a chunk sees, and half as many that are not blank, with all blanks between, behind it.
 CONTEXT = 1_024
 
 # ---- the transducer ---------------------------------------------------------------------------
@@ -304,7 +304,7 @@ def _chunk_reader(size: int, context: int) -> Callable[[Iterable[pd.DataFrame]],
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, h, copies, k, piece in zip(batch["doc_id"], batch["h"], batch["copies"], batch["k"], batch["piece"], strict=True):
+            for doc_id, row, k, piece in zip(batch["doc_id"], batch["row"], batch["k"], batch["piece"], strict=True):
                 base = max(0, k * size - context)
                 lo = k * size - base
                 hi = min(lo + size, len(piece))
@@ -314,8 +314,8 @@ def _chunk_reader(size: int, context: int) -> Callable[[Iterable[pd.DataFrame]],
                 first = base + lo + len(own) - len(own.lstrip()) if bare else None
                 last = base + lo + len(own.rstrip()) if bare else None
                 cuts = [{"at_end": e + base, "next_start": n + base if n >= 0 else -1, "bits": b} for e, n, b in found]
-                out.append((doc_id, h, copies, k, fn, first, last, cuts))
-            yield pd.DataFrame(out, columns=["doc_id", "h", "copies", "k", "fn", "first_char", "last_char", "cuts"])
+                out.append((doc_id, row, k, fn, first, last, cuts))
+            yield pd.DataFrame(out, columns=["doc_id", "row", "k", "fn", "first_char", "last_char", "cuts"])
 
     return run
 
@@ -347,19 +347,20 @@ def sentences(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, context: int = CO
     Texts of one chunk are read where they are; only longer ones are cut and spread.
     """
     # ids go as text, since pandas has no integers beside nulls
-    docs = docs.select(F.col("doc_id").cast("string"), "text").where("text IS NOT NULL")
+    docs = docs.select(F.col("doc_id").cast("string"), "text", F.monotonically_increasing_id().alias("row")).where("text IS NOT NULL")
     length = F.char_length("text")
-    short = docs.where(length <= chunk_chars).mapInPandas(_whole, "doc_id string, start_char int, end_char int")
-    texts = docs.where(length > chunk_chars).groupBy("doc_id", F.xxhash64("doc_id", "text").alias("h")).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    place = F.greatest(F.lit(1), F.col("k") * chunk_chars - context + 1)
-    width = F.when(F.col("k") == 0, chunk_chars + context).otherwise((F.col("k") + 1) * chunk_chars + context + 1 - place)
-    cut = texts.select("*", F.explode(F.sequence(F.lit(0), F.floor((length - 1) / chunk_chars).cast("int"))).alias("k"))
-    pieces = cut.select("doc_id", "h", "copies", "k", F.substring("text", place, width).alias("piece"))
-    schema = "doc_id string, h long, copies long, k int, fn array<int>, first_char int, last_char int, cuts array<struct<at_end int, next_start int, bits int>>"
+    short = docs.where(length <= chunk_chars).select("doc_id", "text").mapInPandas(_whole, "doc_id string, start_char int, end_char int")
+    # every row is a document of its own, so that no text is shuffled
+    begin = F.col("k") * chunk_chars
+    before = F.substring("text", F.greatest(F.lit(1), begin - context + 1), F.least(begin, F.lit(context)))
+    behind = F.regexp_extract(F.substring("text", begin + chunk_chars + 1, length), rf"^(?:\s*+\S){{0,{max(1, context // 2)}}}+", 0)
+    cut = docs.where(length > chunk_chars).select("*", F.explode(F.sequence(F.lit(0), F.floor((length - 1) / chunk_chars).cast("int"))).alias("k"))
+    pieces = cut.select("doc_id", "row", "k", F.concat(before, F.substring("text", begin + 1, F.lit(chunk_chars)), behind).alias("piece"))
+    schema = "doc_id string, row long, k int, fn array<int>, first_char int, last_char int, cuts array<struct<at_end int, next_start int, bits int>>"
     chunks = materialize(pieces.mapInPandas(_chunk_reader(chunk_chars, context), schema), "sentence-chunks")
-    key = ["doc_id", "h", "copies"]
-    started = prefix_states(chunks, ["h"])  # the hash covers the id, which may be null
-    text = Window.partitionBy(*key)
+    started = prefix_states(chunks, ["row"])
+    key = ["row", "doc_id"]
+    text = Window.partitionBy("row")
     later = text.orderBy("k").rowsBetween(1, Window.unboundedFollowing)
     started = started.select(*key, "state", "cuts", "k", F.first("first_char", ignorenulls=True).over(later).alias("later"), F.min("first_char").over(text).alias("begin"), F.max("last_char").over(text).alias("finish"))
     bounds = started.select(*key, "state", "later", "begin", "finish", "k", F.explode("cuts").alias("cut")).where(F.getbit("cut.bits", F.col("state").cast("int")) == 1)
@@ -369,7 +370,5 @@ def sentences(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, context: int = CO
     # equal cuts (an end mark before a blank line) and the text's own end come once
     ordered = ordered.groupBy(*key, "begin", "at_end").agg(F.max("next_start").alias("next_start"))
     line = text.orderBy("at_end")
-    spans = ordered.select("doc_id", "copies", F.coalesce(F.lag("next_start").over(line), "begin").alias("start_char"), F.col("at_end").alias("end_char"))
-    spans = spans.where(F.col("end_char") > F.col("start_char"))
-    long = spans.select("doc_id", F.explode(F.array_repeat(F.struct("start_char", "end_char"), F.col("copies").cast("int"))).alias("s")).select("doc_id", "s.*")
-    return short.unionByName(long).withColumn("doc_id", F.col("doc_id").cast("long"))
+    spans = ordered.select("doc_id", F.coalesce(F.lag("next_start").over(line), "begin").alias("start_char"), F.col("at_end").alias("end_char"))
+    return short.unionByName(spans.where(F.col("end_char") > F.col("start_char"))).withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -401,6 +401,13 @@ def test_long_texts_are_cut_without_a_trace(spark, rows):
     assert rows(sentences.sentences(df, chunk_chars=90, context=120)) == expected
 
 
+def test_blanks_behind_a_chunk_are_seen(spark, rows):
+    text = "One two." + " " * 3_000 + "said nobody. Three." + " word" * 900 + ". End."
+    df = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
+    for size in (8, 100, 700):
+        assert rows(sentences.sentences(df, size, 200), "start_char", "end_char") == sorted([x for x in sentences.split(text)] * 2, key=str)
+
+
 def test_no_documents(spark):
     assert sentences.sentences(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
