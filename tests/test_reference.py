@@ -102,6 +102,57 @@ def test_all_tables_of_a_record(spark):
     assert not any("primary" in t or "numbers" in t for t in schema.table_names())
 
 
+YEARS = [{"year": 1999, "works_count": 4, "cited_by_count": 6, "oa_works_count": 1}]
+# entity -> (a record, its tables)
+ENTITIES = {
+    "sources": (
+        {
+            "id": "https://h/S31", "host_organization_lineage": ["https://h/P5", "https://h/P6"], "societies": [{"organization": "Guild of Bells", "url": "https://bells"}, {"organization": ""}],
+            "counts_by_year": YEARS, "ids": {"issn_l": "1111-2222"}, "issn": ["1111-2222", None], "apc_prices": [{"price": 12, "currency": "EUR"}], "alternate_titles": ["Bells"],
+            "topic_share": [{"id": "https://h/T8", "value": 0.25, "domain": {"id": "d"}, "field": {}, "subfield": {}}],
+        },
+        {
+            "source_host_organization_lineage": [(31, 5), (31, 6)], "source_societies": [(31, "Guild of Bells", "https://bells")], "source_counts_by_year": [(31, 1999, 4, 6, 1)], "source_external_ids": [(31, "issn_l", "1111-2222")],
+            "source_issns": [(31, "1111-2222")], "source_apc_prices": [(31, 12.0, "EUR")], "source_alternate_titles": [(31, "Bells")], "source_topic_share": [(31, 8, 0.25)],
+        },
+    ),
+    "funders": (
+        {"id": "https://h/F4", "roles": [{"id": "https://h/P9", "role": "publisher"}, {"id": "https://h/X9", "role": "other"}], "counts_by_year": YEARS, "alternate_titles": ["Bell Fund"]},
+        {"funder_roles": [(4, 9, "other", ""), (4, 9, "publisher", "P")], "funder_counts_by_year": [(4, 1999, 4, 6, 1)], "funder_alternate_titles": [(4, "Bell Fund")]},
+    ),
+    "institutions": (
+        {"id": "https://h/I7", "repositories": [{"id": "https://h/S2", "display_name": "Shelf"}], "display_name_acronyms": ["BI"], "roles": [{"id": "https://h/F4", "role": "funder"}]},
+        {"institution_repositories": [(7, 2)], "institution_display_name_acronyms": [(7, "BI")], "institution_roles": [(7, 4, "funder", "F")]},
+    ),
+    "subfields": (
+        {"id": "https://h/subfields/12", "field": {"id": "https://h/fields/3", "display_name": "f"}, "domain": {"id": "https://h/domains/1", "display_name": "d"}, "display_name_alternatives": ["alt"]},
+        {"subfield_fields": [(12, 3)], "subfield_domains": [(12, 1)], "subfield_display_name_alternatives": [(12, "alt")]},
+    ),
+    "fields": ({"id": "https://h/fields/3", "domain": {"id": "https://h/domains/1", "display_name": "d"}, "ids": {"x": "y"}}, {"field_domains": [(3, 1)], "field_external_ids": [(3, "x", "y")]}),
+    "domains": ({"id": "https://h/domains/1", "ids": {"x": "y"}, "display_name_alternatives": ["alt"]}, {"domain_external_ids": [(1, "x", "y")], "domain_display_name_alternatives": [(1, "alt")]}),
+    "sdgs": ({"id": "https://h/sdgs/13", "ids": {"un": "https://un/13"}}, {"sdg_external_ids": [(13, "un", "https://un/13")]}),
+    "awards": (
+        {
+            "id": "https://h/G2", "funded_outputs": ["https://h/W6", "https://h/W7"], "investigators": [{"given_name": "Ada", "family_name": "Quill", "orcid": None, "affiliation": None}],
+            "lead_investigator": {"given_name": "Io", "family_name": "Marsh", "orcid": "0-1", "affiliation": {"name": "Inst", "country": "NL", "ids": [{"id": "I1", "type": "ror", "asserted_by": "x"}]}},
+            "co_lead_investigator": {"given_name": "Bo", "family_name": "Fen", "orcid": None, "affiliation": "Plain Text"},
+        },
+        {
+            "award_funded_outputs": [(2, 6), (2, 7)], "award_investigator_affiliations": [(2, "0-1", "Marsh", "I1", "ror", "x")],
+            "award_investigators": [(2, "Ada", "Quill", None, None, None, None, False, False), (2, "Bo", "Fen", None, "Plain Text", None, None, False, True), (2, "Io", "Marsh", "0-1", "Inst", "NL", None, True, False)],
+        },
+    ),
+}
+
+
+@pytest.mark.parametrize("entity", ENTITIES)
+def test_tables_of_every_entity(spark, entity):
+    record, expected = ENTITIES[entity]
+    _, found = build(spark, [record], entity)
+    assert {t: found.get(t) for t in expected} == expected
+    assert {t for t, rows in found.items() if rows} == set(expected)
+
+
 def test_topic_by_its_own_or_the_inner_id(spark):
     assert build(spark, [SMOKE])[1]["work_topics"][0][1] == 1
     assert build(spark, [SMOKE], prefer_own_id=False)[1]["work_topics"][0][1] == 9
