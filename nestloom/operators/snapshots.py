@@ -64,7 +64,8 @@ def differing_leaves(rows: DataFrame, follows: DataFrame, bits: int) -> DataFram
         both = now.unionByName(before)
         if open_nodes is not None:
             parents = open_nodes.select("snapshot", F.col("leaf").alias("parent"))
-            both = both.withColumn("parent", F.shiftright("leaf", FANOUT_BITS)).join(parents, ["snapshot", "parent"], "left_semi")
+            # merged, as the open nodes grow with the data
+            both = both.withColumn("parent", F.shiftright("leaf", FANOUT_BITS)).join(parents.hint("merge"), ["snapshot", "parent"], "left_semi")
         node = F.struct("d", "n")
         sides = both.groupBy("snapshot", "leaf").agg(
             F.max(F.when(F.col("side") == 1, node)).alias("now"), F.max(F.when(F.col("side") == 0, node)).alias("before")
@@ -94,7 +95,7 @@ def snapshot_changes(df: DataFrame, key: Column, snapshot: Column, version: Colu
     after = follows.where("previous IS NOT NULL").select(F.col("previous").alias("snapshot"), F.col("snapshot").alias("next"))
     now = rows.where("previous IS NOT NULL").select("snapshot", "leaf", "key", F.col("row_digest").alias("now"), F.lit(None).cast("long").alias("before"))
     before = rows.join(F.broadcast(after), "snapshot").select(F.col("next").alias("snapshot"), "leaf", "key", F.lit(None).cast("long").alias("now"), F.col("row_digest").alias("before"))
-    both = now.unionByName(before).join(changed, ["snapshot", "leaf"], "left_semi")
+    both = now.unionByName(before).join(changed.hint("merge"), ["snapshot", "leaf"], "left_semi")
     pairs = both.groupBy("snapshot", "leaf", "key").agg(F.max("now").alias("now"), F.max("before").alias("before"))
     kind = F.when(F.col("before").isNull(), "added").when(F.col("now").isNull(), "removed").otherwise("changed")
     return pairs.where(~F.col("now").eqNullSafe(F.col("before"))).select("snapshot", "key", kind.alias("change_kind"))
